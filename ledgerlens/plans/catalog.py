@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.fixtures import Fixtures
 from . import clickstream as cs
+from . import loyalty as ly
 from .oracle import clickstream as o_cs
+from .oracle import loyalty as o_ly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +59,25 @@ def _click() -> dict[str, Query]:
     return q
 
 
+def _loyalty() -> dict[str, Query]:
+    return {
+        "loyalty_total_spend": lambda fx: ly.total_spend(fx.sales, fx.menu),
+        "loyalty_visit_days": lambda fx: ly.visit_days(fx.sales),
+        "loyalty_first_items": lambda fx: ly.first_items(fx.sales, fx.menu),
+        "loyalty_top_item": lambda fx: ly.top_item(fx.sales, fx.menu),
+        "loyalty_favourite_per_customer": lambda fx: ly.favourite_per_customer(fx.sales, fx.menu),
+        "loyalty_first_after_join": lambda fx: ly.first_after_join(fx.sales, fx.menu, fx.members),
+        "loyalty_last_before_join": lambda fx: ly.last_before_join(fx.sales, fx.menu, fx.members),
+        "loyalty_spend_before_join":
+            lambda fx: ly.spend_before_join(fx.sales, fx.menu, fx.members),
+        "loyalty_points": lambda fx: ly.points(fx.sales, fx.menu),
+        "loyalty_points_first_week":
+            lambda fx: ly.points_first_week(fx.sales, fx.menu, fx.members),
+        "loyalty_joined_view": lambda fx: ly.joined_view(fx.sales, fx.menu, fx.members),
+        "loyalty_member_ranking": lambda fx: ly.member_ranking(fx.sales, fx.menu, fx.members),
+    }
+
+
 def _wrap(builders: dict) -> dict[str, Query]:
     return {k: (lambda spark, sf_dir, _b=b: _b(_fx(spark, sf_dir))) for k, b in builders.items()}
 
@@ -64,6 +85,6 @@ def _wrap(builders: dict) -> dict[str, Query]:
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-for _builders, _oracle in [(_click(), o_cs.ORACLE)]:
+for _builders, _oracle in [(_click(), o_cs.ORACLE), (_loyalty(), o_ly.ORACLE)]:
     QUERIES.update(_wrap(_builders))
     ORACLE.update(_oracle)
