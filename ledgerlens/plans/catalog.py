@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.fixtures import Fixtures
 from . import clickstream as cs
 from . import loyalty as ly
+from . import subscriptions as sb
 from .oracle import clickstream as o_cs
 from .oracle import loyalty as o_ly
+from .oracle import subscriptions as o_sb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +80,26 @@ def _loyalty() -> dict[str, Query]:
     }
 
 
+def _subscriptions() -> dict[str, Query]:
+    return {
+        "subs_journey": lambda fx: sb.journey(fx.subscriptions, fx.plans),
+        "subs_customers": lambda fx: sb.distinct_customers(fx.subscriptions),
+        "subs_trials_by_month": lambda fx: sb.trials_by_month(fx.subscriptions),
+        "subs_events_after": lambda fx: sb.events_after(fx.subscriptions, fx.plans),
+        "subs_churn_rate": lambda fx: sb.churn_rate(fx.subscriptions),
+        "subs_immediate_churn": lambda fx: sb.immediate_churn(fx.subscriptions),
+        "subs_first_paid_plan": lambda fx: sb.first_paid_plan(fx.subscriptions, fx.plans),
+        "subs_snapshot": lambda fx: sb.snapshot(fx.subscriptions, fx.plans),
+        "subs_annual_upgrades": lambda fx: sb.annual_upgrades(fx.subscriptions),
+        "subs_days_to_annual": lambda fx: sb.days_to_annual(fx.subscriptions),
+        "subs_days_to_annual_bins": lambda fx: sb.days_to_annual_bins(fx.subscriptions),
+        "subs_downgrades": lambda fx: sb.downgrades(fx.subscriptions),
+        "subs_payments": lambda fx: sb.payments(fx.subscriptions, fx.plans),
+        "subs_revenue_growth":
+            lambda fx: sb.revenue_growth(sb.payments(fx.subscriptions, fx.plans)),
+    }
+
+
 def _wrap(builders: dict) -> dict[str, Query]:
     return {k: (lambda spark, sf_dir, _b=b: _b(_fx(spark, sf_dir))) for k, b in builders.items()}
 
@@ -85,6 +107,7 @@ def _wrap(builders: dict) -> dict[str, Query]:
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-for _builders, _oracle in [(_click(), o_cs.ORACLE), (_loyalty(), o_ly.ORACLE)]:
+for _builders, _oracle in [(_click(), o_cs.ORACLE), (_loyalty(), o_ly.ORACLE),
+                          (_subscriptions(), o_sb.ORACLE)]:
     QUERIES.update(_wrap(_builders))
     ORACLE.update(_oracle)
