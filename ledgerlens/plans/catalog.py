@@ -10,9 +10,11 @@ from ..sources.fixtures import Fixtures
 from . import clickstream as cs
 from . import loyalty as ly
 from . import subscriptions as sb
+from . import retail as rt
 from .oracle import clickstream as o_cs
 from .oracle import loyalty as o_ly
 from .oracle import subscriptions as o_sb
+from .oracle import retail as o_rt
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,6 +102,29 @@ def _subscriptions() -> dict[str, Query]:
     }
 
 
+def _retail() -> dict[str, Query]:
+    def clean(fx):
+        return rt.clean_weekly_sales(fx.weekly_sales_raw)
+
+    return {
+        "clean_weekly_sales": clean,
+        "retail_weekdays": lambda fx: rt.weekdays(clean(fx)),
+        "retail_missing_weeks": lambda fx: rt.missing_weeks(fx.spark, clean(fx)),
+        "retail_transactions_by_year": lambda fx: rt.transactions_by_year(clean(fx)),
+        "retail_sales_region_month": lambda fx: rt.sales_region_month(clean(fx)),
+        "retail_rows_by_platform": lambda fx: rt.rows_by_platform(clean(fx)),
+        "retail_platform_share_month": lambda fx: rt.platform_share_month(clean(fx)),
+        "retail_demographic_share_year": lambda fx: rt.demographic_share_year(clean(fx)),
+        "retail_top_segments": lambda fx: rt.top_segments(clean(fx)),
+        "retail_true_average": lambda fx: rt.true_average(clean(fx)),
+        "impact_4w": lambda fx: rt.impact(clean(fx), 4),
+        "impact_12w": lambda fx: rt.impact(clean(fx), 12),
+        "impact_4w_by_year": lambda fx: rt.impact_by_year(clean(fx), 4),
+        "impact_12w_by_year": lambda fx: rt.impact_by_year(clean(fx), 12),
+        "impact_by_dimension": lambda fx: rt.impact_by_dimension(clean(fx)),
+    }
+
+
 def _wrap(builders: dict) -> dict[str, Query]:
     return {k: (lambda spark, sf_dir, _b=b: _b(_fx(spark, sf_dir))) for k, b in builders.items()}
 
@@ -108,6 +133,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 for _builders, _oracle in [(_click(), o_cs.ORACLE), (_loyalty(), o_ly.ORACLE),
-                          (_subscriptions(), o_sb.ORACLE)]:
+                          (_subscriptions(), o_sb.ORACLE),
+                          (_retail(), o_rt.ORACLE)]:
     QUERIES.update(_wrap(_builders))
     ORACLE.update(_oracle)
