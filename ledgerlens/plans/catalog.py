@@ -11,10 +11,12 @@ from . import clickstream as cs
 from . import loyalty as ly
 from . import subscriptions as sb
 from . import retail as rt
+from . import delivery as dl
 from .oracle import clickstream as o_cs
 from .oracle import loyalty as o_ly
 from .oracle import subscriptions as o_sb
 from .oracle import retail as o_rt
+from .oracle import delivery as o_dl
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +127,51 @@ def _retail() -> dict[str, Query]:
     }
 
 
+def _delivery() -> dict[str, Query]:
+    def items(fx):
+        return dl.clean_order_items(fx.order_items_raw)
+
+    def runs(fx):
+        return dl.clean_runs(fx.runs_raw)
+
+    return {
+        "clean_order_items": items,
+        "clean_runs": runs,
+        "delivery_item_count": lambda fx: dl.item_count(items(fx)),
+        "delivery_order_count": lambda fx: dl.order_count(items(fx)),
+        "delivery_success_per_runner": lambda fx: dl.success_per_runner(runs(fx)),
+        "delivery_items_by_type": lambda fx: dl.items_by_type(items(fx), runs(fx)),
+        "delivery_items_customer_type":
+            lambda fx: dl.items_customer_type(items(fx), fx.item_types),
+        "delivery_max_items_per_order": lambda fx: dl.max_items_per_order(items(fx), runs(fx)),
+        "delivery_changed_vs_plain": lambda fx: dl.changed_vs_plain(items(fx), runs(fx)),
+        "delivery_both_changes": lambda fx: dl.both_changes(items(fx), runs(fx)),
+        "delivery_hour_histogram": lambda fx: dl.hour_histogram(items(fx)),
+        "delivery_weekday_histogram": lambda fx: dl.weekday_histogram(items(fx)),
+        "runner_signup_weeks": lambda fx: dl.signup_weeks(fx.runners),
+        "runner_pickup_minutes": lambda fx: dl.pickup_minutes(items(fx), runs(fx)),
+        "prep_time_by_size": lambda fx: dl.prep_time_by_size(items(fx), runs(fx)),
+        "customer_mean_distance": lambda fx: dl.customer_mean_distance(items(fx), runs(fx)),
+        "delivery_duration_spread": lambda fx: dl.duration_spread(runs(fx)),
+        "runner_speed": lambda fx: dl.runner_speed(runs(fx)),
+        "runner_success_pct": lambda fx: dl.success_pct(runs(fx)),
+        "recipe_ingredients": lambda fx: dl.recipe_ingredients(
+            fx.recipes, fx.item_types, fx.toppings, items(fx)),
+        "top_extra_with_ties": lambda fx: dl.top_extra(items(fx), runs(fx), fx.toppings),
+        "top_exclusion_with_ties": lambda fx: dl.top_exclusion(items(fx), runs(fx), fx.toppings),
+        "order_item_label": lambda fx: dl.item_label(items(fx), fx.item_types, fx.toppings),
+        "order_ingredient_list": lambda fx: dl.ingredient_list(
+            items(fx), fx.item_types, fx.recipes, fx.toppings),
+        "ingredient_totals": lambda fx: dl.ingredient_totals(
+            items(fx), runs(fx), fx.recipes, fx.toppings),
+        "revenue_base": lambda fx: dl.revenue_base(items(fx), runs(fx)),
+        "revenue_with_extras": lambda fx: dl.revenue_with_extras(items(fx), runs(fx)),
+        "ratings_contract": lambda fx: dl.ratings_contract(fx.ratings, runs(fx), fx.runners),
+        "delivery_report": lambda fx: dl.delivery_report(fx.ratings, runs(fx), items(fx)),
+        "net_profit": lambda fx: dl.net_profit(items(fx), runs(fx)),
+    }
+
+
 def _wrap(builders: dict) -> dict[str, Query]:
     return {k: (lambda spark, sf_dir, _b=b: _b(_fx(spark, sf_dir))) for k, b in builders.items()}
 
@@ -134,6 +181,7 @@ ORACLE: dict[str, str] = {}
 
 for _builders, _oracle in [(_click(), o_cs.ORACLE), (_loyalty(), o_ly.ORACLE),
                           (_subscriptions(), o_sb.ORACLE),
-                          (_retail(), o_rt.ORACLE)]:
+                          (_retail(), o_rt.ORACLE),
+                          (_delivery(), o_dl.ORACLE)]:
     QUERIES.update(_wrap(_builders))
     ORACLE.update(_oracle)
