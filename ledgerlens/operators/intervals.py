@@ -39,8 +39,8 @@ def overlapping_intervals(intervals: DataFrame, key: str, start_col: str, end_co
     that would make a BETWEEN join fan out. The window is global over the
     interval table, which is a dimension (campaigns), not a fact table."""
     w = Window.orderBy(start_col, key)
-    nxt = F.lead(start_col).over(w)
+    nxt = F.col("next_start")
     clash = (nxt <= F.col(end_col)) if inclusive else (nxt < F.col(end_col))
-    return (intervals.withColumn("next_start", nxt)
+    return (intervals.withColumn("next_start", F.lead(start_col).over(w))
             .withColumn("next_key", F.lead(key).over(w))
             .where(clash))

@@ -74,23 +74,24 @@ def spend_before_join(sales, menu, members):
                  F.sum("price").cast(MONEY).alias("total_spent")))
 
 
-def _base_points():
+def _base_points(bonus_product: str):
     unit = F.col("price") * POINTS_PER_UNIT
-    return F.when(F.col("product_name") == BONUS_PRODUCT, unit * 2).otherwise(unit)
+    return F.when(F.col("product_name") == bonus_product, unit * 2).otherwise(unit)
 
 
-def points(sales, menu):
+def points(sales, menu, bonus_product: str = BONUS_PRODUCT):
     return (_priced(sales, menu).groupBy("customer_id")
-            .agg(F.sum(_base_points()).cast(MONEY).alias("points")))
+            .agg(F.sum(_base_points(bonus_product)).cast(MONEY).alias("points")))
 
 
-def points_first_week(sales, menu, members, cutoff=POINTS_CUTOFF):
+def points_first_week(sales, menu, members, cutoff=POINTS_CUTOFF,
+                      bonus_product: str = BONUS_PRODUCT):
     """First-week double points take priority over the product bonus."""
     j = _priced(sales, menu).join(members, "customer_id").where(F.col("order_date") < F.lit(cutoff))
     unit = F.col("price") * POINTS_PER_UNIT
     first_week = F.col("order_date").between(
         F.col("join_date"), F.date_add("join_date", FIRST_WEEK_DAYS - 1))
-    pts = F.when(first_week, unit * 2).otherwise(_base_points())
+    pts = F.when(first_week, unit * 2).otherwise(_base_points(bonus_product))
     return j.groupBy("customer_id").agg(F.sum(pts).cast(MONEY).alias("members_points"))
 
 
