@@ -58,12 +58,10 @@ def join_names(names: Column, sep: str = ", ") -> Column:
 
 def case_insensitive_sort(arr: Column) -> Column:
     """Alphabetical order ignoring case, then binary order for ties:
-    ``Bacon, BBQ Sauce, Beef``."""
-    def cmp(left, right):
-        ll, lr = F.lower(left), F.lower(right)
-        return (F.when(ll < lr, -1).when(ll > lr, 1)
-                .when(left < right, -1).when(left > right, 1).otherwise(0))
-    return F.array_sort(arr, cmp)
+    ``Bacon, BBQ Sauce, Beef``. Sorts (lower(x), x) structs with the built-in
+    comparator instead of a comparator lambda."""
+    keyed = F.transform(arr, lambda x: F.struct(F.lower(x).alias("k"), x.alias("v")))
+    return F.transform(F.array_sort(keyed), lambda s: s["v"])
 
 
 def edit_list(base: Column, removed: Column, added: Column) -> Column:
@@ -78,9 +76,12 @@ def edit_list(base: Column, removed: Column, added: Column) -> Column:
 
 def mark_repeats(items: Column, times: int = 2, prefix_all: bool = False) -> Column:
     """Distinct items, prefixed ``'2x'`` when they occur exactly ``times`` times
-    (``prefix_all`` writes ``'Nx'`` for any count above one)."""
+    (``prefix_all`` writes ``'Nx'`` for any count above one). Occurrences are
+    counted with the built-in ``array_remove`` (no nested lambda)."""
+    total = F.size(items)
+
     def label(x):
-        n = F.size(F.filter(items, lambda y: y == x))
+        n = total - F.size(F.array_remove(items, x))
         if prefix_all:
             return F.when(n > 1, F.concat(n.cast("string"), F.lit("x"), x)).otherwise(x)
         return F.when(n == times, F.concat(F.lit(f"{times}x"), x)).otherwise(x)

@@ -2,10 +2,12 @@
 
 ``row_number() OVER (ORDER BY ..)`` with no partition sorts everything in one
 task. Here the rows are range-partitioned on the order and sorted inside each
-partition; the frame is checkpointed (reliable storage under the session's
-checkpoint dir, so the numbering is stable under recomputation and executor
-loss); per-partition row counts (one row per partition) give prefix offsets;
-the key is offset + position inside the partition.
+partition, and that staged frame is checkpointed (reliable storage under the
+session's shared checkpoint folder). Per-partition row counts (one row per
+partition) give prefix offsets; the key is the offset plus the position
+inside the partition. Both the counts and the numbering read the same
+checkpointed partitions, so they agree even if a re-plan or an executor loss
+would sample different range bounds on recomputation.
 """
 
 from __future__ import annotations
@@ -17,14 +19,17 @@ from ..session import checkpoint_dir
 
 
 def surrogate_key(df: DataFrame, order: list[Column], name: str = "rownum",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    staged = (ordered.withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    staged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("__pid", F.spark_partition_id())
+              .withColumn("__mid", F.monotonically_increasing_id()))
+    if checkpoint:
+        checkpoint_dir(spark)
+        staged = staged.checkpoint(eager=True)
+    # Without the checkpoint the two reads below may see differently sampled
+    # range bounds; only use checkpoint=False on a deterministic cached input.
     counts = staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.withColumn(
         "__off", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(

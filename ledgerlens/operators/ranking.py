@@ -29,6 +29,18 @@ def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int =
     return out if rank_col else out.drop(name)
 
 
+def dense_rank_by_value(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """``DENSE_RANK() OVER (PARTITION BY keys ORDER BY value)`` for every row,
+    skew-safe: the rank is computed over the distinct (keys, value) pairs (a
+    hot key holds at most one row per distinct value there) and joined back on
+    (keys, value), which spreads a hot key over its values; AQE's skew join
+    splits any value that is itself hot."""
+    distinct = df.select(*keys, value).distinct()
+    ranked = distinct.withColumn(name, F.dense_rank().over(
+        Window.partitionBy(*keys).orderBy(value)))
+    return df.join(ranked, [*keys, value], "left")
+
+
 def top_k_with_ties(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     """Global top-k keeping ties (``TOP k WITH TIES``). Meant for aggregated
     frames (one row per item); the global window then sorts a small frame."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.asof import asof_first, asof_last, join_before
-from ..operators.ranking import top_k, top_per_group
+from ..operators.ranking import dense_rank_by_value, top_k, top_per_group
 
 # Parameters of the points rules: points per unit of price, the product that
 # always earns double, the length of the double-points first week, and the
@@ -103,6 +103,10 @@ def joined_view(sales, menu, members):
 
 
 def member_ranking(sales, menu, members):
+    """Dense rank of member-period purchases by date per customer; NULL for
+    purchases made as a non-member. Ranks come from the distinct purchase
+    dates, so one very active customer does not sort all its rows in one task."""
     v = joined_view(sales, menu, members)
-    w = Window.partitionBy("customer_id", "member").orderBy("order_date")
-    return v.withColumn("ranking", F.when(F.col("member") == "Y", F.dense_rank().over(w)))
+    ranked = dense_rank_by_value(v, ["customer_id", "member"], "order_date", "__r")
+    return ranked.select("customer_id", "order_date", "product_name", "price", "member",
+                         F.when(F.col("member") == "Y", F.col("__r")).alias("ranking"))

@@ -233,10 +233,12 @@ class Fixtures:
         c = self.src.read("customer", "c_custkey", "c_nationkey", "c_mktsegment")
         n = self.src.read("nation", "n_nationkey", "n_regionkey")
         r = self.src.read("region", "r_regionkey", "r_name")
-        j = (li.join(o, li.l_orderkey == o.o_orderkey)
-             .join(c, F.col("o_custkey") == F.col("c_custkey"))
-             .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-             .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+        # Resolve each order's region and segment on the order side first, so
+        # the line items (the largest table) are shuffled once, on the order key.
+        geo = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+        order_attrs = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+                       .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
+        j = li.join(order_attrs, li.l_orderkey == order_attrs.o_orderkey)
         week = F.date_add(F.to_date(F.date_trunc("week", F.col("l_shipdate"))), RETAIL_SHIFT_DAYS)
         keyed = j.select(
             week.alias("wk"),
