@@ -177,9 +177,14 @@ def funnel_mean_rate(funnel: DataFrame, num: str, den: str, name: str) -> DataFr
 
 # -- campaigns ------------------------------------------------------------------
 def campaign_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
-                     event_names: DataFrame, campaigns: DataFrame) -> DataFrame:
+                     event_names: DataFrame, campaigns: DataFrame,
+                     order_by: str = "event_time, event_id") -> DataFrame:
     """One row per visit: counts, purchase flag, campaign by visit start time,
-    and the cart products in sequence order."""
+    and the cart products in event order.
+
+    ``order_by`` is the in-visit event order (the sequence number's own order by
+    default, which needs no per-visit window; pass ``'sequence_number'`` to
+    use the stored numbering)."""
     ev = (events.join(fixed_dimension(event_names.select("event_type")), "event_type", "left_semi")
           .join(fixed_dimension(pages.select("page_id", "page_name")), "page_id", "left"))
     et = F.col("event_type")
@@ -191,7 +196,7 @@ def campaign_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
         F.sum(_flag(et == IMPRESSION)).cast("bigint").alias("impression"),
         F.sum(_flag(et == CLICK)).cast("bigint").alias("click"),
         F.expr(f"listagg(CASE WHEN event_type = {CART} THEN page_name END, ', ') "
-               "WITHIN GROUP (ORDER BY sequence_number)").alias("cart_products"))
+               f"WITHIN GROUP (ORDER BY {order_by})").alias("cart_products"))
     with_user = per_visit.join(users.select("cookie_id", "user_id"), "cookie_id")
     matched = interval_join(with_user, "visit_start_time",
                             campaigns.select("campaign_name", "start_date", "end_date"),

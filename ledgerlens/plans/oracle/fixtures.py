@@ -132,7 +132,7 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
               "min(ts) AS start_date FROM events GROUP BY user_id"),
     "web_events": ((), f"""SELECT visit_id, cookie_id, page_id, event_type,
         CAST(row_number() OVER (PARTITION BY visit_id ORDER BY event_time, event_id) AS INTEGER)
-          AS sequence_number, event_time
+          AS sequence_number, event_time, event_id
         FROM (SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS visit_id,
                      CAST(user_id AS VARCHAR) AS cookie_id,
                      CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 13 + 1 AS INTEGER)

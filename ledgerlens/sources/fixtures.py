@@ -219,11 +219,16 @@ class Fixtures:
         o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
         days = F.datediff(F.to_date("o_orderdate"), F.lit(SUBSCRIPTION_EPOCH))
         start = F.date_add(F.lit(SUBSCRIPTION_START), int_div(days, 5).cast("int"))
-        first = (o.groupBy(F.col("o_custkey").alias("customer_id"), start.alias("start_date"))
-                 .agg(F.min_by("o_orderpriority", "o_orderkey").alias("prio")))
-        n = F.row_number().over(Window.partitionBy("customer_id").orderBy("start_date"))
-        plan = F.when(n == 1, F.lit(0)).otherwise(_case(F.col("prio"), PRIORITY_PLANS, 1))
-        return first.select("customer_id", plan.cast("int").alias("plan_id"), "start_date")
+        changes = (o.groupBy(F.col("o_custkey").alias("customer_id"), start.alias("start_date"))
+                   .agg(F.min_by("o_orderpriority", "o_orderkey").alias("prio")))
+        # Start dates are unique per customer, so the first change (the trial)
+        # is the one on the customer's earliest date: an aggregate joined back,
+        # which stays partial-aggregated and skew-safe for a very active customer.
+        firsts = changes.groupBy("customer_id").agg(F.min("start_date").alias("first_date"))
+        j = changes.join(firsts, "customer_id")
+        plan = (F.when(F.col("start_date") == F.col("first_date"), F.lit(0))
+                .otherwise(_case(F.col("prio"), PRIORITY_PLANS, 1)))
+        return j.select("customer_id", plan.cast("int").alias("plan_id"), "start_date")
 
     # -- retail (case 5) ---------------------------------------------------
     @property
@@ -276,4 +281,4 @@ class Fixtures:
                          "event_id", F.col("ts").alias("event_time"))
         seq = F.row_number().over(Window.partitionBy("visit_id").orderBy("event_time", "event_id"))
         return base.select("visit_id", "cookie_id", "page_id", "event_type",
-                           seq.cast("int").alias("sequence_number"), "event_time")
+                           seq.cast("int").alias("sequence_number"), "event_time", "event_id")
