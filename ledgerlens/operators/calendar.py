@@ -40,4 +40,6 @@ def recurring_schedule(df: DataFrame, start_col: str, bound_col: str, repeat: Co
     ``bound_col`` (inclusive); other rows (annual, terminal) occur once."""
     start, bound = F.col(start_col), F.col(bound_col)
     dates = F.when(repeat, monthly_dates(start, bound)).otherwise(F.array(start))
-    return df.withColumn(out_col, F.explode(dates))
+    # explode_outer + NULL filter: an inner explode lets the optimizer push an
+    # inferred size(dates) > 0 filter down, which would evaluate the fold twice.
+    return df.withColumn(out_col, F.explode_outer(dates)).where(F.col(out_col).isNotNull())

@@ -66,12 +66,31 @@ def case_insensitive_sort(arr: Column) -> Column:
 
 def edit_list(base: Column, removed: Column, added: Column) -> Column:
     """``base`` minus every element of ``removed`` (NULL-safe anti join), plus
-    ``added`` (bag union); NULL elements dropped."""
-    removed_nn = F.coalesce(F.filter(removed, lambda x: x.isNotNull()), F.array().cast("array<string>"))
-    kept = F.filter(F.coalesce(base, F.array().cast("array<string>")),
-                    lambda x: ~F.array_contains(removed_nn, x))
-    extra = F.coalesce(added, F.array().cast("array<string>"))
-    return F.filter(F.concat(kept, extra), lambda x: x.isNotNull())
+    ``added`` (bag union); NULL elements dropped.
+
+    Pass plain column references: an array captured inside a lambda is
+    evaluated once per element, so callers first project the three arrays as
+    columns (see ``edit_lists``)."""
+    empty = F.array().cast("array<string>")
+    base_nn = F.coalesce(base, empty)
+    kept = F.when(F.size(removed) <= 0, base_nn).otherwise(
+        F.filter(base_nn, lambda x: ~F.array_contains(removed, x)))
+    return F.array_compact(F.concat(kept, F.coalesce(added, empty)))
+
+
+def edit_lists(df: DataFrame, base: Column, removed: Column, added: Column,
+               out: str) -> DataFrame:
+    """Project ``base``, ``removed`` (NULL-free) and ``added`` once, then edit.
+    ``removed`` is referenced twice in the edit (size test and lambda), which
+    keeps the optimizer from inlining it into the lambda."""
+    empty = F.array().cast("array<string>")
+    staged = df.withColumns({
+        "__base": F.array_compact(F.coalesce(base, empty)),
+        "__removed": F.coalesce(F.array_compact(removed), empty),
+        "__added": F.array_compact(F.coalesce(added, empty))})
+    return staged.withColumn(out, edit_list(F.col("__base"), F.col("__removed"),
+                                            F.col("__added"))) \
+        .drop("__base", "__removed", "__added")
 
 
 def mark_repeats(items: Column, times: int = 2, prefix_all: bool = False) -> Column:

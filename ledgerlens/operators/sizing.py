@@ -14,7 +14,21 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 200_000
 
 
+def plan_max_rows(df: DataFrame) -> int | None:
+    """Upper bound on the row count that Catalyst proves from the plan alone
+    (exact for literal relations, propagated through projections, filters and
+    limits), or None when the plan gives no bound."""
+    bound = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return int(bound.get()) if bound.isDefined() else None
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows: from the plan's proven
+    bound when it has one, otherwise by a capped count that stops scanning
+    after ``max_rows + 1`` rows."""
+    bound = plan_max_rows(df)
+    if bound is not None and bound <= max_rows:
+        return True
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -223,12 +223,10 @@ def _atomic(items, recipes, toppings) -> DataFrame:
     """Each item's final ingredient bag: recipe minus exclusions plus extras."""
     m = _topping_map(toppings)
     recipe_names = fixed_dimension(recipes.select(
-        "item_type_id", L.names_of(L.split_ids("toppings"), m).alias("__base")))
+        "item_type_id", L.names_of(L.split_ids("toppings"), m).alias("__recipe")))
     j = items.join(recipe_names, "item_type_id", "left")
-    return j.withColumn("__atomic", L.edit_list(
-        F.filter(F.col("__base"), lambda x: x.isNotNull()),
-        L.names_of(L.split_ids("exclusions"), m),
-        L.names_of(L.split_ids("extras"), m)))
+    return L.edit_lists(j, F.col("__recipe"), L.names_of(L.split_ids("exclusions"), m),
+                        L.names_of(L.split_ids("extras"), m), "__atomic").drop("__recipe")
 
 
 def ingredient_list(items, item_types, recipes, toppings, prefix_all: bool = False):
@@ -248,7 +246,10 @@ def ingredient_list(items, item_types, recipes, toppings, prefix_all: bool = Fal
 
 def ingredient_totals(items, runs, recipes, toppings):
     a = _atomic(_delivered_items(items, runs), recipes, toppings)
-    return (a.select(F.explode("__atomic").alias("atomic_topping_name"))
+    # explode_outer + NULL filter: an inner explode would make the optimizer
+    # add a pushed-down size(array) > 0 filter that evaluates the edit twice.
+    return (a.select(F.explode_outer("__atomic").alias("atomic_topping_name"))
+            .where(F.col("atomic_topping_name").isNotNull())
             .groupBy("atomic_topping_name")
             .agg(F.count("atomic_topping_name").alias("total_used_ingredient"))
             .orderBy(F.desc("total_used_ingredient")))

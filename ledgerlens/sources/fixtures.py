@@ -87,7 +87,21 @@ class Fixtures:
 
     # -- literal dimensions (fixed size: safe to broadcast) ---------------
     def _literal(self, rows, schema: str) -> DataFrame:
-        return self.spark.createDataFrame(rows, schema)
+        """Literal rows as a SQL VALUES relation: a JVM-side LocalRelation (no
+        Python RDD, so no Python worker is started to read it)."""
+        fields = [f.strip().split(" ", 1) for f in schema.split(",")]
+
+        def lit(v):
+            if v is None:
+                return "NULL"
+            if isinstance(v, str):
+                return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            return repr(v)
+
+        body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+        names = ", ".join(n for n, _ in fields)
+        casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in fields)
+        return self.spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({names})")
 
     @cached_property
     def item_types(self) -> DataFrame:
