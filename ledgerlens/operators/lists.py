@@ -73,8 +73,10 @@ def edit_list(base: Column, removed: Column, added: Column) -> Column:
     columns (see ``edit_lists``)."""
     empty = F.array().cast("array<string>")
     base_nn = F.coalesce(base, empty)
+    # NULL-safe NOT IN: a NULL element in ``removed`` makes array_contains
+    # NULL for non-members, which must keep the row (the NULL guard).
     kept = F.when(F.size(removed) <= 0, base_nn).otherwise(
-        F.filter(base_nn, lambda x: ~F.array_contains(removed, x)))
+        F.filter(base_nn, lambda x: F.coalesce(~F.array_contains(removed, x), F.lit(True))))
     return F.array_compact(F.concat(kept, F.coalesce(added, empty)))
 
 
