@@ -258,7 +258,9 @@ class Fixtures:
         order_attrs = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
                        .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
         j = li.join(order_attrs, li.l_orderkey == order_attrs.o_orderkey)
-        week = F.date_add(F.to_date(F.date_trunc("week", F.col("l_shipdate"))), RETAIL_SHIFT_DAYS)
+        ship = F.to_date("l_shipdate")
+        monday = F.date_sub(ship, (F.dayofweek(ship) + 5) % 7)     # Sunday=1 .. Saturday=7
+        week = F.date_add(monday, RETAIL_SHIFT_DAYS)
         keyed = j.select(
             week.alias("wk"),
             F.col("r_name").alias("region"),
