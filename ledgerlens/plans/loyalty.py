@@ -109,4 +109,4 @@ def member_ranking(sales, menu, members):
     v = joined_view(sales, menu, members)
     ranked = dense_rank_by_value(v, ["customer_id", "member"], "order_date", "__r")
     return ranked.select("customer_id", "order_date", "product_name", "price", "member",
-                         F.when(F.col("member") == "Y", F.col("__r")).alias("ranking"))
+                         F.when(F.col("member") == "Y", F.col("__r")).cast("bigint").alias("ranking"))

@@ -152,7 +152,7 @@ def payments(subs, plans, year_end=YEAR_END, horizon=YEAR_END):
     return sched.select("customer_id", "plan_id", "plan_name",
                         F.col("pay_date").alias("start_date"),
                         amount.cast("decimal(6,2)").alias("amount_paid"),
-                        F.rank().over(wp).alias("payment_order"))
+                        F.rank().over(wp).cast("bigint").alias("payment_order"))
 
 
 def revenue_growth(pay: DataFrame) -> DataFrame:
