@@ -4,9 +4,11 @@ Shapes: ``subscriptions(customer_id, plan_id, start_date)`` (one row per plan
 change) and ``plans(plan_id, plan_name, price)``. Plan codes: 0 trial,
 1 basic monthly, 2 pro monthly, 3 pro annual, 4 churn.
 
-Per-customer windows (lead/lag/rank) all partition by ``customer_id``; the
-schedule expansion between them is a narrow explode, so the billing table
-costs one shuffle on the customer key. Plans are a fixed 5-row dimension.
+Neighbour values inside a customer's timeline (next change, previous billed
+plan, payment order) come from ``operators.sequences.sequence_columns``, which
+range-partitions on (customer, date) so one very active customer is spread
+over many tasks; the schedule expansion between them is a narrow explode.
+Plans are a fixed 5-row dimension.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from ..functions import int_div, ratio
 from ..operators.asof import role_join, snapshot_at
 from ..operators.calendar import recurring_schedule
 from ..operators.ranking import growth, top_per_group
+from ..operators.sequences import group_row_limit, sequence_columns
 from ..operators.sizing import fixed_dimension
 
 TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
@@ -63,8 +66,7 @@ def churn_rate(subs):
 
 def immediate_churn(subs):
     """Churn rows whose previous change is the trial, over distinct customers."""
-    prev = F.lag("plan_id").over(Window.partitionBy("customer_id").orderBy("start_date"))
-    flagged = subs.withColumn("lag_id", prev)
+    flagged = sequence_columns(subs, ["customer_id"], ["start_date"], lags={"lag_id": "plan_id"})
     n = F.sum(F.when((F.col("plan_id") == CHURN) & (F.col("lag_id") == TRIAL), 1).otherwise(0))
     return flagged.agg(n.alias("immediate_churn"),
                        ratio(n, F.countDistinct("customer_id"), 0, 100)
@@ -134,25 +136,34 @@ def payments(subs, plans, year_end=YEAR_END, horizon=YEAR_END):
     churn caps the previous plan and is not billed; a monthly date falling on
     the next change's day is dropped; an upgrade from basic is credited with
     the basic price just paid."""
-    w = Window.partitionBy("customer_id").orderBy("start_date")
-    base = (subs.where((F.col("plan_id") != TRIAL) & (F.col("start_date") < F.lit(year_end)))
-            .join(fixed_dimension(plans), "plan_id")
-            .withColumn("next_plan_date", F.lead("start_date").over(w)))
+    changes = (subs.where((F.col("plan_id") != TRIAL) & (F.col("start_date") < F.lit(year_end)))
+               .join(fixed_dimension(plans), "plan_id"))
+    # One pass over the changes decides the plan for both sequence steps: a
+    # customer's schedule has at most (changes x months to the horizon) rows.
+    stats = (changes.groupBy("customer_id")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("start_date").alias("s"))
+             .agg(F.max("n").alias("n"), F.min("s").alias("s")).first())
+    months = 0
+    if stats["s"] is not None:
+        months = (horizon.year - stats["s"].year) * 12 + horizon.month - stats["s"].month + 1
+    segmented = (stats["n"] or 0) * max(months, 1) > group_row_limit(subs.sparkSession)
+    base = sequence_columns(changes, ["customer_id"], ["start_date"],
+                            leads={"next_plan_date": "start_date"}, segmented=segmented)
     base = base.withColumn("bound", F.coalesce("next_plan_date", F.lit(horizon)))
     repeat = ~F.col("plan_id").isin(ANNUAL, CHURN)
     sched = (recurring_schedule(base, "start_date", "bound", repeat, "pay_date")
              .where((F.col("plan_id") != CHURN)
                     & (F.col("next_plan_date").isNull()
                        | (F.col("pay_date") != F.col("next_plan_date")))))
-    wp = Window.partitionBy("customer_id").orderBy("pay_date")
-    sched = (sched.withColumn("last_plan", F.lag("plan_id").over(wp))
-             .withColumn("last_price", F.lag("price").over(wp)))
+    # Billing dates are unique per customer, so RANK equals the row number.
+    sched = sequence_columns(sched, ["customer_id"], ["pay_date"],
+                             lags={"last_plan": "plan_id", "last_price": "price"},
+                             row_number="payment_order", segmented=segmented)
     credit = F.col("plan_id").isin(PRO, ANNUAL) & (F.col("last_plan") == BASIC)
     amount = F.when(credit, F.col("price") - F.col("last_price")).otherwise(F.col("price"))
     return sched.select("customer_id", "plan_id", "plan_name",
                         F.col("pay_date").alias("start_date"),
-                        amount.cast("decimal(6,2)").alias("amount_paid"),
-                        F.rank().over(wp).cast("bigint").alias("payment_order"))
+                        amount.cast("decimal(6,2)").alias("amount_paid"), "payment_order")
 
 
 def revenue_growth(pay: DataFrame) -> DataFrame:

@@ -118,3 +118,20 @@ def test_plan_check_flags_a_global_window_over_raw_rows(fx):
     bad = fx.web_events.withColumn("r", F.row_number().over(Window.orderBy("event_time")))
     plan = bad._jdf.queryExecution().executedPlan().toString()
     assert not _single_partition_inputs_are_aggregated(plan)
+
+
+def test_sequence_columns_match_windows_on_a_hot_key(spark):
+    from ledgerlens.operators.sequences import sequence_columns
+    hot = spark.range(0, 4000).select(F.lit(0).alias("k"), F.col("id").alias("o"),
+                                      (F.col("id") * 7 % 11).alias("v"))
+    cold = spark.range(0, 8000).select((F.col("id") % 40 + 1).alias("k"), F.col("id").alias("o"),
+                                       (F.col("id") % 5).alias("v"))
+    df = hot.unionByName(cold)
+    w = Window.partitionBy("k").orderBy("o")
+    want = df.select("k", "o", "v", F.lag("v").over(w).alias("pv"), F.lead("o").over(w).alias("no"),
+                     F.row_number().over(w).cast("bigint").alias("rn"))
+    for limit in (0, 10**9):   # segment plan (forced) and plain windows
+        got = sequence_columns(df, ["k"], ["o"], lags={"pv": "v"}, leads={"no": "o"},
+                               row_number="rn", partitions=9, max_group_rows=limit) \
+            .select("k", "o", "v", "pv", "no", "rn")
+        assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
