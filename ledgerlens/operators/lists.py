@@ -49,6 +49,34 @@ def names_of(ids: Column, mapping: Column) -> Column:
     return F.transform(ids, lambda i: F.try_element_at(mapping, i))
 
 
+def with_names(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_value: str,
+               out: str, max_rows: int | None = None) -> DataFrame:
+    """Add ``out``: the names of the CSV ids in ``ids_col``, in list order
+    (unknown ids give NULL elements, a NULL list gives NULL).
+
+    A size-checked dimension becomes a literal map (per-row lookup, no
+    shuffle). Beyond the bound the names are resolved once per distinct list
+    text (the result depends on nothing else): the distinct lists are
+    exploded with their positions, joined to the dimension, regrouped in
+    position order and joined back on the list text. No row key and no
+    driver-side data; a very common list is one hot join key, which AQE's
+    skew join splits on the row side."""
+    m = lookup_map(dim, dim_key, dim_value, MAX_LOOKUP_ROWS if max_rows is None else max_rows)
+    if m is not None:
+        return df.withColumn(out, names_of(split_ids(ids_col), m))
+    lists_ = df.select(F.col(ids_col).alias("__list")).where(F.col("__list").isNotNull()).distinct()
+    parts = lists_.select("__list", F.posexplode(split_ids("__list")).alias("__pos", "__id"))
+    names = dim.select(F.col(dim_key).alias("__id"), F.col(dim_value).alias("__name"))
+    arrays = (parts.join(names, "__id", "left").groupBy("__list")
+              .agg(F.array_sort(F.collect_list(F.struct("__pos", "__name"))).alias("__pairs"))
+              .select("__list", F.transform("__pairs", lambda s: s["__name"]).alias("__names")))
+    empty = F.array().cast("array<string>")
+    joined = df.join(arrays, df[ids_col] == arrays["__list"], "left")
+    out_col = F.when(F.col(ids_col).isNull(), F.lit(None).cast("array<string>")) \
+        .otherwise(F.coalesce(F.col("__names"), empty))
+    return joined.withColumn(out, out_col).drop("__list", "__names")
+
+
 def join_names(names: Column, sep: str = ", ") -> Column:
     """STRING_AGG semantics: NULL elements are skipped and a list with no
     non-NULL element gives NULL (not '')."""

@@ -196,20 +196,14 @@ def top_exclusion(items, runs, toppings):
     return _top_list_item(items, runs, toppings, "exclusions")
 
 
-def _topping_map(toppings: DataFrame):
-    m = L.lookup_map(toppings, "topping_id", "topping_name")
-    if m is None:
-        raise ValueError("topping dimension exceeds the lookup bound; "
-                         "use explode_list/collapse_list on a row key instead")
-    return m
-
-
 def item_label(items, item_types, toppings):
     """'Name - Exclude a, b - Extra c' per ordered item."""
-    m = _topping_map(toppings)
-    excl = L.join_names(L.names_of(L.split_ids("exclusions"), m))
-    extra = L.join_names(L.names_of(L.split_ids("extras"), m))
-    j = items.join(fixed_dimension(item_types), "item_type_id")
+    named = L.with_names(L.with_names(items, "exclusions", toppings, "topping_id", "topping_name",
+                                      "__excl"),
+                         "extras", toppings, "topping_id", "topping_name", "__extra")
+    excl = L.join_names(F.col("__excl"))
+    extra = L.join_names(F.col("__extra"))
+    j = named.join(fixed_dimension(item_types), "item_type_id")
     name = F.col("item_name")
     receipt = (F.when(extra.isNull() & excl.isNull(), name)
                .when(excl.isNull(), concat_nullsafe(name, F.lit(" - Extra "), extra))
@@ -221,12 +215,14 @@ def item_label(items, item_types, toppings):
 
 def _atomic(items, recipes, toppings) -> DataFrame:
     """Each item's final ingredient bag: recipe minus exclusions plus extras."""
-    m = _topping_map(toppings)
-    recipe_names = fixed_dimension(recipes.select(
-        "item_type_id", L.names_of(L.split_ids("toppings"), m).alias("__recipe")))
-    j = items.join(recipe_names, "item_type_id", "left")
-    return L.edit_lists(j, F.col("__recipe"), L.names_of(L.split_ids("exclusions"), m),
-                        L.names_of(L.split_ids("extras"), m), "__atomic").drop("__recipe")
+    recipe_names = L.with_names(recipes, "toppings", toppings, "topping_id", "topping_name",
+                                "__recipe").select("item_type_id", "__recipe")
+    j = items.join(fixed_dimension(recipe_names), "item_type_id", "left")
+    j = L.with_names(L.with_names(j, "exclusions", toppings, "topping_id", "topping_name",
+                                  "__excl"),
+                     "extras", toppings, "topping_id", "topping_name", "__extra")
+    return L.edit_lists(j, F.col("__recipe"), F.col("__excl"), F.col("__extra"), "__atomic") \
+        .drop("__recipe", "__excl", "__extra")
 
 
 def ingredient_list(items, item_types, recipes, toppings, prefix_all: bool = False):

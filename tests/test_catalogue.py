@@ -32,3 +32,11 @@ FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "PythonUD
 def test_plan_has_no_python_udf_or_cartesian(spark, key):
     plan = QUERIES[key](spark, SMALL_SF)._jdf.queryExecution().executedPlan().toString()
     assert not [f for f in FORBIDDEN if f in plan], plan
+
+
+@pytest.mark.parametrize("key", ["order_item_label", "order_ingredient_list", "ingredient_totals"])
+def test_list_keys_on_the_join_path(spark, con, key, monkeypatch):
+    from ledgerlens.operators import lists
+    monkeypatch.setattr(lists, "MAX_LOOKUP_ROWS", 1)
+    res = compare(spark, key, SMALL_SF, con)
+    assert res["ok"], res

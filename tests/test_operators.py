@@ -96,3 +96,13 @@ def test_ranking_helpers(spark):
     g = spark.createDataFrame([(1, "x", 2), (1, "y", 2), (2, "z", 1)], "g int, k string, n int")
     assert top_per_group(g, ["g"], [F.desc("n")]).count() == 3
     assert top_per_group(g, ["g"], [F.desc("n"), F.asc("k")], ties=False).count() == 2
+
+
+def test_with_names_map_and_join_paths_agree(spark):
+    dim = spark.createDataFrame([(1, "Bacon"), (2, "BBQ Sauce"), (3, "Beef")], "id int, name string")
+    df = spark.createDataFrame([(1, "3,1,2"), (2, None), (3, "9,1"), (4, "2,2")], "k int, ids string")
+    via_map = {r["k"]: r["n"] for r in L.with_names(df, "ids", dim, "id", "name", "n").collect()}
+    via_join = {r["k"]: r["n"] for r in
+                L.with_names(df, "ids", dim, "id", "name", "n", max_rows=1).collect()}
+    assert via_map == via_join == {1: ["Beef", "Bacon", "BBQ Sauce"], 2: None,
+                                   3: [None, "Bacon"], 4: ["BBQ Sauce", "BBQ Sauce"]}
