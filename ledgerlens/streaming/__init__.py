@@ -1,3 +1,4 @@
-from .incremental import clean_on_arrival, event_stream, visit_summary_stream
+from .incremental import (clean_on_arrival, event_stream, visit_summary_stream,
+                          write_closed_visits)
 
-__all__ = ["clean_on_arrival", "event_stream", "visit_summary_stream"]
+__all__ = ["clean_on_arrival", "event_stream", "visit_summary_stream", "write_closed_visits"]

@@ -81,6 +81,18 @@ def visit_summary_stream(raw_events: DataFrame, users: DataFrame, pages: DataFra
                           "purchase", "campaign_name", "impression", "click", "cart_products")
 
 
+def write_closed_visits(summary_stream: DataFrame, path: str, checkpoint_location: str,
+                        available_now: bool = True):
+    """Append each closed visit once to a Parquet table partitioned by visit
+    day. The checkpoint location (shared storage) makes the query restartable
+    with exactly-once file output."""
+    out = summary_stream.withColumn("visit_day", F.to_date("visit_start_time"))
+    w = (out.writeStream.format("parquet").outputMode("append").partitionBy("visit_day")
+         .option("path", path).option("checkpointLocation", checkpoint_location))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def clean_on_arrival(raw_stream: DataFrame, cleaner: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Apply a batch cleaning function to a stream (narrow projection only)."""
     return cleaner(raw_stream)

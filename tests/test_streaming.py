@@ -9,7 +9,8 @@ from conftest import SMALL_SF
 from ledgerlens.plans import clickstream as cs
 from ledgerlens.plans import delivery as dl
 from ledgerlens.sources.fixtures import Fixtures
-from ledgerlens.streaming import clean_on_arrival, event_stream, visit_summary_stream
+from ledgerlens.streaming import (clean_on_arrival, event_stream, visit_summary_stream,
+                                  write_closed_visits)
 
 
 def test_visit_summary_stream_matches_batch_for_closed_visits(spark):
@@ -57,3 +58,18 @@ def test_clean_on_arrival_equals_batch(spark):
     got = spark.table("clean_runs_stream")
     want = dl.clean_runs(raw)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_closed_visits_file_sink(spark):
+    fx = Fixtures(spark, SMALL_SF)
+    work = tempfile.mkdtemp(prefix="ll-sink-")
+    src = os.path.join(work, "events")
+    spark.read.parquet(os.path.join(SMALL_SF, "events.parquet")).write.parquet(src)
+    stream = visit_summary_stream(event_stream(spark, src), fx.users, fx.page_hierarchy,
+                                  fx.campaigns)
+    out = os.path.join(work, "visits")
+    q = write_closed_visits(stream, out, os.path.join(work, "ckpt"))
+    q.awaitTermination()
+    written = spark.read.parquet(out)
+    assert written.count() > 0
+    assert written.select("visit_id").distinct().count() == written.count()
