@@ -38,6 +38,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[
     return df, False
 
 
+FIXED_DIMENSION_MAX_ROWS = 10_000
+
+
 def fixed_dimension(df: DataFrame) -> DataFrame:
-    """Broadcast a dimension whose size is fixed by construction (literal rows)."""
-    return F.broadcast(df)
+    """Broadcast a dimension whose size the plan itself proves (literal rows and
+    projections or filters of them); anything else is left to the planner."""
+    bound = plan_max_rows(df)
+    if bound is not None and bound <= FIXED_DIMENSION_MAX_ROWS:
+        return F.broadcast(df)
+    return df
