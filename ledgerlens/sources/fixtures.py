@@ -14,7 +14,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.numeric import int_div
 from .tables import TableSource
