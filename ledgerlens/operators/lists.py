@@ -28,8 +28,10 @@ def split_ids(col, sep: str = ",") -> Column:
 
 
 def list_size(col, sep: str = ",") -> Column:
-    """Number of elements, 0 for a NULL list (lateral COUNT over a split)."""
-    return F.coalesce(F.size(F.split(_c(col), sep)), F.lit(0))
+    """Number of elements, 0 for a NULL list (lateral COUNT over a split).
+    Explicit NULL test: with ANSI off, legacy ``size(NULL)`` is -1."""
+    c = _c(col)
+    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(F.split(c, sep)))
 
 
 def lookup_map(dim: DataFrame, key: str, value: str,
