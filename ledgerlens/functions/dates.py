@@ -12,11 +12,18 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _minute_index(ts: Column) -> Column:
+    """Minutes since 1970-01-01 00:00 of a naive timestamp, from its calendar
+    fields (``timestampdiff``/``date_trunc`` would go through the session time
+    zone and shift inside daylight-saving gaps)."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+
+
 def minute_boundaries(start, end) -> Column:
     """Minute boundaries crossed between two timestamps (not elapsed minutes):
     23:59:59 -> 00:00:00 counts 1."""
-    return F.timestamp_diff("MINUTE", F.date_trunc("minute", _c(start)),
-                            F.date_trunc("minute", _c(end))).cast("int")
+    return (_minute_index(_c(end)) - _minute_index(_c(start))).cast("int")
 
 
 def day_bucket(anchor, d, width: int = 7) -> Column:
@@ -39,11 +46,13 @@ def month_start(d) -> Column:
 
 
 def weekday_name(d) -> Column:
-    return F.date_format(_c(d), "EEEE")
+    """Weekday name of a date or naive timestamp (formatted from the date, so
+    no session time-zone conversion is involved)."""
+    return F.date_format(F.to_date(_c(d)), "EEEE")
 
 
 def month_name(d) -> Column:
-    return F.date_format(_c(d), "MMMM")
+    return F.date_format(F.to_date(_c(d)), "MMMM")
 
 
 def weekday_number(d) -> Column:

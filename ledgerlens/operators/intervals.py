@@ -25,10 +25,16 @@ def interval_join(points: DataFrame, point_col: str, intervals: DataFrame,
         cond = p.between(F.col(start_col), F.col(end_col))
         return points.join(small, cond, how)
     bucket = "__bucket"
-    ib = intervals.withColumn(bucket, F.explode(F.sequence(
-        F.date_trunc(bucket_unit, F.col(start_col)), F.date_trunc(bucket_unit, F.col(end_col)),
-        F.expr(f"interval 1 {bucket_unit}"))))
-    pb = points.withColumn(bucket, F.date_trunc(bucket_unit, p))
+    if bucket_unit == "day":
+        # Calendar-day buckets from the dates themselves: no time-zone conversion.
+        ib = intervals.withColumn(bucket, F.explode(F.sequence(
+            F.to_date(F.col(start_col)), F.to_date(F.col(end_col)))))
+        pb = points.withColumn(bucket, F.to_date(p))
+    else:
+        ib = intervals.withColumn(bucket, F.explode(F.sequence(
+            F.date_trunc(bucket_unit, F.col(start_col)), F.date_trunc(bucket_unit, F.col(end_col)),
+            F.expr(f"interval 1 {bucket_unit}"))))
+        pb = points.withColumn(bucket, F.date_trunc(bucket_unit, p))
     cond = (pb[bucket] == ib[bucket]) & p.between(ib[start_col], ib[end_col])
     return pb.join(ib, cond, how).drop(bucket)
 

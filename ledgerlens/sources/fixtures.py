@@ -201,7 +201,7 @@ class Fixtures:
             k.alias("order_id"),
             (F.col("o_custkey") % RUNNER_COUNT + 1).cast("int").alias("runner_id"),
             F.when(cancelled, null_txt).otherwise(
-                F.date_format(pickup, "yyyy-MM-dd HH:mm:ss")).alias("pickup_time"),
+                pickup.cast("string")).alias("pickup_time"),     # naive text, zone-free
             F.when(cancelled, null_txt).otherwise(dist).alias("distance"),
             F.when(cancelled, null_txt).otherwise(dur).alias("duration"),
             cancel.alias("cancellation"))
@@ -286,7 +286,7 @@ class Fixtures:
     def web_events(self) -> DataFrame:
         ev = self.src.read("events", "event_id", "ts", "user_id", "event_type", "props")
         visit = F.concat(F.col("user_id").cast("string"), F.lit("-"),
-                         F.date_format("ts", "yyyyMMdd"))
+                         F.date_format(F.to_date("ts"), "yyyyMMdd"))
         page = (F.get_json_object("props", "$.k").cast("int") % 13 + 1).cast("int")
         base = ev.select(visit.alias("visit_id"),
                          F.col("user_id").cast("string").alias("cookie_id"),

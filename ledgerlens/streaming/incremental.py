@@ -38,7 +38,8 @@ def event_stream(spark: SparkSession, folder: str, max_files: int | None = None)
 
 def _shape(raw: DataFrame) -> DataFrame:
     """Raw events -> clickstream columns (visit = user and calendar day)."""
-    visit = F.concat(F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd"))
+    visit = F.concat(F.col("user_id").cast("string"), F.lit("-"),
+                     F.date_format(F.to_date("ts"), "yyyyMMdd"))
     return raw.select(
         visit.alias("visit_id"), F.col("user_id").cast("string").alias("cookie_id"),
         (F.get_json_object("props", "$.k").cast("int") % 13 + 1).cast("int").alias("page_id"),

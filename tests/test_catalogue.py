@@ -40,3 +40,15 @@ def test_list_keys_on_the_join_path(spark, con, key, monkeypatch):
     monkeypatch.setattr(lists, "MAX_LOOKUP_ROWS", 1)
     res = compare(spark, key, SMALL_SF, con)
     assert res["ok"], res
+
+
+@pytest.mark.parametrize("key", ["clean_runs", "runner_pickup_minutes", "delivery_report",
+                                 "web_visits_by_month", "campaign_summary"])
+def test_keys_do_not_depend_on_the_session_time_zone(spark, con, key):
+    # The data has naive times inside a daylight-saving gap of this zone.
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        res = compare(spark, key, SMALL_SF, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert res["ok"], res
