@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import benchmark_hits, contaminated
+from .mixing import mix_sources
 from .token_count import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,13 +32,69 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    return contaminated(hits).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256",
+                                     "contaminated")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 QUERIES: dict[str, Query] = {
+    "op4_decontamination": op4_decontamination,
+    "op6_mixing": op6_mixing,
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+#: Words of the texts, sampling order by a hash of the id, the water level by its equation.
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         CAST(CASE WHEN text IS NULL THEN 0
+              ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS BIGINT) AS size,
+         md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS source_size,
+         CAST(CASE row_number() OVER (ORDER BY source ASC NULLS LAST) % 3
+              WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 2 END AS HUGEINT) AS w
+  FROM d GROUP BY source),
+level AS (
+  SELECT a.source, a.source_size, a.w, (SELECT sum(source_size) FROM s) AS total,
+         -- a source is full if the water at its own brim is within the budget
+         2 * sum(CASE WHEN b.source_size * a.w <= a.source_size * b.w
+                      THEN 2 * b.source_size * a.w ELSE 2 * a.source_size * b.w END)
+           <= 3 * (SELECT sum(source_size) FROM s) * a.w AS filled
+  FROM s a CROSS JOIN s b GROUP BY a.source, a.source_size, a.w),
+rest AS (
+  SELECT coalesce(sum(CASE WHEN filled THEN 2 * source_size END), 0) AS spent,
+         sum(CASE WHEN NOT filled THEN w END) AS open_w
+  FROM level),
+t AS (
+  SELECT source, source_size,
+         CASE WHEN filled THEN 2 * source_size ELSE w * (3 * total - 2 * spent) END AS above,
+         CASE WHEN filled THEN 1 ELSE 2 * open_w END AS below
+  FROM level CROSS JOIN rest),
+r AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE above // (below * source_size) END AS whole
+  FROM t),
+e AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY k, size ROWS UNBOUNDED PRECEDING) AS running
+  FROM d)
+SELECT e.doc_id, e.size, CAST(r.source_size AS BIGINT) AS source_size,
+       CAST(r.above AS DOUBLE) / CAST(r.below AS DOUBLE) AS target,
+       CAST(e.size * r.whole + greatest(0, least(e.size, (r.above - r.whole * r.below * r.source_size)
+            // r.below - (e.running - e.size))) AS BIGINT) AS taken
+FROM e JOIN r ON e.source IS NOT DISTINCT FROM r.source
+"""
+
+ORACLE: dict[str, str] = {"op6_mixing": OP6_SQL}
