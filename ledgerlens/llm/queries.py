@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import benchmark_hits, contaminated
+from .language_id import language_id
 from .mixing import mix_sources
 from .token_count import token_counts
 
@@ -32,6 +33,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _fold(column: str, folds: int):
+    """Fold of a row: crc32 of the id as text, modulo ``folds``."""
+    return F.crc32(F.col(column).cast("string")) % folds
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("fold", _fold("doc_id", 3))
+    training = docs.where(F.col("fold") != 1).select("text", "lang")
+    found = language_id(docs, training)
+    return found.select("doc_id", F.coalesce(_fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score", "rejected")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
@@ -50,6 +64,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
     "op4_decontamination": op4_decontamination,
     "op6_mixing": op6_mixing,
     "op9_token_counts": op9_token_counts,
