@@ -16,6 +16,7 @@ from .common import table
 from .decontaminate import benchmark_hits, contaminated
 from .language_id import language_id
 from .mixing import mix_sources
+from .suffix_dedup import repeat_report
 from .token_count import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,10 @@ def _fold(column: str, folds: int):
     return F.crc32(F.col(column).cast("string")) % folds
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("fold", _fold("doc_id", 3))
     training = docs.where(F.col("fold") != 1).select("text", "lang")
@@ -64,6 +69,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
     "op4_decontamination": op4_decontamination,
     "op6_mixing": op6_mixing,
