@@ -16,8 +16,10 @@ from .common import table
 from .decontaminate import benchmark_hits, contaminated
 from .language_id import language_id
 from .mixing import mix_sources
+from .simhash_dedup import near_duplicates
 from .suffix_dedup import repeat_report
 from .token_count import token_counts
+from .topk_search import top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +53,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score", "rejected")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
@@ -58,6 +64,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      "contaminated")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), radius=2, words=3, seed=42)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -71,7 +81,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
+    "op3_topk": op3_topk,
     "op4_decontamination": op4_decontamination,
+    "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
     "op9_token_counts": op9_token_counts,
 }
@@ -118,4 +130,21 @@ SELECT e.doc_id, e.size, CAST(r.source_size AS BIGINT) AS source_size,
 FROM e JOIN r ON e.source IS NOT DISTINCT FROM r.source
 """
 
-ORACLE: dict[str, str] = {"op6_mixing": OP6_SQL}
+#: Inner products of all pairs of a query and another row, ranked.
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e,
+         row_number() OVER () AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, q.r, c.vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op3_topk": OP3_SQL, "op6_mixing": OP6_SQL}
