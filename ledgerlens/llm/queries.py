@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontaminate import benchmark_hits, contaminated
+from .html_text import extract
 from .language_id import language_id
 from .mixing import mix_sources
 from .simhash_dedup import near_duplicates
@@ -73,6 +74,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
+    "op8_html_text": op8_html_text,
     "op9_token_counts": op9_token_counts,
 }
 
