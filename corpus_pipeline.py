@@ -1,12 +1,62 @@
-"""Corpus pipeline: filter, de-duplicate, decontaminate and mix the documents."""
+"""Corpus pipeline: filter, de-duplicate, decontaminate and mix the documents.
+
+Each stage works on all rows that the one before kept, and returns the columns of
+``documents`` (the last one returns the mix). Stages are written as Parquet in between.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import stored, table
+from ledgerlens.llm.decontaminate import decontaminate
+from ledgerlens.llm.mixing import mix_sources
+from ledgerlens.llm.queries import learnable_labels
+from ledgerlens.llm.simhash_dedup import keep_one
+from ledgerlens.llm.suffix_dedup import remove_repeats
+from ledgerlens.llm.toxicity import learnt_from, toxicity
+
+#: Documents of this score or more are rejected as toxic.
+TOXIC_SCORE = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar does not reject."""
+    model = learnt_from(docs, learnable_labels(spark, sf_dir))
+    return toxicity(docs, *model, extra=True).where(F.col("__score") < TOXIC_SCORE).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose SimHash fingerprints are linked."""
+    return keep_one(docs, radius=2, words=3, seed=42)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of 200-byte strings that start more than once in the corpus. A
+    document stays even if nothing of its text does."""
+    out = remove_repeats(docs, length=200)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) \
+        if "n_chars" in docs.columns else out
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than one word in twenty lies in a benchmark window."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), mode="documents")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words to take of each document: 150 % of all words, shared by source weight."""
+    return mix_sources(docs)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash near-dedup", drop_near_duplicates),
+    ("suffix-array dedup", cut_repeated_passages),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing", mix),
+]
 
 #: Several stages have no SQL form; tests hold the run against brute force.
 ORACLE_SQL = None

@@ -13,12 +13,12 @@ windows; items of one id count once; repeated documents give a row each.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -172,54 +172,61 @@ def _item_parts(benchmark: DataFrame, id_col: str, text_col: str, max_set_bytes:
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, n: int = 13, id_col: str = "doc_id",
                    text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-                   max_set_bytes: int = 16 << 20) -> DataFrame:
+                   max_set_bytes: int = 16 << 20, prefix: str = "") -> DataFrame:
     """Per row of ``docs``: its columns, ``n_words``, ``n_hit``, ``hit_ranges`` (byte offsets
-    of hit runs in the UTF-8 text, flat) and ``item_ids`` (sorted as strings)."""
-    rows = docs.withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"),
-                             "hit_ranges": F.array().cast("array<int>"),
-                             "item_ids": F.array().cast("array<string>")})
+    of hit runs in the UTF-8 text, flat) and ``item_ids`` (sorted as strings). The new columns
+    take the place of columns of their name; ``prefix`` is put before their names."""
+    rows = docs.withColumns({f"{prefix}n_words": F.lit(0).cast("long"),
+                             f"{prefix}n_hit": F.lit(0).cast("long"),
+                             f"{prefix}hit_ranges": F.array().cast("array<int>"),
+                             f"{prefix}item_ids": F.array().cast("array<string>")})
     for items in _item_parts(benchmark, item_col, item_text, max_set_bytes):
-        rows = _scanned(rows, items, n, text_col)
+        rows = _scanned(rows, items, n, text_col, prefix)
     return rows
 
 
-def _scanned(rows: DataFrame, items: list[tuple[str, str]], n: int, text_col: str) -> DataFrame:
+def _scanned(rows: DataFrame, items: list[tuple[str, str]], n: int, text_col: str, prefix: str) -> DataFrame:
     """``rows`` with the hits of ``items`` added to those of earlier scans."""
     shared = rows.sparkSession.sparkContext.broadcast(items)
     names = rows.columns
-    at = {c: names.index(c) for c in (text_col, "hit_ranges", "item_ids")}
+    text_at, ranges_at, ids_at = (names.index(c) for c in (
+        text_col, f"{prefix}hit_ranges", f"{prefix}item_ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = None
         for batch in batches:
             scanner = scanner or WindowScanner(windows_of(shared.value, n))
-            earlier = zip(batch.column(at["hit_ranges"]).to_pylist(),
-                          batch.column(at["item_ids"]).to_pylist(), strict=True)
+            earlier = zip(batch.column(ranges_at).to_pylist(),
+                          batch.column(ids_at).to_pylist(), strict=True)
             words, hits, ranges, ids = [], [], [], []
             for (starts, ends, hit, found), (before, known) in zip(
-                    scanner.rows(*utf8_buffer(batch.column(at[text_col]))), earlier, strict=True):
+                    scanner.rows(*utf8_buffer(batch.column(text_at))), earlier, strict=True):
                 for a, b in zip(before[::2], before[1::2], strict=True):
                     hit[np.searchsorted(starts, a):np.searchsorted(starts, b)] = True
                 words.append(len(starts))
                 hits.append(int(hit.sum()))
                 ranges.append(_ranges(starts, ends, hit))
                 ids.append(sorted({*found, *known}))
-            new = {"n_words": pa.array(words, pa.int64()), "n_hit": pa.array(hits, pa.int64()),
-                   "hit_ranges": pa.array(ranges, pa.list_(pa.int32())),
-                   "item_ids": pa.array(ids, pa.list_(pa.string()))}
+            new = {f"{prefix}n_words": pa.array(words, pa.int64()), f"{prefix}n_hit": pa.array(hits, pa.int64()),
+                   names[ranges_at]: pa.array(ranges, pa.list_(pa.int32())),
+                   names[ids_at]: pa.array(ids, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays(
                 [new.get(c, batch.column(k)) for k, c in enumerate(names)], names=names)
 
     return rows.mapInArrow(run, rows.schema)
 
 
+def _rule(prefix: str, share: int):
+    hit, words = F.col(f"{prefix}n_hit"), F.col(f"{prefix}n_words")
+    return (hit > 0) & (hit * share >= words)
+
+
 def contaminated(rows: DataFrame, share: int = 20) -> DataFrame:
-    """Add whether at least one word in ``share`` is hit, and the digest of the ids found."""
-    return (rows
-            .withColumn("n_items", F.size("item_ids").cast("long"))
+    """Add to :func:`benchmark_hits` whether at least one word in ``share`` is hit, and the
+    number and digest of the ids found."""
+    return (rows.withColumn("n_items", F.size("item_ids").cast("long"))
             .withColumn("items_sha256", F.sha2(F.concat_ws(",", "item_ids"), 256))
-            .withColumn("contaminated", (F.col("n_hit") > 0)
-                        & (F.col("n_hit") * share >= F.col("n_words"))))
+            .withColumn("contaminated", _rule("", share)))
 
 
 def remove_spans(text: str | None, ranges: list[int]) -> str | None:
@@ -233,28 +240,20 @@ def remove_spans(text: str | None, ranges: list[int]) -> str | None:
     return b"".join([*out, raw[at:]]).decode("utf-8", "replace")
 
 
+def _cut(texts: pd.Series, ranges: pd.Series) -> pd.Series:
+    return pd.Series([remove_spans(t, r) for t, r in zip(texts, ranges, strict=True)], dtype=object)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", n: int = 13,
                   share: int = 20, **columns) -> DataFrame:
     """``docs`` without contaminated documents (``mode="documents"``) or with the hit spans
     of contaminated documents removed (``mode="spans"``)."""
-    rows = contaminated(benchmark_hits(docs, benchmark, n, **columns), share)
+    rows, bad = benchmark_hits(docs, benchmark, n, prefix="__", **columns), _rule("__", share)
     if mode == "documents":
-        return rows.where(~F.col("contaminated")).select(*docs.columns)
+        return rows.where(~bad).select(*docs.columns)
     if mode != "spans":
         raise ValueError(f"mode {mode!r}: documents or spans")
-    text_col = columns.get("text_col", "text")
-    cut = F.pandas_udf(_cut, "string")
-    changed = F.when(F.col("contaminated"), cut(F.col(text_col), F.col("hit_ranges"))) \
-        .otherwise(F.col(text_col))
-    return rows.withColumn(text_col, changed).select(*docs.columns)
-
-
-def _cut(texts, ranges):
-    import pandas as pd
-
-    return pd.Series([remove_spans(t, r) for t, r in zip(texts, ranges, strict=True)], dtype=object)
-
-
-def digest(ids: list[str]) -> str:
-    """The digest that :func:`contaminated` gives, for a list of ids."""
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+    text = F.col(columns.get("text_col", "text"))
+    cut = F.pandas_udf(_cut, "string")(text, F.col("__hit_ranges"))
+    return rows.withColumn(columns.get("text_col", "text"), F.when(bad, cut).otherwise(text)) \
+        .select(*docs.columns)

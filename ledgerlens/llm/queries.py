@@ -17,10 +17,12 @@ from .decontaminate import benchmark_hits, contaminated
 from .html_text import extract
 from .language_id import language_id
 from .mixing import mix_sources
+from . import quality_fm
 from .simhash_dedup import near_duplicates
 from .suffix_dedup import repeat_report
 from .token_count import token_counts
 from .topk_search import top_k
+from .toxicity import learnt_from, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +76,25 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = quality_fm.quality(docs, quality_fm.learnt_from(docs, learnable_labels(spark, sf_dir)))
+    return scores.select("doc_id", F.coalesce(_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def learnable_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the folds that are not held out."""
+    return table(spark, sf_dir, "labels").where(_fold("doc_id", 5) != 0)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scores = toxicity(docs, *learnt_from(docs, learnable_labels(spark, sf_dir)))
+    return scores.select("doc_id", F.coalesce(_fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -90,8 +111,10 @@ QUERIES: dict[str, Query] = {
     "op4_decontamination": op4_decontamination,
     "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
+    "op7_toxicity": op7_toxicity,
     "op8_html_text": op8_html_text,
     "op9_token_counts": op9_token_counts,
+    "op10_quality": op10_quality,
 }
 
 #: Words of the texts, sampling order by a hash of the id, the water level by its equation.
