@@ -45,13 +45,18 @@ def training_sample(rows: DataFrame, docs_per_language: int, chars_per_doc: int,
     ``docs_per_language`` rows that come first by a seeded hash of the text, each cut to
     ``chars_per_doc`` characters from its middle. ``rows`` has ``text`` and ``lang``."""
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    names = [r["lang"] for r in common.collect()]
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    names = [r["lang"] for r in common]
+    if not names:
+        return {}
+    # hashes below a language's bound hold about four times the rows wanted, so that few are ranked
+    bounds = F.create_map(*[F.lit(x) for r in common for x in (
+        r["lang"], min(2**63 - 1, 2**66 * docs_per_language // r["count"] - 2**63))])
     middle = F.greatest(F.lit(1), (F.length("text") - chars_per_doc) / 2).cast("int")
-    drawn = rows.where(F.col("lang").isin(names)).select(
-        "lang", F.xxhash64(F.lit(seed), "text").alias("h"),
-        F.substring(F.col("text"), middle, F.lit(chars_per_doc)).alias("text"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
+    drawn = (rows.withColumn("h", F.xxhash64(F.lit(seed), "text")).where(F.col("h") <= bounds[F.col("lang")])
+             .groupBy("lang", "h")  # copies of a text count once
+             .agg(F.min(F.substring(F.col("text"), middle, F.lit(chars_per_doc))).alias("text")))
+    order = Window.partitionBy("lang").orderBy("h")
     drawn = drawn.withColumn("k", F.row_number().over(order)).where(F.col("k") <= docs_per_language)
     out: dict[str, list[bytes]] = {n: [] for n in sorted(names)}
     for r in drawn.orderBy("lang", "k").collect():

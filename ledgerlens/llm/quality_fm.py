@@ -108,18 +108,20 @@ class Featurizer:
 
     def _repeated_lines(self, buf, off, sums, newline, lines):
         """Share of each row's lines that stand in it more than once."""
-        cuts = np.flatnonzero(newline)
-        starts = np.sort(np.concatenate([off[:-1], cuts + 1]))
-        row = np.searchsorted(off, np.append(off[:-1], cuts), side="right") - 1
-        row = np.sort(row)
-        ends = np.minimum(np.append(starts[1:], len(buf)), off[np.minimum(row + 1, len(off) - 1)])
-        starts = np.minimum(starts, ends)
+        n, cuts = len(off) - 1, np.flatnonzero(newline)
+        row = np.concatenate([np.arange(n), np.searchsorted(off, cuts, side="right") - 1])
+        starts = np.concatenate([off[:-1], cuts + 1])
+        order = np.lexsort((starts, row))
+        row, starts = row[order], starts[order]
+        ends = off[row + 1].copy()
+        inside = np.flatnonzero(row[1:] == row[:-1])
+        ends[inside] = starts[inside + 1] - 1
         h = self.hash.of(sums, starts, ends)
         order = np.lexsort((h, row))
         same = np.zeros(len(order), bool)
         if len(order):
             same[1:] = (np.diff(row[order]) == 0) & (h[order][1:] == h[order][:-1])
-        return np.bincount(row[order], same, minlength=len(off) - 1) / lines
+        return np.bincount(row[order], same, minlength=n) / lines
 
 
 def batch_features(column: pa.Array, featurizer: Featurizer):
