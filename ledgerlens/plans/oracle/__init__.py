@@ -1,6 +1,6 @@
-"""DuckDB oracle SQL for every catalogue key (the correctness gate).
+"""DuckDB SQL for every catalogue key (the correctness gate).
 
-The statements restate each question relationally over the adapters (lateral
-splits, correlated NOT IN, UNION ALL, recursive CTE), as the semantics the
-Spark plans are checked against; the Spark plans are designed separately.
+Each statement answers its question from the adapters' tables, written from the question and
+its rules (filtered aggregates, list functions, generated series); neither side is derived
+from the other.
 """

@@ -105,15 +105,15 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
                 f"{_ORDER_TIME} + INTERVAL 2 HOUR AS rating_time "
                 "FROM orders WHERE o_orderkey % 7 <> 0"),
     "subscriptions": ((), f"""SELECT customer_id,
-        CAST(CASE WHEN row_number() OVER (PARTITION BY customer_id ORDER BY start_date) = 1 THEN 0
-             ELSE {_case('prio', PRIORITY_PLANS, '1')} END AS INTEGER) AS plan_id,
+        CAST(CASE WHEN o_orderkey = first(o_orderkey) OVER (PARTITION BY customer_id
+                       ORDER BY start_date, o_orderkey) THEN 0
+             ELSE {_case('o_orderpriority', PRIORITY_PLANS, '1')} END AS INTEGER) AS plan_id,
         start_date
-        FROM (SELECT o_custkey AS customer_id,
+        FROM (SELECT o_custkey AS customer_id, o_orderkey, o_orderpriority,
                      CAST(DATE '2020-01-01'
                           + CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) // 5
-                                 AS INTEGER) AS DATE) AS start_date,
-                     arg_min(o_orderpriority, o_orderkey) AS prio
-              FROM orders GROUP BY ALL)"""),
+                                 AS INTEGER) AS DATE) AS start_date
+              FROM orders)"""),
     "weekly_sales_raw": ((), f"""SELECT strftime(wk, '%-d/%-m/%y') AS week_date, region, platform,
         segment, customer_type, CAST(count(*) AS INTEGER) AS transactions,
         CAST(sum(price) AS BIGINT) AS sales
@@ -130,16 +130,11 @@ ADAPTERS: dict[str, tuple[tuple[str, ...], str]] = {
         GROUP BY wk, region, platform, segment, customer_type"""),
     "users": ((), "SELECT user_id // 3 AS user_id, CAST(user_id AS VARCHAR) AS cookie_id, "
               "min(ts) AS start_date FROM events GROUP BY user_id"),
-    "web_events": ((), f"""SELECT visit_id, cookie_id, page_id, event_type,
-        CAST(row_number() OVER (PARTITION BY visit_id ORDER BY event_time, event_id) AS INTEGER)
-          AS sequence_number, event_time, event_id
-        FROM (SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS visit_id,
-                     CAST(user_id AS VARCHAR) AS cookie_id,
-                     CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 13 + 1 AS INTEGER)
-                       AS page_id,
-                     CAST({_case('event_type', EVENT_CODES, 'NULL')} AS INTEGER) AS event_type,
-                     event_id, ts AS event_time
-              FROM events)"""),
+    "web_events": ((), f"""SELECT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS visit_id,
+        CAST(user_id AS VARCHAR) AS cookie_id,
+        CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 13 + 1 AS INTEGER) AS page_id,
+        CAST({_case('event_type', EVENT_CODES, 'NULL')} AS INTEGER) AS event_type,
+        event_id, ts AS event_time FROM events"""),
 }
 
 
