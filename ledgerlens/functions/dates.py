@@ -41,10 +41,6 @@ def parse_short_date(col, fmt: str = "d/M/yy") -> Column:
     return F.to_date(_c(col), fmt)
 
 
-def month_start(d) -> Column:
-    return F.trunc(_c(d), "MM")
-
-
 def weekday_name(d) -> Column:
     """Weekday name of a date or naive timestamp (formatted from the date, so
     no session time-zone conversion is involved)."""

@@ -27,12 +27,14 @@ def ratio(num, den, scale: int = 2, mult: int = 1, precision: int = 18) -> Colum
     ``num`` and ``den`` must be integral. A zero or NULL denominator yields
     NULL instead of failing (the lift and click rates can divide by zero).
     """
-    n = _c(num).cast("decimal(38,0)")
-    d = _c(den).cast("decimal(38,0)")
-    m = mult * 10 ** scale
-    q = int_div(F.abs(n) * F.lit(2 * m) + F.abs(d), F.abs(d) * F.lit(2))
+    whole = "decimal(38,0)"
+    n, d = _c(num).cast(whole), _c(den).cast(whole)
+    top = (F.abs(n) * F.lit(2 * mult * 10 ** scale).cast(whole) + F.abs(d)).cast(whole)
+    bottom = (F.abs(d) * F.lit(2)).cast(whole)
+    # ``div`` would return a bigint and wrap; this quotient is exact and stays decimal.
+    q = ((top - top % bottom) / bottom).cast(whole)
     signed = F.when(F.signum(n) * F.signum(d) < 0, -q).otherwise(q)
-    value = signed.cast("decimal(38,0)") / F.lit(10 ** scale)
+    value = signed.cast(whole) / F.lit(10 ** scale)
     return F.when(d != 0, value.cast(f"decimal({precision},{scale})"))
 
 

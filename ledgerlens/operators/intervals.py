@@ -1,10 +1,9 @@
 """Point-in-interval (range) join (J11) and interval validation.
 
-Small interval tables (size checked) are broadcast and matched with a
-nested-loop condition. Large interval tables are exploded into day buckets and
-equi-joined on the bucket, so the work stays a hash join; the residual BETWEEN
-keeps exact semantics and the per-bucket duplicates are impossible because a
-point falls in exactly one bucket.
+Intervals are exploded into day buckets and equi-joined on the bucket, so the work is a hash
+or sort-merge join at any size (small interval tables are broadcast by the planner); the
+residual condition keeps exact semantics, and a point falls in exactly one bucket, so nothing
+is matched twice. Inverted intervals (start after end) match nothing.
 """
 
 from __future__ import annotations
@@ -12,41 +11,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import bounded_broadcast
-
 
 def interval_join(points: DataFrame, point_col: str, intervals: DataFrame,
                   start_col: str, end_col: str, how: str = "left",
-                  max_broadcast_rows: int = 100_000, bucket_unit: str = "day") -> DataFrame:
-    """Match each point to every interval with ``start <= point <= end``."""
+                  inclusive: bool = True) -> DataFrame:
+    """Match each point to every interval with ``start <= point <= end``, or
+    ``start <= point < end`` if the end is not ``inclusive``."""
+    days = F.explode(F.sequence(F.to_date(F.col(start_col)), F.to_date(F.col(end_col))))
+    dealt = intervals.where(F.col(start_col) <= F.col(end_col)).withColumn("__day", days)
+    dated = points.withColumn("__on", F.to_date(F.col(point_col)))
     p = F.col(point_col)
-    small, is_small = bounded_broadcast(intervals, max_broadcast_rows)
-    if is_small:
-        cond = p.between(F.col(start_col), F.col(end_col))
-        return points.join(small, cond, how)
-    bucket = "__bucket"
-    if bucket_unit == "day":
-        # Calendar-day buckets from the dates themselves: no time-zone conversion.
-        ib = intervals.withColumn(bucket, F.explode(F.sequence(
-            F.to_date(F.col(start_col)), F.to_date(F.col(end_col)))))
-        pb = points.withColumn(bucket, F.to_date(p))
-    else:
-        ib = intervals.withColumn(bucket, F.explode(F.sequence(
-            F.date_trunc(bucket_unit, F.col(start_col)), F.date_trunc(bucket_unit, F.col(end_col)),
-            F.expr(f"interval 1 {bucket_unit}"))))
-        pb = points.withColumn(bucket, F.date_trunc(bucket_unit, p))
-    cond = (pb[bucket] == ib[bucket]) & p.between(ib[start_col], ib[end_col])
-    return pb.join(ib, cond, how).drop(bucket)
+    before_end = p <= F.col(end_col) if inclusive else p < F.col(end_col)
+    met = (F.col("__on") == F.col("__day")) & (p >= F.col(start_col)) & before_end
+    return dated.join(dealt, met, how).drop("__on", "__day")
 
 
 def overlapping_intervals(intervals: DataFrame, key: str, start_col: str, end_col: str,
                           inclusive: bool = True) -> DataFrame:
-    """Rows whose interval overlaps the next one (ordered by start): the windows
-    that would make a BETWEEN join fan out. The window is global over the
-    interval table, which is a dimension (campaigns), not a fact table."""
-    w = Window.orderBy(start_col, key)
-    nxt = F.col("next_start")
-    clash = (nxt <= F.col(end_col)) if inclusive else (nxt < F.col(end_col))
-    return (intervals.withColumn("next_start", F.lead(start_col).over(w))
-            .withColumn("next_key", F.lead(key).over(w))
-            .where(clash))
+    """Rows whose interval overlaps any other one: the windows that would make a range join fan
+    out. One row per clashing interval, however many it meets.
+
+    In the order of starts, a row meets an earlier one if the largest end so far reaches its
+    start, and a later one if its end reaches the next start. Both run inside the month of the
+    start, and over one row per month for what lies outside it, so no task sorts the table."""
+    start, end = F.col(start_col), F.col(end_col)
+    rows = intervals.where(start <= end).withColumn("__month", F.date_trunc("month", start))
+    months = rows.groupBy("__month").agg(F.max(end_col).alias("__last"), F.min(start_col).alias("__first"))
+    along = Window.orderBy("__month")
+    months = months.select(
+        F.col("__month").alias("__m"),
+        F.max("__last").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("__reach"),
+        F.lead("__first").over(along).alias("__following"))
+    inside = Window.partitionBy("__month").orderBy(start_col, key)
+    reach = F.greatest(F.col("__reach"), F.max(end_col).over(
+        inside.rowsBetween(Window.unboundedPreceding, -1)))
+    following = F.coalesce(F.lead(start_col).over(inside), F.col("__following"))
+    meets = (reach >= start) | (following <= end) if inclusive else (reach > start) | (following < end)
+    out = rows.join(months, F.col("__month") == F.col("__m")).withColumn("__meets", meets)
+    return out.where("__meets").select(*intervals.columns)

@@ -1,10 +1,10 @@
 """Text lists of ids: split, look up, edit and collapse.
 
-Two plans. When the lookup dimension is size-bounded (checked with a capped
-count), it becomes a literal map and every list operation is a per-row
-higher-order-function expression: no explode, no shuffle, no row key.
-Otherwise the lists are exploded, joined to the dimension and regrouped on a
-row key (one shuffle on that key).
+One plan at any size: names depend on nothing but the list text, so the distinct list
+texts are exploded with their positions, joined to the dimension and regrouped, and the
+result is joined back on the text. Whether a side of these joins is broadcast is left to the
+planner, which knows its size. Callers with many rows first reduce them to the distinct
+combinations they hold.
 """
 
 from __future__ import annotations
@@ -12,10 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import bounded_broadcast, row_count_at_most
-
-MAX_LOOKUP_ROWS = 10_000
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -24,7 +20,7 @@ def _c(col) -> Column:
 def split_ids(col, sep: str = ",") -> Column:
     """``'1, 5'`` -> ``[1, 5]``; elements trimmed and safely cast (bad -> NULL).
     A NULL list stays NULL."""
-    return F.transform(F.split(_c(col), sep), lambda x: F.trim(x).try_cast("int"))
+    return F.transform(F.split(_c(col), sep), lambda x: F.trim(x).try_cast("bigint"))
 
 
 def list_size(col, sep: str = ",") -> Column:
@@ -34,49 +30,22 @@ def list_size(col, sep: str = ",") -> Column:
     return F.when(c.isNull(), F.lit(0)).otherwise(F.size(F.split(c, sep)))
 
 
-def lookup_map(dim: DataFrame, key: str, value: str,
-               max_rows: int = MAX_LOOKUP_ROWS) -> Column | None:
-    """A literal ``map(key -> value)`` when ``dim`` has at most ``max_rows``
-    rows, else None (callers then take the join plan)."""
-    if not row_count_at_most(dim, max_rows):
-        return None
-    rows = dim.select(key, value).collect()
-    if not rows:
-        return F.create_map().cast(f"map<int,string>")
-    return F.create_map(*[F.lit(v) for r in rows for v in (r[0], r[1])])
-
-
-def names_of(ids: Column, mapping: Column) -> Column:
-    """Map an id array to names; unknown ids become NULL elements."""
-    return F.transform(ids, lambda i: F.try_element_at(mapping, i))
-
-
 def with_names(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_value: str,
-               out: str, max_rows: int | None = None) -> DataFrame:
+               out: str) -> DataFrame:
     """Add ``out``: the names of the CSV ids in ``ids_col``, in list order
     (unknown ids give NULL elements, a NULL list gives NULL).
 
-    A size-checked dimension becomes a literal map (per-row lookup, no
-    shuffle). Beyond the bound the names are resolved once per distinct list
-    text (the result depends on nothing else): the distinct lists are
-    exploded with their positions, joined to the dimension, regrouped in
-    position order and joined back on the list text. No row key and no
-    driver-side data; a very common list is one hot join key, which AQE's
-    skew join splits on the row side."""
-    m = lookup_map(dim, dim_key, dim_value, MAX_LOOKUP_ROWS if max_rows is None else max_rows)
-    if m is not None:
-        return df.withColumn(out, names_of(split_ids(ids_col), m))
+    A join in every respect: an id that the dimension holds twice gives both
+    names (in binary order), a NULL id in the dimension matches nothing, ids
+    are 64-bit. A very common list is one hot join key, which AQE's skew join
+    splits on the row side."""
     lists_ = df.select(F.col(ids_col).alias("__list")).where(F.col("__list").isNotNull()).distinct()
     parts = lists_.select("__list", F.posexplode(split_ids("__list")).alias("__pos", "__id"))
-    names = dim.select(F.col(dim_key).alias("__id"), F.col(dim_value).alias("__name"))
+    names = dim.select(F.col(dim_key).cast("bigint").alias("__id"), F.col(dim_value).alias("__name"))
     arrays = (parts.join(names, "__id", "left").groupBy("__list")
               .agg(F.array_sort(F.collect_list(F.struct("__pos", "__name"))).alias("__pairs"))
-              .select("__list", F.transform("__pairs", lambda s: s["__name"]).alias("__names")))
-    empty = F.array().cast("array<string>")
-    joined = df.join(arrays, df[ids_col] == arrays["__list"], "left")
-    out_col = F.when(F.col(ids_col).isNull(), F.lit(None).cast("array<string>")) \
-        .otherwise(F.coalesce(F.col("__names"), empty))
-    return joined.withColumn(out, out_col).drop("__list", "__names")
+              .select("__list", F.transform("__pairs", lambda s: s["__name"]).alias(out)))
+    return df.join(arrays, df[ids_col] == arrays["__list"], "left").drop("__list")
 
 
 def join_names(names: Column, sep: str = ", ") -> Column:
@@ -145,8 +114,8 @@ def explode_list(df: DataFrame, col: str, dim: DataFrame, dim_key: str, dim_valu
     OUTER APPLY with ``keep_empty``: NULL lists keep one row with NULL)."""
     gen = F.explode_outer if keep_empty else F.explode
     e = df.withColumn("__id", gen(F.split(F.col(col), sep)))
-    e = e.withColumn("__id", F.trim(F.col("__id")).try_cast("int"))
-    side, _ = bounded_broadcast(dim.select(F.col(dim_key).alias("__k"), F.col(dim_value).alias(out)))
+    e = e.withColumn("__id", F.trim(F.col("__id")).try_cast("bigint"))
+    side = dim.select(F.col(dim_key).cast("bigint").alias("__k"), F.col(dim_value).alias(out))
     how = "left" if keep_empty else "inner"
     return e.join(side, e["__id"] == side["__k"], how).drop("__id", "__k")
 

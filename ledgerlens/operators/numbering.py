@@ -1,13 +1,11 @@
 """Consecutive surrogate keys over a total order, without a one-partition window.
 
-``row_number() OVER (ORDER BY ..)`` with no partition sorts everything in one
-task. Here the rows are range-partitioned on the order and sorted inside each
-partition, and that staged frame is checkpointed (reliable storage under the
-session's shared checkpoint folder). Per-partition row counts (one row per
-partition) give prefix offsets; the key is the offset plus the position
-inside the partition. Both the counts and the numbering read the same
-checkpointed partitions, so they agree even if a re-plan or an executor loss
-would sample different range bounds on recomputation.
+``row_number() OVER (ORDER BY ..)`` with no partition sorts everything in one task. Here the
+leading order column, a whole number, is cut at fixed points into buckets: a row's bucket
+depends on nothing but its value, so any task, and any repeated one, puts it in the same
+place. One aggregate counts rows per bucket; running sums over the counts, first inside groups
+of buckets and then over the groups, give each bucket's offset; a row number inside the
+bucket completes the key. Nothing is stored and no range is sampled.
 """
 
 from __future__ import annotations
@@ -15,27 +13,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
 
+def surrogate_key(df: DataFrame, leading: str, order: list[Column], name: str = "rownum",
+                  width: int = 4096, fan: int = 4096) -> DataFrame:
+    """Add ``name``: 1, 2, .. by ``leading`` (a whole number, NULL first) and then ``order``.
 
-def surrogate_key(df: DataFrame, order: list[Column], name: str = "rownum",
-                  partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    if checkpoint:
-        checkpoint_dir(spark)
-        staged = staged.checkpoint(eager=True)
-    # Without the checkpoint the two reads below may see differently sampled
-    # range bounds; only use checkpoint=False on a deterministic cached input.
-    counts = staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.withColumn(
-        "__off", F.sum("__n").over(Window.orderBy("__pid").rowsBetween(
-            Window.unboundedPreceding, -1))).fillna(0, ["__off"])
-    # One row per partition: bounded by the partition count, safe to broadcast.
-    pos = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    keyed = staged.join(F.broadcast(offsets.select("__pid", "__off")), "__pid")
-    return keyed.withColumn(name, (F.col("__off") + pos + 1).cast("bigint")) \
-        .drop("__pid", "__mid", "__off")
+    ``width`` values of ``leading`` share a bucket and ``fan`` buckets share a group."""
+    value = F.col(leading).cast("bigint")
+    bucket = F.floor(value / F.lit(width)).cast("bigint")
+    rows = df.withColumn("__bucket", bucket)
+    counts = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")) \
+        .withColumn("__group", F.floor(F.col("__bucket") / F.lit(fan)).cast("bigint"))
+    past = (Window.unboundedPreceding, -1)
+    groups = counts.groupBy("__group").agg(F.sum("__n").alias("__in_group"))
+    groups = groups.select(F.col("__group").alias("__g"), F.coalesce(F.sum("__in_group").over(
+        Window.orderBy(F.col("__group").asc_nulls_first()).rowsBetween(*past)), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("__group").orderBy(F.col("__bucket").asc_nulls_first()).rowsBetween(*past)
+    offsets = counts.withColumn("__skip", F.coalesce(F.sum("__n").over(inside), F.lit(0))) \
+        .join(groups, F.col("__group").eqNullSafe(F.col("__g"))) \
+        .select(F.col("__bucket").alias("__b"), (F.col("__start") + F.col("__skip")).alias("__offset"))
+    within = Window.partitionBy("__bucket").orderBy(F.col(leading).asc_nulls_first(), *order)
+    keyed = rows.join(offsets, F.col("__bucket").eqNullSafe(F.col("__b")))
+    return keyed.withColumn(name, (F.col("__offset") + F.row_number().over(within)).cast("bigint")) \
+        .drop("__bucket", "__b", "__offset")

@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
-    """First ``k`` rows by a total order (callers add a tie-breaker)."""
-    return df.orderBy(*order).limit(k)
+def top_k(df: DataFrame, k: int, order: list[Column], offset: int = 0) -> DataFrame:
+    """``k`` rows by a total order (callers add a tie-breaker), after ``offset`` rows
+    (OFFSET .. FETCH)."""
+    ordered = df.orderBy(*order)
+    return (ordered.offset(offset) if offset else ordered).limit(k)
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int = 1,

@@ -1,22 +1,14 @@
-"""Row number, lag and lead inside groups without putting a group in one task.
+"""Rank, row number, lag and lead inside groups without putting a group in one task.
 
-A window ``PARTITION BY key ORDER BY o`` sends every row of a key to one task,
-so one key holding a third of the data is sorted by one task. Here rows are
-range-partitioned on (key, order): a hot key is cut into segments across many
-partitions, each sorted locally. A per-segment aggregate (one row per key and
-partition) gives each segment its row offset inside the key and the boundary
-values of its neighbouring segments; neighbours inside a segment come from a
-window partitioned by (key, segment), which is bounded by one partition.
+A window ``PARTITION BY key ORDER BY o`` sends every row of a key to one task, so one key
+holding a third of the data is sorted by one task. Here the rows of a key are cut by period
+(the calendar month of the leading order column, or any expression that never falls along the
+order). Windows run inside (key, period); one aggregated row per key and period carries the
+counts and border values, and a window over those few rows stitches the periods together.
+The plan is the same at any size and runs nothing while it is built.
 
-The staged rows are checkpointed to the session's shared checkpoint folder so
-the segment aggregate and the rows it is joined back to see the same
-partitions. ``order`` must be a total order inside each key (ties would be
-numbered in an arbitrary order, as ROW_NUMBER does).
-
-The segment plan costs a checkpoint and two shuffles, so it is used only when
-a group is too large for one task: one partially-aggregated pass measures the
-largest group first; below ``max_group_rows`` (session conf
-``spark.ledgerlens.maxGroupRows``, default 20 million) plain windows are used.
+Rows that tie on the whole order are numbered in an arbitrary order, as ROW_NUMBER does; make
+the order total where that matters. ``rank`` ties on the leading order column only.
 """
 
 from __future__ import annotations
@@ -24,86 +16,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-
-
-DEFAULT_MAX_GROUP_ROWS = 20_000_000
-
-
-def group_row_limit(spark, max_group_rows: int | None = None) -> int:
-    if max_group_rows is not None:
-        return max_group_rows
-    return int(spark.conf.get("spark.ledgerlens.maxGroupRows", str(DEFAULT_MAX_GROUP_ROWS)))
 
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the biggest group (partial aggregation, one small result)."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return int(row[0] or 0)
+def month_of(order_col: str) -> Column:
+    """The default period of a date column."""
+    return F.trunc(F.col(order_col), "MM")
 
 
 def sequence_columns(df: DataFrame, keys: list[str], order: list[str],
                      lags: dict[str, str] | None = None, leads: dict[str, str] | None = None,
-                     row_number: str | None = None, partitions: int | None = None,
-                     max_group_rows: int | None = None,
-                     segmented: bool | None = None) -> DataFrame:
-    """Add ``lags`` (new column -> source column, previous row in the key),
-    ``leads`` (next row) and ``row_number`` (1-based position in the key).
-
-    ``segmented`` forces the plan; None measures the largest group of ``df``."""
+                     row_number: str | None = None, rank: str | None = None,
+                     period: Column | None = None) -> DataFrame:
+    """Add ``lags`` (new column -> source column, previous row in the key), ``leads`` (next
+    row), ``row_number`` and ``rank`` (1-based position in the key, by the whole order and by
+    the leading order column)."""
     lags, leads = lags or {}, leads or {}
-    if segmented is None:
-        segmented = largest_group(df, keys) > group_row_limit(df.sparkSession, max_group_rows)
-    if not segmented:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = df
-        for name, c in lags.items():
-            out = out.withColumn(name, F.lag(c).over(w))
-        for name, c in leads.items():
-            out = out.withColumn(name, F.lead(c).over(w))
-        if row_number:
-            out = out.withColumn(row_number, F.row_number().over(w).cast("bigint"))
-        return out
-    return _segmented(df, keys, order, lags, leads, row_number, partitions)
-
-
-def _segmented(df: DataFrame, keys: list[str], order: list[str], lags: dict[str, str],
-               leads: dict[str, str], row_number: str | None,
-               partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols: list[Column] = [F.col(c) for c in [*keys, *order]]
-    staged = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
-    sources = sorted(set(lags.values()) | set(leads.values()))
-    seg = staged.groupBy(*keys, "__pid").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"),
-        F.max("__mid").alias("__last"),
-        *[F.max_by(c, "__mid").alias(f"__tail_{c}") for c in sources],
-        *[F.min_by(c, "__mid").alias(f"__head_{c}") for c in sources])
-    ws = Window.partitionBy(*keys).orderBy("__pid")
-    seg = seg.withColumn("__off", F.coalesce(
-        F.sum("__n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    for c in sources:
-        seg = (seg.withColumn(f"__prev_{c}", F.lag(f"__tail_{c}").over(ws))
-               .withColumn(f"__next_{c}", F.lead(f"__head_{c}").over(ws)))
-    seg = seg.drop(*[f"__tail_{c}" for c in sources], *[f"__head_{c}" for c in sources])
-    j = staged.join(seg, [*keys, "__pid"])
-    wl = Window.partitionBy(*keys, "__pid").orderBy("__mid")
-    at_first = F.col("__mid") == F.col("__first")
-    at_last = F.col("__mid") == F.col("__last")
-    out = j
-    for name, c in lags.items():
-        out = out.withColumn(name, F.when(at_first, F.col(f"__prev_{c}"))
-                             .otherwise(F.lag(c).over(wl)))
-    for name, c in leads.items():
-        out = out.withColumn(name, F.when(at_last, F.col(f"__next_{c}"))
-                             .otherwise(F.lead(c).over(wl)))
+    cut = df.withColumn("__period", month_of(order[0]) if period is None else period)
+    sources = sorted({*lags.values(), *leads.values()})
+    place = F.struct(*order)
+    borders = cut.groupBy(*keys, "__period").agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.min_by(c, place).alias(f"__head_{c}") for c in sources],
+        *[F.max_by(c, place).alias(f"__tail_{c}") for c in sources])
+    along = Window.partitionBy(*keys).orderBy("__period")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    borders = borders.select(
+        *[F.col(k).alias(f"__key_{k}") for k in keys], F.col("__period").alias("__key_period"),
+        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+        *[F.lag(f"__tail_{c}").over(along).alias(f"__prev_{c}") for c in sources],
+        *[F.lead(f"__head_{c}").over(along).alias(f"__next_{c}") for c in sources])
+    same = F.col("__period").eqNullSafe(F.col("__key_period"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
+    out = cut.join(borders, same)
+    inside = Window.partitionBy(*keys, "__period").orderBy(*order)
+    first = F.lag(F.lit(True)).over(inside).isNull()
+    last = F.lead(F.lit(True)).over(inside).isNull()
+    columns = {name: F.when(first, F.col(f"__prev_{c}")).otherwise(F.lag(c).over(inside))
+               for name, c in lags.items()}
+    columns |= {name: F.when(last, F.col(f"__next_{c}")).otherwise(F.lead(c).over(inside))
+                for name, c in leads.items()}
     if row_number:
-        out = out.withColumn(row_number,
-                             (F.col("__off") + F.col("__mid") - F.col("__first") + 1).cast("bigint"))
-    helpers = [c for c in out.columns if c.startswith("__")]
-    return out.drop(*helpers)
+        columns[row_number] = (F.col("__before") + F.row_number().over(inside)).cast("bigint")
+    if rank:
+        ties = Window.partitionBy(*keys, "__period").orderBy(order[0])
+        columns[rank] = (F.col("__before") + F.rank().over(ties)).cast("bigint")
+    out = out.withColumns(columns)
+    return out.drop(*[c for c in out.columns if c.startswith("__")])

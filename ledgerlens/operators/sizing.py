@@ -1,9 +1,9 @@
 """Broadcast only what has a proven size bound.
 
-``bounded_broadcast`` checks the row count of a candidate side with a capped
-``limit(n + 1)`` count (it never scans past the bound) and returns a broadcast
-hint only when the side is within the bound; otherwise the plain DataFrame is
-returned and Catalyst/AQE plans a shuffle join.
+``fixed_dimension`` hints a broadcast when Catalyst proves from the plan alone that the side
+is small (literal rows, and projections, filters or limits of them). Anything read from files
+is left to the planner, which compares its size with the broadcast threshold. The hint never
+changes an answer, and nothing runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 200_000
+FIXED_DIMENSION_MAX_ROWS = 10_000
 
 
 def plan_max_rows(df: DataFrame) -> int | None:
@@ -22,25 +22,6 @@ def plan_max_rows(df: DataFrame) -> int | None:
     return int(bound.get()) if bound.isDefined() else None
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows: from the plan's proven
-    bound when it has one, otherwise by a capped count that stops scanning
-    after ``max_rows + 1`` rows."""
-    bound = plan_max_rows(df)
-    if bound is not None and bound <= max_rows:
-        return True
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[DataFrame, bool]:
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df), True
-    return df, False
-
-
-FIXED_DIMENSION_MAX_ROWS = 10_000
-
-
 def fixed_dimension(df: DataFrame) -> DataFrame:
     """Broadcast a dimension whose size the plan itself proves (literal rows and
     projections or filters of them); anything else is left to the planner."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,9 @@ from .oracle import subscriptions as o_sb
 from .oracle import retail as o_rt
 from .oracle import delivery as o_dl
 
+#: Years whose weeks the yearly impact questions read by range.
+SALES_YEARS = range(2005, 2025)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -80,6 +84,8 @@ def _loyalty() -> dict[str, Query]:
         "loyalty_points_first_week":
             lambda fx: ly.points_first_week(fx.sales, fx.menu, fx.members),
         "loyalty_joined_view": lambda fx: ly.joined_view(fx.sales, fx.menu, fx.members),
+        "loyalty_runner_up_item": lambda fx: ly.top_item(fx.sales, fx.menu, place=2),
+        "loyalty_view_summary": lambda fx: ly.view_summary(fx.sales, fx.menu, fx.members),
         "loyalty_member_ranking": lambda fx: ly.member_ranking(fx.sales, fx.menu, fx.members),
     }
 
@@ -108,10 +114,19 @@ def _retail() -> dict[str, Query]:
     def clean(fx):
         return rt.clean_weekly_sales(fx.weekly_sales_raw)
 
+    def dated(fx, dates, outside=None):
+        return rt.clean_weekly_sales(fx.weekly_sales(dates, outside))
+
+    def yearly(fx, weeks):
+        # ranges for the years of SALES_YEARS; sales of any other year are all read
+        first, last = SALES_YEARS[0], SALES_YEARS[-1] + 1
+        return dated(fx, rt.week_dates(weeks, SALES_YEARS), (dt.date(first, 1, 1), dt.date(last, 1, 1)))
+
     return {
         "clean_weekly_sales": clean,
         "retail_weekdays": lambda fx: rt.weekdays(clean(fx)),
         "retail_missing_weeks": lambda fx: rt.missing_weeks(fx.spark, clean(fx)),
+        "retail_missing_weeks_by_year": lambda fx: rt.missing_weeks_by_year(clean(fx)),
         "retail_transactions_by_year": lambda fx: rt.transactions_by_year(clean(fx)),
         "retail_sales_region_month": lambda fx: rt.sales_region_month(clean(fx)),
         "retail_rows_by_platform": lambda fx: rt.rows_by_platform(clean(fx)),
@@ -119,11 +134,12 @@ def _retail() -> dict[str, Query]:
         "retail_demographic_share_year": lambda fx: rt.demographic_share_year(clean(fx)),
         "retail_top_segments": lambda fx: rt.top_segments(clean(fx)),
         "retail_true_average": lambda fx: rt.true_average(clean(fx)),
-        "impact_4w": lambda fx: rt.impact(clean(fx), 4),
-        "impact_12w": lambda fx: rt.impact(clean(fx), 12),
-        "impact_4w_by_year": lambda fx: rt.impact_by_year(clean(fx), 4),
-        "impact_12w_by_year": lambda fx: rt.impact_by_year(clean(fx), 12),
-        "impact_by_dimension": lambda fx: rt.impact_by_dimension(clean(fx)),
+        "impact_4w": lambda fx: rt.impact(dated(fx, rt.impact_dates(4)), 4),
+        "impact_12w": lambda fx: rt.impact(dated(fx, rt.impact_dates(12)), 12),
+        "impact_4w_by_year": lambda fx: rt.impact_by_year(yearly(fx, 4), 4),
+        "impact_12w_by_year": lambda fx: rt.impact_by_year(yearly(fx, 12), 12),
+        "impact_by_dimension": lambda fx: rt.impact_by_dimension(
+            dated(fx, rt.week_dates(12, [rt.BREAKDOWN_YEAR]))),
     }
 
 
@@ -166,7 +182,8 @@ def _delivery() -> dict[str, Query]:
             items(fx), runs(fx), fx.recipes, fx.toppings),
         "revenue_base": lambda fx: dl.revenue_base(items(fx), runs(fx)),
         "revenue_with_extras": lambda fx: dl.revenue_with_extras(items(fx), runs(fx)),
-        "ratings_contract": lambda fx: dl.ratings_contract(fx.ratings, runs(fx), fx.runners),
+        "ratings_contract": lambda fx: dl.ratings_contract(
+            fx.ratings, runs(fx), fx.runners, items(fx)),
         "delivery_report": lambda fx: dl.delivery_report(fx.ratings, runs(fx), items(fx)),
         "net_profit": lambda fx: dl.net_profit(items(fx), runs(fx)),
     }

@@ -5,11 +5,9 @@ Shapes: ``events(visit_id, cookie_id, page_id, event_type, sequence_number,
 event_time)``, ``pages(page_id, page_name, product_category, product_id)``,
 ``users(user_id, cookie_id, start_date)``, ``campaigns(.., start_date, end_date)``.
 
-Plan shape: every visit-level question aggregates the events once on
-``visit_id`` (map-side partial aggregation, one shuffle), joins the bounded
-dimensions by broadcast, and only then does the small per-product / per-campaign
-aggregation. The sequence-number window and the visit aggregate share the same
-``visit_id`` hash partitioning, so they cost one exchange together.
+Plan shape: every visit-level question aggregates the events once per visit
+(map-side partial aggregation), joins the bounded dimensions by broadcast, and
+only then does the small per-product / per-campaign aggregation.
 """
 
 from __future__ import annotations
@@ -92,56 +90,52 @@ def category_views_carts(events: DataFrame, pages: DataFrame) -> DataFrame:
                  F.sum(_flag(F.col("event_type") == CART)).alias("add_cart_count")))
 
 
-def purchasing_visits(events: DataFrame) -> DataFrame:
-    return events.where(F.col("event_type") == PURCHASE).select("visit_id").distinct()
+def visit_pages(events: DataFrame) -> DataFrame:
+    """One row per visit and page: how often it was viewed and put in the cart, and whether
+    the visit's purchase happened on it."""
+    et = F.col("event_type")
+    return events.groupBy("visit_id", "page_id").agg(
+        F.sum(_flag(et == VIEW)).alias("views"), F.sum(_flag(et == CART)).alias("carts"),
+        F.max(_flag(et == PURCHASE)).alias("purchased"))
+
+
+def pages_of_visits(pages_seen: DataFrame) -> DataFrame:
+    """Rows of :func:`visit_pages` with ``purchased`` true for the whole visit. A visit's list
+    holds a page once, so it is bounded by the pages there are."""
+    visits = pages_seen.groupBy("visit_id").agg(
+        F.collect_list(F.struct("page_id", "views", "carts")).alias("seen"),
+        F.max("purchased").alias("purchased"))
+    return visits.select(F.explode("seen").alias("p"), "purchased") \
+        .select("p.page_id", "p.views", "p.carts", "purchased")
 
 
 def top_purchased(events: DataFrame, pages: DataFrame, k: int = 3) -> DataFrame:
-    carts = (events.where(F.col("event_type") == CART)
-             .join(purchasing_visits(events), "visit_id", "left_semi"))
-    counts = (carts.join(fixed_dimension(pages), "page_id")
-              .groupBy("page_name").agg(F.count(F.lit(1)).alias("purchase_count")))
+    bought = pages_of_visits(visit_pages(events)).where((F.col("purchased") == 1) & (F.col("carts") > 0))
+    counts = (bought.join(fixed_dimension(pages), "page_id")
+              .groupBy("page_name").agg(F.sum("carts").alias("purchase_count")))
     return top_k(counts, k, [F.desc("purchase_count"), F.asc("page_name")])
 
 
 # -- product funnel -----------------------------------------------------------
 def product_funnel(events: DataFrame, pages: DataFrame, event_names: DataFrame) -> DataFrame:
     """Views, cart adds, purchases and abandoned carts per product, counted in
-    distinct visits. A cart add is purchased when its visit has a purchase.
-
-    One aggregation per visit collects the sets of viewed and carted product
-    pages (bounded by the product dimension) plus the purchase flag; exploding
-    those sets gives each (visit, product) once, so a plain sum per product is
-    the distinct-visit count.
-    """
-    known = events.join(fixed_dimension(event_names.select("event_type")), "event_type",
-                        "left_semi")
-    product_pages = pages.where(F.col("product_id").isNotNull())
-    page_kind = fixed_dimension(pages.select(
-        "page_id", F.col("product_id").isNotNull().alias("is_product")))
-    ev = known.join(page_kind, "page_id")
-    on_product = F.when(F.col("is_product"), F.col("page_id"))
-    per_visit = ev.groupBy("visit_id").agg(
-        F.collect_set(on_product).alias("seen"),
-        F.collect_set(F.when(F.col("event_type") == VIEW, on_product)).alias("viewed"),
-        F.collect_set(F.when(F.col("event_type") == CART, on_product)).alias("carted"),
-        F.max(_flag(F.col("event_type") == PURCHASE)).alias("purchased"))
-    touched = per_visit.select(
-        F.explode("seen").alias("page_id"), "viewed", "carted", "purchased").select(
-        "page_id",
-        _flag(F.array_contains("viewed", F.col("page_id"))).alias("v"),
-        _flag(F.array_contains("carted", F.col("page_id"))).alias("c"),
-        "purchased")
-    agg = (touched.groupBy("page_id")
-           .agg(F.sum("v").alias("product_views"), F.sum("c").alias("added_to_cart"),
-                F.sum(F.col("c") * F.col("purchased")).alias("purchased_product")))
-    return (fixed_dimension(product_pages).join(agg, "page_id")
-            .select("product_category", "page_name",
-                    F.col("product_views").cast("bigint").alias("product_views"),
-                    F.col("added_to_cart").cast("bigint").alias("added_to_cart"),
-                    F.col("purchased_product").cast("bigint").alias("purchased_product"),
-                    (F.col("added_to_cart") - F.col("purchased_product")).cast("bigint")
-                    .alias("abandoned_count")))
+    distinct visits. A cart add is purchased when its visit has a purchase."""
+    known = events.join(fixed_dimension(event_names.select("event_type")), "event_type", "left_semi")
+    return funnel_of(visit_pages(known), pages)
+
+
+def funnel_of(pages_seen: DataFrame, pages: DataFrame) -> DataFrame:
+    """The product funnel from rows of :func:`visit_pages`."""
+    known = pages_seen.join(fixed_dimension(pages.select("page_id")), "page_id", "left_semi")
+    touched = pages_of_visits(known)
+    agg = touched.groupBy("page_id").agg(
+        F.count_if(F.col("views") > 0).alias("product_views"),
+        F.count_if(F.col("carts") > 0).alias("added_to_cart"),
+        F.count_if((F.col("carts") > 0) & (F.col("purchased") == 1)).alias("purchased_product"))
+    products = fixed_dimension(pages.where(F.col("product_id").isNotNull()))
+    return products.join(agg, "page_id").select(
+        "product_category", "page_name", "product_views", "added_to_cart", "purchased_product",
+        (F.col("added_to_cart") - F.col("purchased_product")).alias("abandoned_count"))
 
 
 def category_funnel(funnel: DataFrame) -> DataFrame:
@@ -177,28 +171,33 @@ def funnel_mean_rate(funnel: DataFrame, num: str, den: str, name: str) -> DataFr
 
 # -- campaigns ------------------------------------------------------------------
 def campaign_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
-                     event_names: DataFrame, campaigns: DataFrame,
-                     order_by: str = "event_time, event_id") -> DataFrame:
-    """One row per visit: counts, purchase flag, campaign by visit start time,
-    and the cart products in event order.
-
-    ``order_by`` is the in-visit event order (the sequence number's own order by
-    default, which needs no per-visit window; pass ``'sequence_number'`` to
-    use the stored numbering)."""
+                     event_names: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """One row per visit and user: counts, purchase flag, campaign by visit start time, and
+    the cart products in event order.
+
+    Events are first aggregated per visit and cookie, where they lie; the users of the cookies
+    are joined to those rows, and the cookies of one user in a visit are put together."""
     ev = (events.join(fixed_dimension(event_names.select("event_type")), "event_type", "left_semi")
           .join(fixed_dimension(pages.select("page_id", "page_name")), "page_id", "left"))
     et = F.col("event_type")
-    per_visit = ev.groupBy("visit_id", "cookie_id").agg(
+    carted = F.when((et == CART) & F.col("page_name").isNotNull(),
+                    F.struct("event_time", "event_id", "page_name"))
+    per_cookie = ev.groupBy("visit_id", "cookie_id").agg(
         F.min("event_time").alias("visit_start_time"),
-        F.sum(_flag(et == VIEW)).cast("bigint").alias("page_views"),
-        F.sum(_flag(et == CART)).cast("bigint").alias("cart_adds"),
+        F.sum(_flag(et == VIEW)).alias("page_views"), F.sum(_flag(et == CART)).alias("cart_adds"),
         F.max(_flag(et == PURCHASE)).alias("purchase"),
-        F.sum(_flag(et == IMPRESSION)).cast("bigint").alias("impression"),
-        F.sum(_flag(et == CLICK)).cast("bigint").alias("click"),
-        F.expr(f"listagg(CASE WHEN event_type = {CART} THEN page_name END, ', ') "
-               f"WITHIN GROUP (ORDER BY {order_by})").alias("cart_products"))
-    with_user = per_visit.join(users.select("cookie_id", "user_id"), "cookie_id")
-    matched = interval_join(with_user, "visit_start_time",
+        F.sum(_flag(et == IMPRESSION)).alias("impression"), F.sum(_flag(et == CLICK)).alias("click"),
+        F.collect_list(carted).alias("carts"))
+    per_visit = (per_cookie.join(users.select("cookie_id", "user_id"), "cookie_id")
+                 .groupBy("visit_id", "user_id").agg(
+        F.min("visit_start_time").alias("visit_start_time"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ("page_views", "cart_adds")],
+        F.max("purchase").alias("purchase"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ("impression", "click")],
+        F.array_sort(F.flatten(F.collect_list("carts"))).alias("carts")))
+    names = F.transform("carts", lambda s: s["page_name"])
+    per_visit = per_visit.withColumn("cart_products", F.when(F.size("carts") > 0, F.array_join(names, ", ")))
+    matched = interval_join(per_visit, "visit_start_time",
                             campaigns.select("campaign_name", "start_date", "end_date"),
                             "start_date", "end_date", how="left")
     return matched.select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds",
@@ -234,6 +233,8 @@ def campaign_scorecard(summary: DataFrame) -> DataFrame:
     n1 = F.sum(_flag(imp))
     p0 = F.sum(F.when(~imp, F.col("purchase")).otherwise(0))
     n0 = F.sum(_flag(~imp))
+    # counts are below 10 ** 19, so their products fit the widest decimal
+    p1, n1, p0, n0 = (c.cast("decimal(19,0)") for c in (p1, n1, p0, n0))
     return (summary.where(F.col("campaign_name").isNotNull()).groupBy("campaign_name")
             .agg(ratio(p1 * n0 - p0 * n1, n1 * p0, 2, 100).alias("lift"),
                  F.sum("impression").alias("total_impression"),

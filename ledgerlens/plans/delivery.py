@@ -6,9 +6,10 @@ distance, duration, cancellation)`` as dirty text, ``runners``,
 ``item_types(item_type_id, item_name)``, ``recipes(item_type_id, toppings)``,
 ``toppings(topping_id, topping_name)``, ``ratings``.
 
-The cleaned tables are narrow projections. Item lists are edited per row with
-higher-order functions against a size-checked topping map, so receipts and
-ingredient lists need no explode/regroup shuffle.
+The cleaned tables are narrow projections. Lists are edited once per distinct
+(item type, exclusions, extras): the items are counted or joined by that
+combination. Questions about orders aggregate the items once per order and
+join that to the runs.
 """
 
 from __future__ import annotations
@@ -122,32 +123,34 @@ def signup_weeks(runners, anchor=SIGNUP_ANCHOR):
             .agg(F.count(F.lit(1)).alias("runners_registering")))
 
 
-def _pickup_minutes(items, runs):
+def _per_order(items):
+    """One row per order: number of items, order time, customer."""
+    return items.groupBy("order_id").agg(F.count("order_id").alias("n_items"),
+                                         F.min("order_time").alias("order_time"),
+                                         F.min("customer_id").alias("customer_id"))
+
+
+def _pickups(items, runs):
     """One row per delivered order with its minute-boundary pickup delay."""
-    j = _delivered(runs).join(items.select("order_id", "order_time"), "order_id")
-    return j.select("runner_id", "order_id",
-                    minute_boundaries("order_time", "pickup_time").alias("picktime")).distinct()
+    j = _delivered(runs).select("order_id", "runner_id", "pickup_time", "distance") \
+        .join(_per_order(items), "order_id")
+    return j.withColumn("picktime", minute_boundaries("order_time", "pickup_time"))
 
 
 def pickup_minutes(items, runs):
-    return (_pickup_minutes(items, runs).groupBy(F.col("runner_id").alias("runner"))
+    return (_pickups(items, runs).groupBy(F.col("runner_id").alias("runner"))
             .agg(truncated_avg("picktime").alias("avg_pickup_time")))
 
 
 def prep_time_by_size(items, runs):
-    diff = _pickup_minutes(items, runs).select("order_id", "picktime").distinct()
-    sizes = items.groupBy("order_id").agg(F.count("order_id").alias("amount_of_items"))
-    return (sizes.join(diff, "order_id").groupBy("amount_of_items")
+    return (_pickups(items, runs).groupBy(F.col("n_items").alias("amount_of_items"))
             .agg(truncated_avg("picktime").alias("avg_delivery_time")))
 
 
 def customer_mean_distance(items, runs):
-    """Mean distance per customer over distinct (customer, order, distance)."""
-    j = (_delivered(runs).select("order_id", "distance")
-         .join(items.select("order_id", "customer_id"), "order_id")
-         .select("customer_id", "distance", "order_id").distinct())
+    """Mean distance per customer over delivered orders."""
     tenths = (F.col("distance") * 10).cast("bigint")
-    return j.groupBy("customer_id").agg(
+    return _pickups(items, runs).groupBy("customer_id").agg(
         ratio(F.sum(tenths), F.count("distance") * 10, 2).alias("avg_distance"))
 
 
@@ -161,9 +164,10 @@ def _speed():
 
 
 def runner_speed(runs):
-    """Speed per delivery (``runs`` has one row per order)."""
-    return (_delivered(runs).select("runner_id", "order_id", _speed().alias("avg_speed_kmph"))
-            .orderBy("runner_id", "order_id", "avg_speed_kmph"))
+    """Speed per runner and order, summed over the order's runs."""
+    return (_delivered(runs).groupBy("runner_id", "order_id")
+            .agg(F.sum(_speed()).cast("decimal(18,1)").alias("avg_speed_kmph"))
+            .orderBy("runner_id", "order_id"))
 
 
 def success_pct(runs):
@@ -173,12 +177,12 @@ def success_pct(runs):
 
 
 # -- item lists -----------------------------------------------------------------
-def recipe_ingredients(recipes, item_types, toppings, items=None):
-    """Standard ingredients per item type (of the types that were ordered)."""
-    r = recipes if items is None else recipes.join(
-        items.select("item_type_id").distinct(), "item_type_id", "left_semi")
-    e = L.explode_list(r, "toppings", toppings, "topping_id", "topping_name", "topping_name")
-    return e.join(fixed_dimension(item_types), "item_type_id").select("item_name", "topping_name")
+def recipe_ingredients(recipes, item_types, toppings, items):
+    """Standard ingredients per item type, with how many items of the type were ordered."""
+    ordered = items.groupBy("item_type_id").agg(F.count(F.lit(1)).alias("items_ordered"))
+    e = L.explode_list(recipes, "toppings", toppings, "topping_id", "topping_name", "topping_name")
+    return (e.join(fixed_dimension(item_types), "item_type_id").join(ordered, "item_type_id")
+            .select("item_name", "topping_name", "items_ordered"))
 
 
 def _top_list_item(items, runs, toppings, col):
@@ -196,31 +200,44 @@ def top_exclusion(items, runs, toppings):
     return _top_list_item(items, runs, toppings, "exclusions")
 
 
+_COMBINATION = ("item_type_id", "exclusions", "extras")
+
+
+def _combinations(items) -> DataFrame:
+    """Distinct (item type, exclusions, extras) with their number of items (``n``)."""
+    return items.groupBy(*_COMBINATION).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _back_to_items(items, combos) -> DataFrame:
+    """Items with the other columns of their combination."""
+    keys = combos.select(*[F.col(c).alias(f"__{c}") for c in _COMBINATION],
+                         *[c for c in combos.columns if c not in (*_COMBINATION, "n")])
+    met = F.lit(True)
+    for c in _COMBINATION:
+        met = met & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return items.join(keys, met).drop(*[f"__{c}" for c in _COMBINATION])
+
+
+def _with_changes(combos, toppings) -> DataFrame:
+    named = L.with_names(combos, "exclusions", toppings, "topping_id", "topping_name", "__excl")
+    return L.with_names(named, "extras", toppings, "topping_id", "topping_name", "__extra")
+
+
 def item_label(items, item_types, toppings):
     """'Name - Exclude a, b - Extra c' per ordered item."""
-    named = L.with_names(L.with_names(items, "exclusions", toppings, "topping_id", "topping_name",
-                                      "__excl"),
-                         "extras", toppings, "topping_id", "topping_name", "__extra")
-    excl = L.join_names(F.col("__excl"))
-    extra = L.join_names(F.col("__extra"))
-    j = named.join(fixed_dimension(item_types), "item_type_id")
-    name = F.col("item_name")
-    receipt = (F.when(extra.isNull() & excl.isNull(), name)
-               .when(excl.isNull(), concat_nullsafe(name, F.lit(" - Extra "), extra))
-               .when(extra.isNull(), concat_nullsafe(name, F.lit(" - Exclude "), excl))
-               .otherwise(concat_nullsafe(name, F.lit(" - Exclude "), excl,
-                                          F.lit(" - Extra "), extra)))
-    return j.select("order_id", receipt.alias("receipt"))
-
-
-def _atomic(items, recipes, toppings) -> DataFrame:
-    """Each item's final ingredient bag: recipe minus exclusions plus extras."""
+    combos = _with_changes(_combinations(items), toppings).join(fixed_dimension(item_types), "item_type_id")
+    excl, extra = L.join_names(F.col("__excl")), L.join_names(F.col("__extra"))
+    receipt = concat_nullsafe("item_name", F.concat(F.lit(" - Exclude "), excl),
+                              F.concat(F.lit(" - Extra "), extra))
+    labelled = combos.select(*_COMBINATION, receipt.alias("receipt"))
+    return _back_to_items(items, labelled).select("order_id", "receipt")
+
+
+def _final_bags(combos, recipes, toppings) -> DataFrame:
+    """Each combination's ingredient bag (``__atomic``): recipe minus exclusions plus extras."""
     recipe_names = L.with_names(recipes, "toppings", toppings, "topping_id", "topping_name",
                                 "__recipe").select("item_type_id", "__recipe")
-    j = items.join(fixed_dimension(recipe_names), "item_type_id", "left")
-    j = L.with_names(L.with_names(j, "exclusions", toppings, "topping_id", "topping_name",
-                                  "__excl"),
-                     "extras", toppings, "topping_id", "topping_name", "__extra")
+    j = _with_changes(combos.join(recipe_names, "item_type_id", "left"), toppings)
     return L.edit_lists(j, F.col("__recipe"), F.col("__excl"), F.col("__extra"), "__atomic") \
         .drop("__recipe", "__excl", "__extra")
 
@@ -228,27 +245,27 @@ def _atomic(items, recipes, toppings) -> DataFrame:
 def ingredient_list(items, item_types, recipes, toppings, prefix_all: bool = False):
     """Alphabetical (case-insensitive) ingredient list per item with '2x'
     marks, numbered by a consecutive key over the full row order."""
-    order = [F.col(c).asc_nulls_first() for c in
-             ("order_id", "customer_id", "item_type_id", "exclusions", "extras", "order_time")]
-    named = items.join(fixed_dimension(item_types), "item_type_id")
-    keyed = surrogate_key(named, order, "rownum")
-    a = _atomic(keyed, recipes, toppings)
     labels = L.case_insensitive_sort(L.mark_repeats(F.col("__atomic"), 2, prefix_all))
-    return (a.where(F.size("__atomic") > 0)
-            .select("rownum", "order_id", "customer_id",
+    bags = (_final_bags(_combinations(items), recipes, toppings)
+            .join(fixed_dimension(item_types), "item_type_id")
+            .select(*_COMBINATION, F.size("__atomic").alias("__size"),
                     F.concat(F.col("item_name"), F.lit(": "), F.array_join(labels, ", "))
-                    .alias("instruction_list"), "order_time"))
+                    .alias("instruction_list")))
+    order = [F.col(c).asc_nulls_first() for c in
+             ("customer_id", "item_type_id", "exclusions", "extras", "order_time")]
+    keyed = surrogate_key(_back_to_items(items, bags), "order_id", order, "rownum")
+    return keyed.where(F.col("__size") > 0).select("rownum", "order_id", "customer_id",
+                                                   "instruction_list", "order_time")
 
 
 def ingredient_totals(items, runs, recipes, toppings):
-    a = _atomic(_delivered_items(items, runs), recipes, toppings)
+    bags = _final_bags(_combinations(_delivered_items(items, runs)), recipes, toppings)
     # explode_outer + NULL filter: an inner explode would make the optimizer
     # add a pushed-down size(array) > 0 filter that evaluates the edit twice.
-    return (a.select(F.explode_outer("__atomic").alias("atomic_topping_name"))
+    return (bags.select("n", F.explode_outer("__atomic").alias("atomic_topping_name"))
             .where(F.col("atomic_topping_name").isNotNull())
-            .groupBy("atomic_topping_name")
-            .agg(F.count("atomic_topping_name").alias("total_used_ingredient"))
-            .orderBy(F.desc("total_used_ingredient")))
+            .groupBy("atomic_topping_name").agg(F.sum("n").alias("total_used_ingredient"))
+            .orderBy(F.desc("total_used_ingredient"), "atomic_topping_name"))
 
 
 # -- pricing and ratings --------------------------------------------------------
@@ -266,32 +283,43 @@ def revenue_with_extras(items, runs):
                  .alias("total_rev"))
 
 
-def ratings_contract(ratings, runs, runners):
-    """Checks of the ratings table contract (key, not-null, references, 1..5)
-    plus the keys declared on its parents."""
+def ratings_contract(ratings, runs, runners, items):
+    """Checks of the ratings table contract (key, not-null, references, 1..5), of the keys
+    declared on its parents, and of rules that the delivery data breaks: cancelled runs have
+    neither a pickup time nor a rating, an order has several items, some runs take long."""
     return Q.contract_report({
         "pk_ratings_order_id": Q.duplicate_keys(ratings, ["order_id"]),
-        "not_null_ratings": Q.null_rows(ratings, ["order_id", "runner_id", "customer_id"]),
-        "fk_ratings_runs": Q.orphans(ratings, runs, "order_id", "order_id"),
-        "fk_ratings_runners": Q.orphans(ratings, runners, "runner_id", "runner_id"),
-        "chk_ratings_rating": Q.out_of_range(ratings, "rating", 1, 5),
         "pk_runs_order_id": Q.duplicate_keys(runs, ["order_id"]),
-        "not_null_runs_order_id": Q.null_rows(runs, ["order_id"]),
         "pk_runners_runner_id": Q.duplicate_keys(runners, ["runner_id"]),
-    })
+        "pk_items_order_id": Q.duplicate_keys(items, ["order_id"]),
+        "fk_ratings_runs": Q.orphans(ratings, runs, "order_id", "order_id"),
+        "fk_ratings_runners": Q.orphans(ratings, runners, "runner_id", "runner_id"),
+        "fk_runs_ratings": Q.orphans(runs, ratings, "order_id", "order_id"),
+    }, Q.row_checks(ratings, {
+        "not_null_ratings": Q.any_null(["order_id", "runner_id", "customer_id"]),
+        "chk_ratings_rating": Q.outside("rating", 1, 5),
+    }), Q.row_checks(runs, {
+        "not_null_runs_order_id": Q.any_null(["order_id"]),
+        "not_null_runs_pickup_time": Q.any_null(["pickup_time"]),
+        "chk_runs_duration": Q.outside("duration", 1, 30),
+    }))
+
+
+def rating_rules():
+    """What a row of the ratings table must hold to be loaded (see ``sinks.load_checked``)."""
+    return {"not_null": ~Q.any_null(["order_id", "runner_id", "customer_id"]),
+            "rating_1_to_5": ~F.coalesce(Q.outside("rating", 1, 5), F.lit(False))}
 
 
 def delivery_report(ratings, runs, items):
     """One row per rated order with times, delay, speed and item count."""
-    counts = items.groupBy("order_id").agg(F.count("order_id").alias("total_number_of_items"))
-    times = items.select("order_id", "order_time").distinct()
     j = (ratings.select("customer_id", "order_id", "runner_id", "rating")
          .join(runs.select("order_id", "pickup_time", "duration", "distance"), "order_id")
-         .join(times, "order_id").join(counts, "order_id"))
+         .join(_per_order(items).drop("customer_id"), "order_id"))
     return j.select("customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
                     minute_boundaries("order_time", "pickup_time").alias("order_pick_diff"),
                     "duration", _speed().alias("avg_speed_kmph"),
-                    "total_number_of_items").distinct()
+                    F.col("n_items").alias("total_number_of_items")).distinct()
 
 
 def net_profit(items, runs):

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.asof import asof_first, asof_last, join_before
-from ..operators.ranking import dense_rank_by_value, top_k, top_per_group
+from ..operators.ranking import top_k, top_per_group
+from ..sources.sinks import register_view
 
 # Parameters of the points rules: points per unit of price, the product that
 # always earns double, the length of the double-points first week, and the
@@ -39,19 +40,28 @@ def visit_days(sales):
 
 
 def first_items(sales, menu):
-    firsts = top_per_group(_priced(sales, menu), ["customer_id"], [F.col("order_date")])
-    return firsts.select("customer_id", "product_name").distinct()
+    """Products of each customer's first date; names are joined to the few rows left."""
+    first = sales.groupBy("customer_id").agg(F.min("order_date").alias("order_date"))
+    firsts = sales.join(first, ["customer_id", "order_date"]).select("customer_id", "product_id").distinct()
+    return firsts.join(menu, "product_id").select("customer_id", "product_name").distinct()
 
 
-def top_item(sales, menu):
-    counts = (_priced(sales, menu).groupBy("product_name")
-              .agg(F.count("product_id").alias("purchase_count")))
-    return top_k(counts, 1, [F.desc("purchase_count"), F.asc("product_name")])
+def _item_counts(sales, menu, *by):
+    """Sales per product name (and ``by``): counted per product before the name is joined."""
+    counts = sales.groupBy(*by, "product_id").agg(F.count(F.lit(1)).alias("__n"))
+    return counts.join(menu.select("product_id", "product_name"), "product_id") \
+        .groupBy(*by, "product_name").agg(F.sum("__n").alias("__n"))
+
+
+def top_item(sales, menu, place: int = 1):
+    """The most purchased product, or the one at another ``place``."""
+    counts = _item_counts(sales, menu).select("product_name", F.col("__n").alias("purchase_count"))
+    return top_k(counts, 1, [F.desc("purchase_count"), F.asc("product_name")], offset=place - 1)
 
 
 def favourite_per_customer(sales, menu):
-    counts = (_priced(sales, menu).groupBy("customer_id", "product_name")
-              .agg(F.count("product_name").alias("product_count")))
+    counts = _item_counts(sales, menu, "customer_id").withColumnRenamed("__n", "product_count") \
+        .select("customer_id", "product_name", "product_count")
     return top_per_group(counts, ["customer_id"], [F.desc("product_count")]).orderBy("customer_id")
 
 
@@ -105,8 +115,20 @@ def joined_view(sales, menu, members):
 def member_ranking(sales, menu, members):
     """Dense rank of member-period purchases by date per customer; NULL for
     purchases made as a non-member. Ranks come from the distinct purchase
-    dates, so one very active customer does not sort all its rows in one task."""
-    v = joined_view(sales, menu, members)
-    ranked = dense_rank_by_value(v, ["customer_id", "member"], "order_date", "__r")
-    return ranked.select("customer_id", "order_date", "product_name", "price", "member",
-                         F.when(F.col("member") == "Y", F.col("__r")).cast("bigint").alias("ranking"))
+    dates, before any product is joined, so one very active customer does not
+    sort all its rows in one task."""
+    dates = sales.select("customer_id", "order_date").distinct()
+    member_dates = join_before(dates, members, "customer_id", "order_date", "join_date", on_or_after=True)
+    order = Window.partitionBy("customer_id").orderBy("order_date")
+    ranks = member_dates.select("customer_id", "order_date",
+                                F.dense_rank().over(order).cast("bigint").alias("ranking"))
+    j = _priced(sales, menu).join(ranks, ["customer_id", "order_date"], "left")
+    return j.select("customer_id", "order_date", "product_name", "price",
+                    F.when(F.col("ranking").isNull(), "N").otherwise("Y").alias("member"), "ranking")
+
+
+def view_summary(sales, menu, members, name: str = "member_purchases"):
+    """Register the joined view under ``name`` and ask it from a second statement."""
+    view = register_view(joined_view(sales, menu, members), name)
+    return view.sparkSession.sql(
+        f"SELECT member, count(*) AS items, CAST(sum(price) AS {MONEY}) AS spent FROM {name} GROUP BY member")

@@ -5,10 +5,10 @@ change) and ``plans(plan_id, plan_name, price)``. Plan codes: 0 trial,
 1 basic monthly, 2 pro monthly, 3 pro annual, 4 churn.
 
 Neighbour values inside a customer's timeline (next change, previous billed
-plan, payment order) come from ``operators.sequences.sequence_columns``, which
-range-partitions on (customer, date) so one very active customer is spread
-over many tasks; the schedule expansion between them is a narrow explode.
-Plans are a fixed 5-row dimension.
+plan, payment order) come from ``operators.sequences.sequence_columns``, whose
+windows hold one customer's month at a time; the schedule expansion between
+them is a narrow explode. Plans are a fixed 5-row dimension. Changes of one
+customer on one day are ordered by plan id.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import int_div, ratio
-from ..operators.asof import role_join, snapshot_at
+from ..operators.asof import earliest_per_key, role_join, snapshot_at
 from ..operators.calendar import recurring_schedule
-from ..operators.ranking import growth, top_per_group
-from ..operators.sequences import group_row_limit, sequence_columns
+from ..operators.ranking import growth
+from ..operators.sequences import sequence_columns
 from ..operators.sizing import fixed_dimension
 
 TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
@@ -38,8 +38,8 @@ def journey(subs, plans, customers: list[int] | None = None):
     j = subs.join(fixed_dimension(plans), "plan_id")
     if customers:
         j = j.where(F.col("customer_id").isin(customers))
-    return j.select("customer_id", "plan_name", "start_date", "price") \
-        .orderBy("customer_id", "start_date")
+    return j.orderBy("customer_id", "start_date", "plan_id") \
+        .select("customer_id", "plan_name", "start_date", "price")
 
 
 def distinct_customers(subs):
@@ -66,7 +66,8 @@ def churn_rate(subs):
 
 def immediate_churn(subs):
     """Churn rows whose previous change is the trial, over distinct customers."""
-    flagged = sequence_columns(subs, ["customer_id"], ["start_date"], lags={"lag_id": "plan_id"})
+    flagged = sequence_columns(subs, ["customer_id"], ["start_date", "plan_id"],
+                               lags={"lag_id": "plan_id"})
     n = F.sum(F.when((F.col("plan_id") == CHURN) & (F.col("lag_id") == TRIAL), 1).otherwise(0))
     return flagged.agg(n.alias("immediate_churn"),
                        ratio(n, F.countDistinct("customer_id"), 0, 100)
@@ -79,8 +80,8 @@ def _share(counted: DataFrame, count_col: str, name: str, scale: int = 1) -> Dat
 
 
 def first_paid_plan(subs, plans):
-    firsts = top_per_group(subs.where(F.col("plan_id") != TRIAL), ["customer_id"],
-                           [F.col("start_date"), F.col("plan_id")], ties=False)
+    firsts = earliest_per_key(subs.where(F.col("plan_id") != TRIAL), "customer_id",
+                              ["start_date", "plan_id"])
     counted = (firsts.join(fixed_dimension(plans), "plan_id").groupBy("plan_name")
                .agg(F.count("plan_name").alias("plans_after_trial")))
     return _share(counted, "plans_after_trial", "percent_plans_after_trial")
@@ -122,6 +123,8 @@ def days_to_annual_bins(subs, width: int = BIN_DAYS):
 
 
 def downgrades(subs, before=YEAR_END):
+    """Every change to basic that comes after the customer's first pro start, with that start:
+    one row per basic change, however often the customer went back and forth."""
     early = subs.where(F.col("start_date") < F.lit(before))
     pairs = role_join(early, "customer_id", "start_date", F.col("plan_id") == PRO,
                       F.col("plan_id") == BASIC, "pro_start", "basic_start", later_only=True)
@@ -135,30 +138,20 @@ def payments(subs, plans, year_end=YEAR_END, horizon=YEAR_END):
     until the next change or the inclusive ``horizon``; annual plans bill once;
     churn caps the previous plan and is not billed; a monthly date falling on
     the next change's day is dropped; an upgrade from basic is credited with
-    the basic price just paid."""
+    the basic price just paid. Payments of one day share their order (RANK)."""
     changes = (subs.where((F.col("plan_id") != TRIAL) & (F.col("start_date") < F.lit(year_end)))
                .join(fixed_dimension(plans), "plan_id"))
-    # One pass over the changes decides the plan for both sequence steps: a
-    # customer's schedule has at most (changes x months to the horizon) rows.
-    stats = (changes.groupBy("customer_id")
-             .agg(F.count(F.lit(1)).alias("n"), F.min("start_date").alias("s"))
-             .agg(F.max("n").alias("n"), F.min("s").alias("s")).first())
-    months = 0
-    if stats["s"] is not None:
-        months = (horizon.year - stats["s"].year) * 12 + horizon.month - stats["s"].month + 1
-    segmented = (stats["n"] or 0) * max(months, 1) > group_row_limit(subs.sparkSession)
-    base = sequence_columns(changes, ["customer_id"], ["start_date"],
-                            leads={"next_plan_date": "start_date"}, segmented=segmented)
+    base = sequence_columns(changes, ["customer_id"], ["start_date", "plan_id"],
+                            leads={"next_plan_date": "start_date"})
     base = base.withColumn("bound", F.coalesce("next_plan_date", F.lit(horizon)))
     repeat = ~F.col("plan_id").isin(ANNUAL, CHURN)
     sched = (recurring_schedule(base, "start_date", "bound", repeat, "pay_date")
              .where((F.col("plan_id") != CHURN)
                     & (F.col("next_plan_date").isNull()
                        | (F.col("pay_date") != F.col("next_plan_date")))))
-    # Billing dates are unique per customer, so RANK equals the row number.
-    sched = sequence_columns(sched, ["customer_id"], ["pay_date"],
+    sched = sequence_columns(sched, ["customer_id"], ["pay_date", "plan_id"],
                              lags={"last_plan": "plan_id", "last_price": "price"},
-                             row_number="payment_order", segmented=segmented)
+                             rank="payment_order")
     credit = F.col("plan_id").isin(PRO, ANNUAL) & (F.col("last_plan") == BASIC)
     amount = F.when(credit, F.col("price") - F.col("last_price")).otherwise(F.col("price"))
     return sched.select("customer_id", "plan_id", "plan_name",

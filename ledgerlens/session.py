@@ -1,10 +1,7 @@
-"""Session helpers: a local session for tests/bench and the shared checkpoint dir."""
+"""Session helpers: a local session for tests/bench and the shared folder."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings that make the plans below behave well at any scale: AQE re-plans
@@ -22,35 +19,22 @@ SCALE_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "ledgerlens") -> SparkSession:
+                  app: str = "ledgerlens", memory: str = "8g",
+                  conf: dict[str, str] | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g"))
-    for k, v in SCALE_CONF.items():
+               .config("spark.driver.memory", memory))
+    for k, v in {**SCALE_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
-
-    The setting is read from the session (``spark.checkpoint.dir``) or the
-    context. Only a local-mode session (tests) may fall back to a private
-    folder; on a cluster a machine-local folder would not survive executor
-    loss, so an unset directory is an error there.
-    """
-    sc = spark.sparkContext
-    existing = sc.getCheckpointDir()
-    if existing:
-        return existing
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``. There is no fallback: a
+    machine-local folder would not survive the loss of an executor."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return folder

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import int_div
@@ -53,6 +53,7 @@ PRIORITY_PLANS = {"1-URGENT": 3, "2-HIGH": 2, "5-LOW": 4}
 SUBSCRIPTION_EPOCH = dt.date(1995, 1, 1)
 SUBSCRIPTION_START = dt.date(2020, 1, 1)
 RETAIL_SHIFT_DAYS = 7308            # 1044 weeks: Mondays stay Mondays, 1995 -> 2015
+WEEKLY_KEYS = ("wk", "region", "platform", "segment", "customer_type")
 RUNNER_COUNT = 10
 RUNNER_ANCHOR = dt.date(2021, 1, 1)
 
@@ -77,6 +78,19 @@ def _list_text(selector, x):
             .otherwise(F.lit(" NaN ")))
 
 
+def shaped_events(raw: DataFrame) -> DataFrame:
+    """Raw events as clickstream rows (a visit is a user's calendar day); events of a visit are
+    ordered by (event_time, event_id)."""
+    visit = F.concat(F.col("user_id").cast("string"), F.lit("-"),
+                     F.date_format(F.to_date("ts"), "yyyyMMdd"))
+    page = F.get_json_object("props", "$.k").cast("int") % 13 + 1
+    return raw.select(visit.alias("visit_id"), F.col("user_id").cast("string").alias("cookie_id"),
+                      page.cast("int").alias("page_id"),
+                      _case(F.col("event_type"), EVENT_CODES, F.lit(None).cast("int")).cast("int")
+                      .alias("event_type"),
+                      "event_id", F.col("ts").alias("event_time"))
+
+
 class Fixtures:
     """Lazily-built case-study tables over one scale-factor folder."""
 
@@ -232,21 +246,48 @@ class Fixtures:
         o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
         days = F.datediff(F.to_date("o_orderdate"), F.lit(SUBSCRIPTION_EPOCH))
         start = F.date_add(F.lit(SUBSCRIPTION_START), int_div(days, 5).cast("int"))
-        changes = (o.groupBy(F.col("o_custkey").alias("customer_id"), start.alias("start_date"))
-                   .agg(F.min_by("o_orderpriority", "o_orderkey").alias("prio")))
-        # Start dates are unique per customer, so the first change (the trial)
-        # is the one on the customer's earliest date: an aggregate joined back,
-        # which stays partial-aggregated and skew-safe for a very active customer.
-        firsts = changes.groupBy("customer_id").agg(F.min("start_date").alias("first_date"))
+        changes = o.select(F.col("o_custkey").alias("customer_id"), start.alias("start_date"),
+                           "o_orderkey", "o_orderpriority")
+        # Every order is a change. The trial is the customer's first one: an aggregate joined
+        # back, which stays partial and lets a very active customer be split.
+        firsts = changes.groupBy("customer_id").agg(
+            F.min(F.struct("start_date", "o_orderkey")).alias("first"))
         j = changes.join(firsts, "customer_id")
-        plan = (F.when(F.col("start_date") == F.col("first_date"), F.lit(0))
-                .otherwise(_case(F.col("prio"), PRIORITY_PLANS, 1)))
+        plan = (F.when(F.col("o_orderkey") == F.col("first.o_orderkey"), F.lit(0))
+                .otherwise(_case(F.col("o_orderpriority"), PRIORITY_PLANS, 1)))
         return j.select("customer_id", plan.cast("int").alias("plan_id"), "start_date")
 
     # -- retail (case 5) ---------------------------------------------------
     @property
     def weekly_sales_raw(self) -> DataFrame:
+        return self.weekly_sales()
+
+    def weekly_sales(self, dates: list[tuple[dt.date, dt.date]] | None = None,
+                     outside: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+        """Weekly sales, or those whose week date lies in one of ``dates`` (end excluded) or not
+        in ``outside``. The dates become ranges of ``l_shipdate``, which the scan takes."""
         li = self.src.read("lineitem", "l_orderkey", "l_extendedprice", "l_returnflag", "l_shipdate")
+        if dates is not None:
+            li = li.where(self._shipped(dates, outside))
+        return self.weekly_rows(self.weekly_parts(li))
+
+    @staticmethod
+    def _shipped(dates, outside):
+        """Ship dates of the weeks that start in a range; a week begins on its Monday."""
+        shift, ship = dt.timedelta(days=RETAIL_SHIFT_DAYS), F.col("l_shipdate")
+
+        def at(d):
+            return F.lit(dt.datetime.combine(d - shift, dt.time())).cast("timestamp_ntz")
+
+        found = F.lit(False)
+        for lo, hi in dates:
+            found = found | ((ship >= at(lo)) & (ship < at(hi + dt.timedelta(days=6))))
+        if outside:
+            found = found | (ship < at(outside[0])) | (ship >= at(outside[1]))
+        return found
+
+    def weekly_parts(self, li: DataFrame) -> DataFrame:
+        """Weekly sums of any part of the line items; sums of parts add up."""
         o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderpriority")
         c = self.src.read("customer", "c_custkey", "c_nationkey", "c_mktsegment")
         n = self.src.read("nation", "n_nationkey", "n_regionkey")
@@ -255,24 +296,27 @@ class Fixtures:
         # the line items (the largest table) are shuffled once, on the order key.
         geo = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
         order_attrs = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-                       .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")))
+                       .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
         j = li.join(order_attrs, li.l_orderkey == order_attrs.o_orderkey)
         ship = F.to_date("l_shipdate")
         monday = F.date_sub(ship, (F.dayofweek(ship) + 5) % 7)     # Sunday=1 .. Saturday=7
-        week = F.date_add(monday, RETAIL_SHIFT_DAYS)
         keyed = j.select(
-            week.alias("wk"),
+            F.date_add(monday, RETAIL_SHIFT_DAYS).alias("wk"),
             F.col("r_name").alias("region"),
             F.when(F.col("l_returnflag") == "R", F.lit("Shopify")).otherwise(F.lit("Retail"))
              .alias("platform"),
             _case(F.col("c_mktsegment"), SEGMENT_CODES, "null").alias("segment"),
             _case(F.col("o_orderpriority"), CUSTOMER_TYPES, "Guest").alias("customer_type"),
             F.round("l_extendedprice").cast("bigint").alias("price"))
-        return (keyed.groupBy("wk", "region", "platform", "segment", "customer_type")
-                .agg(F.count(F.lit(1)).cast("int").alias("transactions"),
-                     F.sum("price").alias("sales"))
-                .select(F.date_format("wk", "d/M/yy").alias("week_date"), "region", "platform",
-                        "segment", "customer_type", "transactions", "sales"))
+        return keyed.groupBy(*WEEKLY_KEYS).agg(F.count(F.lit(1)).alias("transactions"),
+                                               F.sum("price").alias("sales"))
+
+    @staticmethod
+    def weekly_rows(parts: DataFrame) -> DataFrame:
+        """Weekly sums in the shape of the raw table."""
+        return parts.select(F.date_format("wk", "d/M/yy").alias("week_date"), "region", "platform",
+                            "segment", "customer_type", F.col("transactions").cast("int").alias("transactions"),
+                            "sales")
 
     # -- clickstream (case 6) ----------------------------------------------
     @property
@@ -284,16 +328,4 @@ class Fixtures:
 
     @property
     def web_events(self) -> DataFrame:
-        ev = self.src.read("events", "event_id", "ts", "user_id", "event_type", "props")
-        visit = F.concat(F.col("user_id").cast("string"), F.lit("-"),
-                         F.date_format(F.to_date("ts"), "yyyyMMdd"))
-        page = (F.get_json_object("props", "$.k").cast("int") % 13 + 1).cast("int")
-        base = ev.select(visit.alias("visit_id"),
-                         F.col("user_id").cast("string").alias("cookie_id"),
-                         page.alias("page_id"),
-                         _case(F.col("event_type"), EVENT_CODES, F.lit(None).cast("int"))
-                         .cast("int").alias("event_type"),
-                         "event_id", F.col("ts").alias("event_time"))
-        seq = F.row_number().over(Window.partitionBy("visit_id").orderBy("event_time", "event_id"))
-        return base.select("visit_id", "cookie_id", "page_id", "event_type",
-                           seq.cast("int").alias("sequence_number"), "event_time", "event_id")
+        return shaped_events(self.src.read("events", "event_id", "ts", "user_id", "event_type", "props"))

@@ -1,8 +1,8 @@
 """Sinks and table contracts on write.
 
 Derived tables are written with an explicit schema, Parquet, optionally
-partitioned for pruning; ``materialize`` writes to the shared checkpoint
-folder and reads back, cutting lineage for tables reused downstream.
+partitioned for pruning; ``load_checked`` splits a load into accepted and
+rejected rows.
 """
 
 from __future__ import annotations
@@ -10,11 +10,13 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import quality as Q
-from ..session import checkpoint_dir
+from ..session import shared_folder
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -36,25 +38,51 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def append_checked(df: DataFrame, path: str, checks: dict[str, DataFrame],
-                   schema: T.StructType | None = None) -> DataFrame:
-    """Append rows only when every contract check has zero violations;
-    returns the check report either way."""
-    report = Q.contract_report(checks).cache()
-    bad = report.where("violations > 0").count()
-    if bad == 0:
-        write_table(df, path, mode="append", schema=schema)
-    return report
+def load_checked(df: DataFrame, path: str, rejected_path: str, schema: T.StructType, rules: dict,
+                 key: list[str] | None = None, references: dict[str, tuple[DataFrame, str]] | None = None,
+                 now_columns: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Load rows into a typed table: good rows are appended to ``path``, the others to
+    ``rejected_path`` with the names of the rules they break (``broken``). Returns the accepted
+    and the rejected rows of this load.
+
+    ``rules`` maps names to conditions that must hold, ``key`` must be unique in the load and
+    new to the table, ``references`` maps a column to a parent and its key, ``now_columns`` are
+    filled with the current time where they are NULL. The input is read once: its marked rows
+    are stored, and both tables are appended from there."""
+    spark = df.sparkSession
+    for c in now_columns:
+        df = Q.with_default_now(df, c)
+    marked = conform(df, schema)
+    broken = {name: ~F.coalesce(ok, F.lit(False)) for name, ok in rules.items()}
+    for c, (parent, parent_key) in (references or {}).items():
+        known = parent.select(F.col(parent_key).alias(f"__ref_{c}")).distinct()
+        marked = marked.join(known, F.col(c) == F.col(f"__ref_{c}"), "left")
+        broken[f"fk_{c}"] = F.col(c).isNotNull() & F.col(f"__ref_{c}").isNull()
+    if key:
+        marked = marked.withColumn("__copies", F.count(F.lit(1)).over(Window.partitionBy(*key)))
+        try:
+            held = spark.read.parquet(path).select(*key).distinct().withColumn("__held", F.lit(True))
+        except AnalysisException:  # the first load
+            marked = marked.withColumn("__held", F.lit(None).cast("boolean"))
+        else:
+            marked = marked.join(held, key, "left")
+        broken["pk"] = (F.col("__copies") > 1) | F.col("__held").isNotNull()
+    names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in broken.items()]))
+    kept = stored(marked.select(*schema.names, names.alias("broken")), "load")
+    accepted = kept.where(F.size("broken") == 0).select(*schema.names)
+    rejected = kept.where(F.size("broken") > 0)
+    accepted.write.mode("append").parquet(path)
+    rejected.write.mode("append").parquet(rejected_path)
+    return accepted, rejected
 
 
-def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Write ``df`` under the session's shared checkpoint folder and read it
-    back (a derived table read by later steps; survives executor loss)."""
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back (read by several later steps;
+    survives executor loss)."""
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, "tables", name or "t", uuid.uuid4().hex)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = os.path.join(shared_folder(spark), "tables", name, uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -6,10 +6,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-          "events", "documents", "embeddings", "pages", "benchmark", "labels",
-          "conversations")
-
 
 class TableSource:
     """Reads ``{root}/{name}.parquet``; callers name the columns they need so

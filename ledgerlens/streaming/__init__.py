@@ -1,4 +1,6 @@
-from .incremental import (clean_on_arrival, event_stream, visit_summary_stream,
+from .incremental import (clean_on_arrival, event_stream, funnel_refresh, read_funnel,
+                          read_weekly_sales, visit_summary_stream, weekly_sales_refresh,
                           write_closed_visits)
 
-__all__ = ["clean_on_arrival", "event_stream", "visit_summary_stream", "write_closed_visits"]
+__all__ = ["clean_on_arrival", "event_stream", "funnel_refresh", "read_funnel", "read_weekly_sales",
+           "visit_summary_stream", "weekly_sales_refresh", "write_closed_visits"]

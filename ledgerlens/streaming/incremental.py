@@ -7,6 +7,9 @@ append mode emits each closed visit exactly once. Cart products keep their
 event order by carrying (event_time, event_id) and sorting at emission, which
 is the same order the batch sequence number encodes.
 
+``weekly_sales_refresh`` and ``funnel_refresh`` append one aggregated part per
+micro-batch; readers add the parts up.
+
 ``clean_on_arrival`` applies the batch cleaning projections to a stream of
 raw rows (map-only, no state).
 """
@@ -19,8 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.fixtures import EVENT_CODES, _case
+from ..functions import week_of_year_bucket
 from ..operators.sizing import fixed_dimension
+from ..plans.clickstream import funnel_of, visit_pages
+from ..sources.fixtures import WEEKLY_KEYS, Fixtures, shaped_events
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -36,22 +41,11 @@ def event_stream(spark: SparkSession, folder: str, max_files: int | None = None)
     return r.parquet(folder)
 
 
-def _shape(raw: DataFrame) -> DataFrame:
-    """Raw events -> clickstream columns (visit = user and calendar day)."""
-    visit = F.concat(F.col("user_id").cast("string"), F.lit("-"),
-                     F.date_format(F.to_date("ts"), "yyyyMMdd"))
-    return raw.select(
-        visit.alias("visit_id"), F.col("user_id").cast("string").alias("cookie_id"),
-        (F.get_json_object("props", "$.k").cast("int") % 13 + 1).cast("int").alias("page_id"),
-        _case(F.col("event_type"), EVENT_CODES, F.lit(None).cast("int")).cast("int")
-        .alias("event_type"),
-        "event_id", F.col("ts").alias("event_time"))
-
-
 def visit_summary_stream(raw_events: DataFrame, users: DataFrame, pages: DataFrame,
                          campaigns: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    ev = _shape(raw_events).where(F.col("event_type").isNotNull())
-    ev = ev.join(fixed_dimension(pages.select("page_id", "page_name")), "page_id", "left")
+    ev = shaped_events(raw_events).where(F.col("event_type").isNotNull())
+    ev = (ev.join(fixed_dimension(pages.select("page_id", "page_name")), "page_id", "left")
+          .join(users.select("cookie_id", F.col("user_id").alias("__user")), "cookie_id"))
     et = F.col("event_type")
 
     def count_of(code):
@@ -61,23 +55,23 @@ def visit_summary_stream(raw_events: DataFrame, users: DataFrame, pages: DataFra
     # watermark (max day end seen minus ``lateness``) closes day D once events
     # from later days arrive.
     day_end = F.date_add(F.to_date("event_time"), 1).cast("timestamp")
+    carted = F.when((et == 2) & F.col("page_name").isNotNull(),
+                    F.struct("event_time", "event_id", "page_name"))
     per_visit = (ev.withColumn("day_end", day_end).withWatermark("day_end", lateness)
-                 .groupBy("day_end", "visit_id", "cookie_id")
+                 .groupBy("day_end", "visit_id", F.col("__user").alias("user_id"))
                  .agg(F.min("event_time").alias("visit_start_time"),
                       count_of(1).alias("page_views"), count_of(2).alias("cart_adds"),
                       F.max(F.when(et == 3, 1).otherwise(0)).alias("purchase"),
                       count_of(4).alias("impression"), count_of(5).alias("click"),
-                      F.collect_list(F.when(et == 2, F.struct("event_time", "event_id",
-                                                              "page_name"))).alias("carts")))
+                      F.collect_list(carted).alias("carts")))
     ordered = F.transform(F.array_sort("carts"), lambda s: s["page_name"])
     cart_text = F.when(F.size("carts") > 0, F.array_join(ordered, ", "))
-    summary = per_visit.select("visit_id", "cookie_id", "visit_start_time", "page_views",
+    summary = per_visit.select("visit_id", "user_id", "visit_start_time", "page_views",
                                "cart_adds", "purchase", "impression", "click",
                                cart_text.alias("cart_products"))
-    with_user = summary.join(users.select("cookie_id", "user_id"), "cookie_id")
     cond = F.col("visit_start_time").between(F.col("start_date"), F.col("end_date"))
-    matched = with_user.join(fixed_dimension(campaigns.select("campaign_name", "start_date",
-                                                              "end_date")), cond, "left")
+    matched = summary.join(fixed_dimension(campaigns.select("campaign_name", "start_date",
+                                                            "end_date")), cond, "left")
     return matched.select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds",
                           "purchase", "campaign_name", "impression", "click", "cart_products")
 
@@ -94,6 +88,55 @@ def write_closed_visits(summary_stream: DataFrame, path: str, checkpoint_locatio
     return w.start()
 
 
+def append_parts(stream: DataFrame, part_of: Callable[[DataFrame], DataFrame], path: str,
+                 checkpoint_location: str, partition_by: list[str] | None = None):
+    """Keep an aggregate current: each micro-batch is aggregated alone (``part_of``) and written
+    as a part of its own under ``path``. The part of a batch that is run again replaces itself,
+    so every row counts once. Readers add the parts up."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = part_of(batch).write.mode("overwrite")
+        (out.partitionBy(*partition_by) if partition_by else out).parquet(f"{path}/part={batch_id}")
+
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
+            .trigger(availableNow=True).start())
+
+
+def weekly_sales_refresh(fixtures: Fixtures, new_lines: DataFrame, path: str, checkpoint_location: str):
+    """Add arriving line items to the stored weekly sales, partitioned by year and week."""
+    def part(lines: DataFrame) -> DataFrame:
+        return fixtures.weekly_parts(lines).withColumns(
+            {"calendar_year": F.year("wk"), "week_number": week_of_year_bucket(F.col("wk"))})
+
+    return append_parts(new_lines, part, path, checkpoint_location, ["calendar_year", "week_number"])
+
+
+def read_weekly_sales(spark: SparkSession, path: str, weeks: tuple[int, int] | None = None) -> DataFrame:
+    """Weekly sales, in the shape of the raw table, from their parts; ``weeks`` (first, last)
+    prunes the partitions to those weeks of every year."""
+    parts = spark.read.parquet(path)
+    if weeks:
+        parts = parts.where(F.col("week_number").between(*weeks))
+    sums = parts.groupBy(*WEEKLY_KEYS).agg(F.sum("transactions").alias("transactions"),
+                                           F.sum("sales").alias("sales"))
+    return Fixtures.weekly_rows(sums)
+
+
+def funnel_refresh(new_events: DataFrame, path: str, checkpoint_location: str):
+    """Add arriving raw events to the stored visit pages of the funnels."""
+    def part(raw: DataFrame) -> DataFrame:
+        return visit_pages(shaped_events(raw).where(F.col("event_type").isNotNull()))
+
+    return append_parts(new_events, part, path, checkpoint_location)
+
+
+def read_funnel(spark: SparkSession, path: str, pages: DataFrame) -> DataFrame:
+    """The product funnel from the stored visit pages: a visit may be spread over parts."""
+    parts = spark.read.parquet(path)
+    together = parts.groupBy("visit_id", "page_id").agg(
+        F.sum("views").alias("views"), F.sum("carts").alias("carts"), F.max("purchased").alias("purchased"))
+    return funnel_of(together, pages)
+
+
 def clean_on_arrival(raw_stream: DataFrame, cleaner: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Apply a batch cleaning function to a stream (narrow projection only)."""
     return cleaner(raw_stream)
