@@ -83,16 +83,6 @@ def test_payments_customers_1_and_16(g):
         (16, 1, d(2020, 9, 7), b, 4), (16, 1, d(2020, 10, 7), b, 5), (16, 3, d(2020, 10, 21), a, 6)]
 
 
-def test_payments_segment_plan_equals_window_plan(spark, g):
-    spark.conf.set("spark.ledgerlens.maxGroupRows", "0")
-    try:
-        forced = sb.payments(g["subs"], g["plans"]).collect()
-    finally:
-        spark.conf.unset("spark.ledgerlens.maxGroupRows")
-    plain = sb.payments(g["subs"], g["plans"]).collect()
-    assert sorted(map(tuple, forced)) == sorted(map(tuple, plain))
-
-
 def test_runner_cleaning(g):
     got = {r["order_id"]: (r["distance"], r["duration"]) for r in g["clean_runs"].collect()}
     assert got[3] == (Decimal("13.4"), 20)

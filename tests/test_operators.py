@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import lists as L
@@ -9,39 +10,53 @@ from ledgerlens.operators import quality as Q
 from ledgerlens.operators.calendar import gaps, series
 from ledgerlens.operators.intervals import interval_join, overlapping_intervals
 from ledgerlens.operators.numbering import surrogate_key
-from ledgerlens.operators.ranking import top_k_with_ties, top_per_group
+from ledgerlens.operators.ranking import top_k, top_k_with_ties, top_per_group
 
 
 def test_surrogate_key_is_consecutive_and_follows_order(spark):
-    df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("v"))
-    keyed = surrogate_key(df, [F.col("v")], "k", partitions=7)
-    rows = sorted((r["k"], r["v"]) for r in keyed.collect())
-    assert [k for k, _ in rows] == list(range(1, 5001))
-    assert [v for _, v in rows] == sorted(v for _, v in rows)
+    df = spark.range(0, 5000).select((F.col("id") * 7919 % 997 - 100).alias("v"), "id")
+    df = df.unionByName(spark.createDataFrame([(None, 7), (None, 3), (2**60, 1)], "v long, id long"))
+    keyed = surrogate_key(df, "v", [F.col("id")], "k", width=16, fan=4)
+    rows = sorted((r["k"], r["v"], r["id"]) for r in keyed.collect())
+    assert [k for k, _, _ in rows] == list(range(1, 5004))
+    assert [r[1:] for r in rows] == sorted((r[1:] for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
 
 
 def _ts(s):
     return dt.datetime.fromisoformat(s)
 
 
-def test_interval_join_broadcast_and_bucketed_agree(spark):
+def test_interval_join(spark):
     pts = spark.createDataFrame(
         [(1, _ts("2024-01-01 00:00:00")), (2, _ts("2024-01-10 00:00:00")),
          (3, _ts("2024-01-10 00:00:01")), (4, _ts("2024-01-20 12:00:00")),
-         (5, _ts("2024-01-25 08:00:00"))], "pid int, t timestamp_ntz")
+         (5, _ts("2024-01-25 08:00:00")), (6, None)], "pid int, t timestamp_ntz")
     iv = spark.createDataFrame(
         [("a", _ts("2024-01-01 00:00:00"), _ts("2024-01-10 00:00:00")),
          ("b", _ts("2024-01-20 00:00:00"), _ts("2024-01-26 00:00:00")),
-         ("c", _ts("2024-01-25 00:00:00"), _ts("2024-01-27 00:00:00"))],
+         ("c", _ts("2024-01-25 00:00:00"), _ts("2024-01-27 00:00:00")),
+         ("inverted", _ts("2024-01-30 00:00:00"), _ts("2024-01-01 00:00:00"))],
         "name string, s timestamp_ntz, e timestamp_ntz")
-    small = interval_join(pts, "t", iv, "s", "e").select("pid", "name")
-    big = interval_join(pts, "t", iv, "s", "e", max_broadcast_rows=1).select("pid", "name")
-    want = [(1, "a"), (2, "a"), (3, None), (4, "b"), (5, "b"), (5, "c")]
     key = lambda r: (r[0], r[1] or "")
-    assert sorted([tuple(r) for r in small.collect()], key=key) == want
-    assert sorted([tuple(r) for r in big.collect()], key=key) == want
-    clashes = overlapping_intervals(iv, "name", "s", "e").select("name", "next_key").collect()
-    assert [(r["name"], r["next_key"]) for r in clashes] == [("b", "c")]
+    got = interval_join(pts, "t", iv, "s", "e").select("pid", "name")
+    want = [(1, "a"), (2, "a"), (3, None), (4, "b"), (5, "b"), (5, "c"), (6, None)]
+    assert sorted([tuple(r) for r in got.collect()], key=key) == want
+    open_end = interval_join(pts, "t", iv, "s", "e", inclusive=False).select("pid", "name")
+    want[1] = (2, None)
+    assert sorted([tuple(r) for r in open_end.collect()], key=key) == want
+
+
+def test_overlaps_are_found_across_neighbours_and_months(spark):
+    def d(n):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    rows = [("a", 0, 100), ("b", 1, 2), ("c", 49, 59), ("d", 120, 130), ("e", 130, 140),
+            ("f", 200, 201), ("g", 300, 310), ("h", 305, 400), ("i", 399, 399)]
+    iv = spark.createDataFrame([(k, d(a), d(b)) for k, a, b in rows], "name string, s timestamp_ntz, e timestamp_ntz")
+    for inclusive in (True, False):
+        want = [k for k, a, b in rows if any(
+            (a <= y and x <= b) if inclusive else (a < y and x < b) for j, x, y in rows if j != k)]
+        got = overlapping_intervals(iv, "name", "s", "e", inclusive)
+        assert got.columns == iv.columns and sorted(r["name"] for r in got.collect()) == want
 
 
 def test_explode_and_collapse(spark):
@@ -58,12 +73,6 @@ def test_explode_and_collapse(spark):
     assert small.count() == 3
 
 
-def test_lookup_map_respects_bound(spark):
-    dim = spark.range(0, 50).select(F.col("id").cast("int").alias("k"), F.col("id").cast("string").alias("v"))
-    assert L.lookup_map(dim, "k", "v", max_rows=10) is None
-    assert L.lookup_map(dim, "k", "v", max_rows=100) is not None
-
-
 def test_quality_checks(spark):
     child = spark.createDataFrame([(1, 1, 3), (1, 2, 6), (2, None, None), (3, 9, 5)],
                                   "order_id int, runner_id int, rating int")
@@ -98,11 +107,33 @@ def test_ranking_helpers(spark):
     assert top_per_group(g, ["g"], [F.desc("n"), F.asc("k")], ties=False).count() == 2
 
 
-def test_with_names_map_and_join_paths_agree(spark):
-    dim = spark.createDataFrame([(1, "Bacon"), (2, "BBQ Sauce"), (3, "Beef")], "id int, name string")
-    df = spark.createDataFrame([(1, "3,1,2"), (2, None), (3, "9,1"), (4, "2,2")], "k int, ids string")
-    via_map = {r["k"]: r["n"] for r in L.with_names(df, "ids", dim, "id", "name", "n").collect()}
-    via_join = {r["k"]: r["n"] for r in
-                L.with_names(df, "ids", dim, "id", "name", "n", max_rows=1).collect()}
-    assert via_map == via_join == {1: ["Beef", "Bacon", "BBQ Sauce"], 2: None,
-                                   3: [None, "Bacon"], 4: ["BBQ Sauce", "BBQ Sauce"]}
+def test_names_of_repeated_null_and_large_ids(spark):
+    dim = spark.createDataFrame([(1, "Bacon"), (2, "BBQ Sauce"), (3_000_000_000, "Beef"), (2, "Cheese"),
+                                 (None, "Nothing")], "id long, name string")
+    df = spark.createDataFrame([(1, "3000000000,1,2"), (2, None), (3, "9,1"), (4, "x,1"), (5, "")], "k int, ids string")
+    got = {r["k"]: r["n"] for r in L.with_names(df, "ids", dim, "id", "name", "n").collect()}
+    assert got == {1: ["Beef", "Bacon", "BBQ Sauce", "Cheese"], 2: None, 3: [None, "Bacon"], 4: [None, "Bacon"],
+                   5: [None]}
+    rows = L.explode_list(df, "ids", dim, "id", "name", "name")
+    assert sorted((r["k"], r["name"]) for r in rows.collect()) == [
+        (1, "BBQ Sauce"), (1, "Bacon"), (1, "Beef"), (1, "Cheese"), (3, "Bacon"), (4, "Bacon")]
+
+
+def test_top_k_offset(spark):
+    df = spark.range(10)
+    assert [r["id"] for r in top_k(df, 3, [F.desc("id")], offset=2).collect()] == [7, 6, 5]
+
+
+def test_out_of_order_over_blocks_of_a_hot_key(spark):
+    rows = [(0, (i * 37) % 101, i) for i in range(500)] + [(1, i, i) for i in range(50)]
+    log = spark.createDataFrame(rows, "k int, d int, arrival int")
+    w = Window.partitionBy("k").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
+    want = log.withColumn("p", F.max("d").over(w)).where("p > d").drop("p")
+    got = Q.out_of_order(log, "k", "d", "arrival", block=16)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_row_checks_count_in_one_scan(spark):
+    df = spark.createDataFrame([(1, 3), (2, 9), (None, None)], "k int, v int")
+    got = Q.row_checks(df, {"null": Q.any_null(["k"]), "range": Q.outside("v", 1, 5)})
+    assert {tuple(r) for r in got.collect()} == {("null", 1), ("range", 1)}

@@ -44,27 +44,33 @@ def test_funnel_invariants(fx):
     assert sum(r["category_views"] for r in cat.values()) == sum(r["product_views"] for r in rows)
 
 
-def test_schedule_fold_equals_recursive_cte(spark, fx):
-    subs, plans = fx.subscriptions, fx.plans
-    subs.createOrReplaceTempView("prop_subs")
-    plans.createOrReplaceTempView("prop_plans")
-    recursive = spark.sql("""
-        WITH RECURSIVE main_data AS (
-            SELECT s.customer_id, s.plan_id, s.start_date,
-                   lead(s.start_date) OVER (PARTITION BY s.customer_id ORDER BY s.start_date)
-                     AS next_plan_date
-            FROM prop_subs s WHERE s.plan_id <> 0 AND s.start_date < DATE'2021-01-01'
-            UNION ALL
-            SELECT customer_id, plan_id, add_months(start_date, 1), next_plan_date
-            FROM main_data
-            WHERE start_date < DATE'2021-01-01'
-              AND add_months(start_date, 1) <= coalesce(next_plan_date, DATE'2021-01-01')
-              AND plan_id NOT IN (4, 3))
-        SELECT customer_id, plan_id, start_date FROM main_data
-        WHERE plan_id <> 4 AND (next_plan_date IS NULL OR start_date <> next_plan_date)""")
-    fold = sb.payments(subs, plans).select("customer_id", "plan_id", "start_date")
-    assert fold.exceptAll(recursive).count() == 0
-    assert recursive.exceptAll(fold).count() == 0
+def test_schedule_equals_a_plain_walk(fx):
+    """Bills of each change, walked month by month in Python."""
+    import calendar
+    import datetime as dt
+
+    def next_month(d):
+        y, m = (d.year, d.month + 1) if d.month < 12 else (d.year + 1, 1)
+        return dt.date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+    horizon, timeline = dt.date(2021, 1, 1), {}
+    for r in fx.subscriptions.collect():
+        if r["plan_id"] != 0 and r["start_date"] < horizon:
+            timeline.setdefault(r["customer_id"], []).append((r["start_date"], r["plan_id"]))
+    want = []
+    for customer, changes in timeline.items():
+        changes.sort()
+        for i, (start, plan) in enumerate(changes):
+            end = changes[i + 1][0] if i + 1 < len(changes) else None
+            bill = start
+            while plan != 4:
+                if bill != end:
+                    want.append((customer, plan, bill))
+                bill = next_month(bill)
+                if plan == 3 or bill > (end or horizon):
+                    break
+    got = sb.payments(fx.subscriptions, fx.plans).select("customer_id", "plan_id", "start_date").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
 
 
 def test_cleaning_is_idempotent(fx):
@@ -120,18 +126,70 @@ def test_plan_check_flags_a_global_window_over_raw_rows(fx):
     assert not _single_partition_inputs_are_aggregated(plan)
 
 
+def _hot(spark):
+    """A third of the rows belong to key 0; several rows share a day."""
+    hot = spark.range(0, 4000).select(F.lit(0).alias("k"), "id", (F.col("id") * 7 % 11).alias("v"))
+    cold = spark.range(0, 8000).select((F.col("id") % 40 + 1).alias("k"), "id", (F.col("id") % 5).alias("v"))
+    return hot.unionByName(cold).withColumn(
+        "d", F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 3 % 900).cast("int")))
+
+
 def test_sequence_columns_match_windows_on_a_hot_key(spark):
     from ledgerlens.operators.sequences import sequence_columns
-    hot = spark.range(0, 4000).select(F.lit(0).alias("k"), F.col("id").alias("o"),
-                                      (F.col("id") * 7 % 11).alias("v"))
-    cold = spark.range(0, 8000).select((F.col("id") % 40 + 1).alias("k"), F.col("id").alias("o"),
-                                       (F.col("id") % 5).alias("v"))
-    df = hot.unionByName(cold)
-    w = Window.partitionBy("k").orderBy("o")
-    want = df.select("k", "o", "v", F.lag("v").over(w).alias("pv"), F.lead("o").over(w).alias("no"),
-                     F.row_number().over(w).cast("bigint").alias("rn"))
-    for limit in (0, 10**9):   # segment plan (forced) and plain windows
-        got = sequence_columns(df, ["k"], ["o"], lags={"pv": "v"}, leads={"no": "o"},
-                               row_number="rn", partitions=9, max_group_rows=limit) \
-            .select("k", "o", "v", "pv", "no", "rn")
-        assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+    df = _hot(spark)
+    w = Window.partitionBy("k").orderBy("d", "id")
+    want = df.select("k", "d", "id", "v", F.lag("v").over(w).alias("pv"), F.lead("d").over(w).alias("nd"),
+                     F.row_number().over(w).cast("bigint").alias("rn"),
+                     F.rank().over(Window.partitionBy("k").orderBy("d")).cast("bigint").alias("rk"))
+    got = sequence_columns(df, ["k"], ["d", "id"], lags={"pv": "v"}, leads={"nd": "d"}, row_number="rn", rank="rk")
+    got = got.select(*want.columns)
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+
+
+def test_asof_and_snapshot_match_windows_on_a_hot_key(spark):
+    import datetime as dt
+    from ledgerlens.operators.asof import asof_first, asof_last, snapshot_at
+    df = _hot(spark).select("k", "d", "v", "id")
+    anchors = spark.range(0, 30).select(F.col("id").cast("int").alias("k"), F.lit(dt.date(2020, 6, 1)).alias("a"))
+    j = df.join(anchors, "k")
+    for got, side, order in ((asof_first(df, anchors, "k", "d", "a"), j.where("d >= a"), F.asc("d")),
+                             (asof_last(df, anchors, "k", "d", "a"), j.where("d < a"), F.desc("d"))):
+        want = side.withColumn("r", F.rank().over(Window.partitionBy("k").orderBy(order))).where("r = 1").drop("r")
+        cols = ["k", "d", "v", "id", "a"]
+        assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    before = dt.date(2020, 9, 1)
+    w = Window.partitionBy("k").orderBy(F.desc("d"), "v", "id")
+    want = df.where(F.col("d") < F.lit(before)).withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    got = snapshot_at(df, "k", "d", before, ["v", "id"])
+    assert sorted(map(tuple, got.select("k", "d", "v", "id").collect())) == sorted(
+        map(tuple, want.select("k", "d", "v", "id").collect()))
+
+
+HOT_KEYS = ["loyalty_first_after_join", "loyalty_last_before_join", "subs_snapshot", "subs_first_paid_plan",
+            "subs_immediate_churn", "subs_payments"]
+
+
+@pytest.mark.parametrize("key", HOT_KEYS)
+def test_no_window_holds_a_whole_customer(spark, key):
+    plan = QUERIES[key](spark, SMALL_SF)._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        if "Window [" in line and "customer_id" in line:
+            # one row per customer and period, or windows inside a period
+            assert "__period" in line, line
+
+
+def test_impact_keys_push_ship_dates(spark):
+    for key in ("impact_4w", "impact_12w", "impact_4w_by_year", "impact_12w_by_year", "impact_by_dimension"):
+        plan = QUERIES[key](spark, SMALL_SF)._jdf.queryExecution().executedPlan().toString()
+        pushed = [m for m in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan, re.S) if "l_shipdate" in m]
+        assert pushed and "GreaterThanOrEqual(l_shipdate" in pushed[0], plan
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    tracker = spark.sparkContext.statusTracker()
+    for key in ("order_item_label", "order_ingredient_list", "ingredient_totals", "subs_payments",
+                "subs_immediate_churn", "subs_revenue_growth"):
+        spark.sparkContext.setJobGroup(f"plan-{key}", key)
+        QUERIES[key](spark, SMALL_SF)
+        assert not tracker.getJobIdsForGroup(f"plan-{key}"), key
+    spark.sparkContext.setJobGroup("", "")

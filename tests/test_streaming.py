@@ -9,7 +9,9 @@ from conftest import SMALL_SF
 from ledgerlens.plans import clickstream as cs
 from ledgerlens.plans import delivery as dl
 from ledgerlens.sources.fixtures import Fixtures
-from ledgerlens.streaming import (clean_on_arrival, event_stream, visit_summary_stream,
+from ledgerlens.plans.catalog import QUERIES
+from ledgerlens.streaming import (clean_on_arrival, event_stream, funnel_refresh, read_funnel,
+                                  read_weekly_sales, visit_summary_stream, weekly_sales_refresh,
                                   write_closed_visits)
 
 
@@ -73,3 +75,31 @@ def test_closed_visits_file_sink(spark):
     written = spark.read.parquet(out)
     assert written.count() > 0
     assert written.select("visit_id").distinct().count() == written.count()
+
+
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_weekly_sales_refresh_equals_batch(spark):
+    fx, work = Fixtures(spark, SMALL_SF), tempfile.mkdtemp(prefix="ll-weekly-")
+    src, out, ckpt = (os.path.join(work, d) for d in ("lines", "parts", "ckpt"))
+    raw = spark.read.parquet(os.path.join(SMALL_SF, "lineitem.parquet"))
+    for k in range(3):  # arrivals, each followed by a refresh
+        raw.where(F.col("l_orderkey") % 3 == k).write.mode("append").parquet(src)
+        weekly_sales_refresh(fx, spark.readStream.schema(raw.schema).parquet(src), out, ckpt).awaitTermination()
+    assert _same(read_weekly_sales(spark, out), fx.weekly_sales_raw)
+    some = read_weekly_sales(spark, out, weeks=(20, 27))
+    assert "PartitionFilters: [isnotnull(week_number" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_funnel_refresh_equals_batch(spark):
+    fx, work = Fixtures(spark, SMALL_SF), tempfile.mkdtemp(prefix="ll-funnel-")
+    src, out, ckpt = (os.path.join(work, d) for d in ("events", "parts", "ckpt"))
+    raw = spark.read.parquet(os.path.join(SMALL_SF, "events.parquet"))
+    for k in range(3):  # a visit's events arrive in different batches
+        raw.where(F.col("event_id") % 3 == k).write.mode("append").parquet(src)
+        funnel_refresh(event_stream(spark, src), out, ckpt).awaitTermination()
+    funnel = read_funnel(spark, out, fx.page_hierarchy)
+    assert _same(funnel, QUERIES["product_funnel"](spark, SMALL_SF))
+    assert _same(cs.category_funnel(funnel), QUERIES["category_funnel"](spark, SMALL_SF))
