@@ -11,20 +11,23 @@ kept. An entry is ordered by the hash of its first ``k`` bytes, then by the hash
 together serves a merge-scan, and this one needs no text to compare.
 
 *Index family.* Batches are added one after another. A batch's suffix array is merge-scanned
-with the arrays of all levels: neighbours with one key are long matches. Then it joins the
-family; levels of equal size are merged into the next one, so an entry is rewritten a
-logarithmic number of times. Levels are sorted, bucketed tables in the shared folder; a scan
-shuffles the new batch only.
+with the arrays of all levels: neighbours with one key are long matches. Levels of equal size
+are merged into the next one, so an entry is rewritten a logarithmic number of times. The
+arrays are runs of one sorted table, bucketed by key, in the shared folder; a batch is
+shuffled once, when it is written, and scans and merges read the buckets as they lie.
 
 *What a scan tells.* If another entry has the same key and the same stretch, all windows of
-both repeat. If the key repeats but no stretch does, the windows are judged one by one: those
-of the undecided entries, and of one entry of each stretch under the same key, are hashed
-(128 bits) and counted over the corpus.
-
-Equality is by hashes of 64 bits for a stretch within a key, and 128 bits for a window.
-Work and memory per task do not depend on the size of a group of copies: entries are sorted
-and counted, never paired. Texts are cut in segments of ``CHUNK_BYTES``, so a long text needs
-no more memory than its own bytes.
+both repeat. If the key repeats but no stretch does, the windows are judged one by one: the
+undecided entries, and one entry of each stretch under the same key, are brought together by
+key with the bytes of their stretches, and the windows that equal another one are found. A
+key with more than ``WIDE`` stretches (a phrase in front of many different texts) is not
+brought together: its windows are dealt out by their hashes instead and counted there. Both
+ways tell the same; the second takes more room per window and has no group that can grow.
+
+Equality is by 64-bit hashes of stretches and windows within a key (128 bits for windows dealt
+out by hash). Work and memory of a task do not depend on the size of a group of copies:
+entries are sorted and counted, never paired. Texts are cut in segments of ``CHUNK_BYTES``, so
+a long text needs no more memory than its own bytes.
 
 Null texts are empty; texts below ``length`` bytes lose nothing; repeated rows (even of one
 id) are texts of their own and remove each other; an empty table gives an empty result;
@@ -44,10 +47,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, RollingHash, mixed, shared_path, stored, utf8_buffer
+from .common import CHUNK_BYTES, RollingHash, mixed, shared_path, utf8_buffer
 
 #: Bytes of the strings whose hash picks and orders the suffixes.
-K = 64
+K = 32
+#: Stretches under one key that one task compares (about 300 bytes each, and 16 bytes for each
+#: of some 85 windows), and windows that it sorts at a time.
+WIDE = 1 << 17
+_SORTED = 1 << 22
 _ID = ["__did", "__tid"]
 
 
@@ -136,47 +143,48 @@ def suffix_entries(texts: DataFrame, length: int) -> DataFrame:
 class SuffixIndex:
     """The logarithmic family of suffix arrays.
 
-    ``levels`` maps a level to its table; level n holds ``2 ** n`` batches. Tables are
-    bucketed by key and sorted, so scans and merges read them without a shuffle.
+    ``levels`` maps a level to the run that holds it; level n holds ``2 ** n`` batches. The
+    ``last`` batch has no level until the next one comes.
     """
 
     def __init__(self, spark: SparkSession, buckets: int | None = None):
         self.spark = spark
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: dict[int, DataFrame] = {}
-
-    def _saved(self, entries: DataFrame) -> DataFrame:
-        name = f"suffixes_{uuid.uuid4().hex}"
-        (entries.repartition(self.buckets, "key").write.format("parquet")
-         .bucketBy(self.buckets, "key").sortBy("key", "stretch")
-         .option("path", shared_path(self.spark, "suffixes")).saveAsTable(name))
-        return self.spark.table(name)
-
-    def _settle(self) -> None:
-        """Merge levels of equal size: the carry of a binary counter."""
-        waiting = self.levels.pop(-1, None)
-        level = 0
-        while waiting is not None:
-            if level not in self.levels:
-                self.levels[level] = waiting
-                break
-            waiting = self._saved(self.levels.pop(level).unionByName(waiting))
+        self.name, self.path = f"suffixes_{uuid.uuid4().hex}", shared_path(spark, "suffixes")
+        self.levels: dict[int, int] = {}
+        self.runs, self.last = 0, None
+
+    def _save(self, entries: DataFrame) -> int:
+        run, self.runs = self.runs, self.runs + 1
+        (entries.withColumn("run", F.lit(run)).write.format("parquet").mode("append")
+         .partitionBy("run").bucketBy(self.buckets, "key").sortBy("key", "stretch")
+         .option("path", self.path).saveAsTable(self.name))
+        return run
+
+    def _read(self, runs: list[int]) -> DataFrame:
+        return self.spark.table(self.name).where(F.col("run").isin(runs))
+
+    def settle(self) -> None:
+        """Give the last batch a level; levels of equal size are merged: the carry of a counter."""
+        if (run := self.last) is None:
+            return
+        self.last, level = None, 0
+        while level in self.levels:
+            run = self._save(self._read([run, self.levels.pop(level)]).drop("run"))
             level += 1
+        self.levels[level] = run
 
-    def add(self, entries: DataFrame, last: bool = False) -> DataFrame:
-        """Merge-scan a batch's suffix array with all levels, then add it to the family.
+    def add(self, entries: DataFrame) -> DataFrame:
+        """Add a batch's suffix array and merge-scan it with all levels.
 
         Returns the entries, old and new, under keys of the batch that repeat, with whether
-        their stretch repeats (``same``) and whether their windows must be judged one by one
-        (``judge``). After the ``last`` batch nothing is stored.
+        their stretch repeats (``same``), whether their windows must be judged (``judge``) and
+        whether the key has many stretches (``wide``). The batch before gets its level first;
+        runs are never changed, so a scan may be read later.
         """
-        self._settle()
-        batch = entries if last else self._saved(entries)
-        scan = batch.withColumn("new", F.lit(True))
-        for level in self.levels.values():
-            scan = scan.unionByName(level.withColumn("new", F.lit(False)))
-        if not last:
-            self.levels[-1] = batch
+        self.settle()
+        self.last = new = self._save(entries.repartition(self.buckets, "key"))
+        scan = self._read([new, *self.levels.values()])
         key = Window.partitionBy("key")
         order = key.orderBy("stretch")
         before, after = F.lag("stretch").over(order), F.lead("stretch").over(order)
@@ -184,50 +192,139 @@ class SuffixIndex:
                 .withColumn("head", F.coalesce(before != F.col("stretch"), F.lit(True)))
                 .withColumn("same", ~F.col("head") | F.coalesce(after == F.col("stretch"), F.lit(False)))
                 .withColumn("rows", F.count(F.lit(1)).over(key))
-                .withColumn("fresh", F.max("new").over(key))
-                .withColumn("open", F.max(~F.col("same")).over(key)))
+                .withColumn("fresh", F.max(F.col("run") == new).over(key))
+                .withColumn("open", F.max(~F.col("same")).over(key))
+                .withColumn("wide", F.sum(F.col("head").cast("int")).over(key) > WIDE))
         return (scan.where((F.col("rows") > 1) & F.col("fresh"))
                 .withColumn("judge", F.col("open") & F.col("head"))
                 .where(F.col("same") | F.col("judge"))
-                .select(*_ID, "first", "last", "same", "judge"))
+                .select(*_ID, "first", "last", "same", "judge", "wide", "key"))
 
 
 def _matches(texts: DataFrame, length: int, batches: int) -> DataFrame:
-    """Per text with matches: flat lists of first and last windows of matched stretches
-    (``same``) and of those to judge (``judge``)."""
+    """Per text with matches: first and last windows of matched stretches (``__same``), and of
+    those to judge with their key (``__judge``)."""
     index = SuffixIndex(texts.sparkSession)
     found = None
     for k in range(batches):
         batch = texts if batches == 1 else texts.where(
             F.pmod(F.xxhash64(*_ID), F.lit(batches)) == k)
-        part = stored(index.add(suffix_entries(batch, length), last=k == batches - 1), "matches")
+        part = index.add(suffix_entries(batch, length))
         found = part if found is None else found.unionByName(part)
-    span = F.struct("first", "last")
-    return found.groupBy(*_ID).agg(F.collect_set(F.when(F.col("same"), span)).alias("__same"),
-                                   F.collect_set(F.when(F.col("judge"), span)).alias("__judge"))
+    return found.groupBy(*_ID).agg(
+        F.collect_set(F.when(F.col("same"), F.struct("first", "last"))).alias("__same"),
+        F.collect_set(F.when(F.col("judge"), F.struct("key", "wide", "first", "last"))).alias("__judge"))
 
 
-def _window_hashes(length: int):
-    """mapInArrow function: text and spans of windows -> two hashes of each window."""
+def _stretches(length: int, wide: bool):
+    """mapInArrow function: texts and what to judge -> the bytes of each stretch, by key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = [RollingHash(1 << 16, 0), RollingHash(1 << 16, 1)]
         for batch in batches:
             buf, off = utf8_buffer(batch.column(2))
+            rows, keys, firsts, parts = [], [], [], []
             for r, spans in enumerate(batch.column(3).to_pylist()):
-                for a, b in _joined((s["first"], s["last"]) for s in spans or []):
-                    for c in range(a, b + 1, CHUNK_BYTES):
-                        d = min(c + CHUNK_BYTES, b + 1)
-                        part = buf[off[r] + c:off[r] + d - 1 + length]
-                        at = np.arange(d - c)
-                        h = [x.of(x.prefix(part), at, at + length).view(np.int64) for x in hashes]
-                        own = pa.array(np.full(d - c, r))
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column(0).take(own), batch.column(1).take(own),
-                             pa.array((at + c).astype(np.int32)), pa.array(h[0]), pa.array(h[1])],
-                            names=[*_ID, "at", "h1", "h2"])
+                for s in spans:
+                    if s["wide"] == wide:
+                        rows.append(r)
+                        keys.append(s["key"])
+                        firsts.append(s["first"])
+                        parts.append(buf[off[r] + s["first"]:off[r] + s["last"] + length].tobytes())
+            own = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), batch.column(0).take(own), batch.column(1).take(own),
+                 pa.array(firsts, pa.int32()), pa.array(parts, pa.binary())],
+                names=["key", *_ID, "first", "bytes"])
+    return run
+
+
+def _window_hashes(hashes, parts: list[bytes], length: int):
+    """Of all windows of the stretches: the stretch, the place in it, and their hashes."""
+    buf = np.frombuffer(b"".join(parts), np.uint8)
+    counts = np.array([len(p) - length + 1 for p in parts])
+    begin = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])
+    owner = np.repeat(np.arange(len(parts)), counts)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = begin[owner] + place
+    return owner, place, [h.of(h.prefix(buf), at, at + length) for h in hashes]
+
+
+def _judged(length: int):
+    """mapInArrow function over stretches sorted by key: the windows that repeat in a key."""
+    def repeats(hashes, key, did, tid, first, parts):
+        key, did, tid, first = (np.array(c, np.int64) for c in (key, did, tid, first))
+        found = []
+        for a in range(0, len(parts), 1 << 12):
+            owner, place, (h,) = _window_hashes(hashes, parts[a:a + (1 << 12)], length)
+            owner += a
+            found.append((mixed(h ^ mixed(key[owner].view(np.uint64))), owner.astype(np.int32),
+                          place.astype(np.int32)))
+        h, owner, place = (np.concatenate(c) for c in zip(*found))
+        rounds = 1 << max(0, int(len(h) - 1).bit_length() - _SORTED.bit_length() + 1)
+        for k in range(rounds):  # by leading bits of the hash
+            part = np.arange(len(h)) if rounds == 1 else \
+                np.flatnonzero(h >> np.uint64(65 - rounds.bit_length()) == k)
+            part = part[np.argsort(h[part])]
+            o, at = owner[part], first[owner[part]] + place[part]
+            same = h[part][1:] == h[part][:-1]
+            # one window may belong to two suffixes of a key: it does not repeat itself
+            other = same & ((did[o[1:]] != did[o[:-1]]) | (tid[o[1:]] != tid[o[:-1]]) | (at[1:] != at[:-1]))
+            group = np.concatenate([[0], np.cumsum(~same)])
+            hit = np.zeros(group[-1] + 1, bool)
+            hit[group[1:][other]] = True
+            keep = hit[group[:len(part)]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(did[o[keep]]), pa.array(tid[o[keep]].astype(np.int32)),
+                 pa.array(at[keep].astype(np.int32))], names=[*_ID, "at"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, waiting = [RollingHash(1 << 16)], [[] for _ in range(5)]
+        size = 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if size > CHUNK_BYTES and row[0] != waiting[0][-1]:
+                    yield from repeats(hashes, *waiting)
+                    waiting, size = [[] for _ in range(5)], 0
+                for c, v in zip(waiting, row):
+                    c.append(v)
+                size += len(row[4])
+        if waiting[0]:
+            yield from repeats(hashes, *waiting)
     return run
 
 
+def _dealt(length: int):
+    """mapInArrow function over stretches: two hashes of each of their windows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = [RollingHash(1 << 16, 0), RollingHash(1 << 16, 1)]
+        for batch in batches:
+            first = batch.column(3).to_numpy()
+            for a in range(0, batch.num_rows, 1 << 12):
+                part = batch.column(4).slice(a, 1 << 12).to_pylist()
+                owner, place, (h1, h2) = _window_hashes(hashes, part, length)
+                own = pa.array(owner + a)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).take(own), batch.column(2).take(own),
+                     pa.array((first[owner + a] + place).astype(np.int32)),
+                     pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
+                    names=[*_ID, "at", "h1", "h2"])
+    return run
+
+
+def _repeated_windows(rows: DataFrame, length: int) -> DataFrame:
+    """``__did, __tid, __windows``: of stretches to judge, the windows that stand elsewhere."""
+    kind = "key long, __did long, __tid int, first int, bytes binary"
+    rows = rows.select(*_ID, "__text", "__judge")
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = (rows.where(F.exists("__judge", lambda s: ~s["wide"])).mapInArrow(_stretches(length, False), kind)
+            .repartition(partitions, "key").sortWithinPartitions("key")
+            .mapInArrow(_judged(length), "__did long, __tid int, at int"))
+    equal = Window.partitionBy("h1", "h2")
+    far = (rows.where(F.exists("__judge", lambda s: s["wide"])).mapInArrow(_stretches(length, True), kind)
+           .mapInArrow(_dealt(length), "__did long, __tid int, at int, h1 long, h2 long").distinct()
+           .withColumn("n", F.count(F.lit(1)).over(equal)).where(F.col("n") > 1).select(*_ID, "at"))
+    return near.unionByName(far).groupBy(*_ID).agg(F.collect_set("at").alias("__windows"))
+
+
 def _joined(spans) -> list[tuple[int, int]]:
     """Spans of whole numbers, both ends included, joined where they touch."""
     out: list[tuple[int, int]] = []
@@ -277,6 +374,16 @@ def _cut_rows(length: int, names: list[str], keep_text: bool):
     return run
 
 
+def _stored_by_text(rows: DataFrame) -> DataFrame:
+    """``rows`` as a table bucketed by text, so that a join on the text shuffles the other side
+    only."""
+    spark = rows.sparkSession
+    name, path = f"matched_{uuid.uuid4().hex}", shared_path(spark, "matched")
+    (rows.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), *_ID)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
 def _deduplicated(docs: DataFrame, length: int, batches: int, id_col: str, text_col: str,
                   keep_text: bool) -> DataFrame:
     """Columns of ``docs`` without the text, ``__text`` (what is left), ``__bytes``,
@@ -287,15 +394,11 @@ def _deduplicated(docs: DataFrame, length: int, batches: int, id_col: str, text_
     rows = docs.select(*others, *_identity(id_col, text_col)).join(found, _ID, "left")
     hit = F.col("__same").isNotNull()
     text = F.col("__text") if keep_text else F.when(hit, F.col("__text"))
-    rows = stored(rows.select(*others, *_ID, F.octet_length("__text").cast("long").alias("__bytes"),
-                              F.when(~hit, F.sha2("__text", 256)).alias("__sha"),
-                              text.alias("__text"), "__same", "__judge"), "matched")
+    rows = _stored_by_text(rows.select(
+        *others, *_ID, F.octet_length("__text").cast("long").alias("__bytes"),
+        F.when(~hit, F.sha2("__text", 256)).alias("__sha"), text.alias("__text"), "__same", "__judge"))
     open_rows = F.coalesce(F.size("__judge"), F.lit(0)) > 0
-    equal = Window.partitionBy("h1", "h2")
-    windows = (rows.where(open_rows).select(*_ID, "__text", "__judge")
-               .mapInArrow(_window_hashes(length), "__did long, __tid int, at int, h1 long, h2 long")
-               .withColumn("n", F.count(F.lit(1)).over(equal)).where(F.col("n") > 1)
-               .groupBy(*_ID).agg(F.collect_set("at").alias("__windows")))
+    windows = _repeated_windows(rows.where(open_rows), length)
     names = [*others, "__bytes", "__text"]
     done = rows.where(~open_rows).withColumn("__windows", F.array().cast("array<int>"))
     rest = rows.where(open_rows).join(windows, _ID, "left")

@@ -21,9 +21,11 @@ def _texts(seed):
     return texts + texts[10:20]
 
 
-@pytest.mark.parametrize("batches,chunk", [(1, 1 << 21), (5, 777)])
-def test_report_equals_brute_force(spark, monkeypatch, batches, chunk):
+@pytest.mark.parametrize("batches,chunk,wide", [(1, 1 << 21, 4096), (5, 777, 4096), (3, 777, 2)])
+def test_report_equals_brute_force(spark, monkeypatch, batches, chunk, wide):
     monkeypatch.setattr(S, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(S, "WIDE", wide)
+    monkeypatch.setattr(S, "_SORTED", 64 if batches > 1 else S._SORTED)
     texts = _texts(batches)
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, __sha string")
     got = {r["doc_id"]: r for r in S.repeat_report(docs, length=100, batches=batches).collect()}
@@ -40,7 +42,7 @@ def test_levels_merge_geometrically(spark):
     texts = docs.select(*S._identity("doc_id", "text"))
     for k in range(7):
         index.add(S.suffix_entries(texts.where(f"__did % 7 = {k}"), 100)).count()
-    index._settle()
+    index.settle()
     assert sorted(index.levels) == [0, 1, 2]  # seven batches: 1 + 2 + 4
 
 
