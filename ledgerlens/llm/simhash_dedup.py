@@ -55,18 +55,19 @@ def fingerprint(text: str | None, words: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, words: int = 3, seed: int = 42, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a long) of each row."""
+    """``doc_id, fp`` (the 64 bits as a long) and ``text_hash`` of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
             found = np.array([fingerprint(texts[i].as_py(), words, seed) for i in range(len(texts))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), batch.column(2)],
+                                             names=["doc_id", "fp", "text_hash"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
+    return rows.mapInArrow(run, f"doc_id {kind}, fp long, text_hash long")
 
 
 class BKTree:
@@ -157,27 +158,38 @@ def linked(values: DataFrame, radius: int = 2) -> DataFrame:
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def _components(prints: DataFrame, radius: int) -> DataFrame:
+    """``value`` (a fingerprint) and ``first`` (of the first row of its component: whether the id
+    is null, id, hash of the text) of every fingerprint."""
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    values = stored(prints.groupBy("fp").agg(F.min(row).alias("first")), "values")
+    roots = connected_components(linked(values.select("fp"), radius))
+    values = values.join(roots, F.col("fp") == F.col("node"), "left") \
+        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    firsts = values.groupBy("root").agg(F.min("first").alias("first"))
+    return values.select(F.col("fp").alias("value"), "root").join(firsts, "root").select("value", "first")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 2, words: int = 3, seed: int = 42,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` (smallest id of the
     component) of each row."""
     prints = stored(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
-    values = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "values")
-    roots = connected_components(linked(values.select("fp"), radius))
-    values = values.join(roots, F.col("fp") == F.col("node"), "left") \
-        .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    components = values.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = values.join(components, "root").select(F.col("fp").alias("value"), "component_id")
+    named = _components(prints, radius)
     return prints.join(named, F.col("fp") == F.col("value")).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, radius: int = 2, words: int = 3, seed: int = 42,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one of the smallest id, and of the
-    smallest hash of the text if ids repeat."""
-    found = near_duplicates(docs, radius, words, seed, id_col, text_col)
-    kept = found.select(F.col("component_id").alias("__kept")).distinct()
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(F.col(text_col)))
-    return (docs.join(kept, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
-            .withColumn("__n", F.row_number().over(order)).where(F.col("__n") == 1).select(*docs.columns))
+    """``docs`` with one row of each component: the one of the smallest id (null ids last), and
+    of the smallest hash of the text if ids repeat."""
+    prints = stored(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
+    kept = _components(prints, radius).select("first.doc_id", "first.text_hash").distinct() \
+        .select(F.col("doc_id").alias("__kept"), F.col("text_hash").alias("__kept_hash"))
+    rows = docs.withColumn("__hash", F.xxhash64(F.col(text_col).cast("string")))
+    met = F.col(id_col).eqNullSafe(F.col("__kept")) & (F.col("__hash") == F.col("__kept_hash"))
+    same = Window.partitionBy(id_col, "__hash").orderBy(F.lit(1))  # rows equal in id and text
+    return (rows.join(kept, met, "left_semi").withColumn("__n", F.row_number().over(same))
+            .where(F.col("__n") == 1).select(*docs.columns))

@@ -64,6 +64,14 @@ def test_keep_one(spark, messy, nothing):
     # 1, 2 and 3 have no words; 4, 5 and 10 are one text but for case
     assert sorted(ids) == [1, 4, 6, 7, 8, 9, 11]
     assert S.keep_one(nothing).collect() == []
+    # rows without an id are documents like others
+    texts = [" ".join(f"{w}{i * 31 % 57}" for i in range(60)) for w in "abc"]
+    more = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (None, texts[1]), (3, texts[2]),
+                                  (None, texts[2]), (4, texts[0][:-1] + "!"), (4, texts[1])],
+                                 "doc_id long, text string")
+    kept = {(r["doc_id"], r["text"]) for r in S.keep_one(more).collect()}
+    assert len(kept) == S.keep_one(more).count() and {t for _, t in kept} >= {texts[2]}
+    assert (3, texts[2]) in kept and (None, texts[2]) not in kept and (4, texts[1]) in kept
     assert S.near_duplicates(nothing).collect() == []
 
 
