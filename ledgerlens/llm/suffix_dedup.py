@@ -54,7 +54,7 @@ K = 32
 #: Stretches under one key that one task compares (about 300 bytes each, and 16 bytes for each
 #: of some 85 windows), and windows that it sorts at a time.
 WIDE = 1 << 17
-_SORTED = 1 << 22
+_SORTED = 1 << 20
 _ID = ["__did", "__tid"]
 
 
