@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, RollingHash, mixed, row_chunks, utf8_buffer
+from .common import CHUNK_BYTES, RollingHash, mixed, pieces, row_chunks, utf8_buffer
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -194,7 +194,7 @@ def _scanned(rows: DataFrame, items: list[tuple[str, str]], n: int, text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = None
-        for batch in batches:
+        for batch in pieces(batches, text_at):
             scanner = scanner or WindowScanner(windows_of(shared.value, n))
             earlier = zip(batch.column(ranges_at).to_pylist(),
                           batch.column(ids_at).to_pylist(), strict=True)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, RollingHash, mixed, row_chunks, stored, utf8_buffer
+from .common import CHUNK_BYTES, RollingHash, mixed, pieces, row_chunks, stored, utf8_buffer
 from .labelled import labelled_sample, sigmoid
 
 #: Buckets of hashed words, and columns of structure statistics.
@@ -207,7 +207,7 @@ def learn(sample: DataFrame, **parameters) -> FactorisationMachine:
     """Fit on ``text, label`` rows (bounded in number); their features go to the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         featurizer = Featurizer()
-        for batch in batches:
+        for batch in pieces(batches, 0):
             buckets, values, stats = [], [], []
             for rows, bucket, value, dense in batch_features(batch.column(0), featurizer):
                 for r in range(len(dense)):
@@ -246,7 +246,7 @@ def quality(docs: DataFrame, machine: FactorisationMachine, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         featurizer = Featurizer()
-        for batch in batches:
+        for batch in pieces(batches, 1):
             scores = [sigmoid(shared.value.margin(*f)[0]) for f in batch_features(batch.column(1), featurizer)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.concatenate([*scores, np.zeros(0)]))], names=["doc_id", "score"])

@@ -31,9 +31,8 @@ a long text needs no more memory than its own bytes.
 
 Null texts are empty; texts below ``length`` bytes lose nothing; repeated rows (even of one
 id) are texts of their own and remove each other; an empty table gives an empty result;
-columns
-other than the id and the text pass through unchanged. Ids are whole numbers; a null id
-is told apart by the text.
+columns other than the id and the text pass through unchanged. Ids are whole numbers; rows
+with a null id are told apart by their texts.
 """
 
 from __future__ import annotations
@@ -47,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, RollingHash, mixed, shared_path, utf8_buffer
+from .common import CHUNK_BYTES, RollingHash, mixed, pieces, shared_path, utf8_buffer
 
 #: Bytes of the strings whose hash picks and orders the suffixes.
 K = 32
@@ -122,7 +121,7 @@ def suffix_entries(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         picker = SuffixPicker(length)
-        for batch in batches:
+        for batch in pieces(batches, 2):
             buf, off = utf8_buffer(batch.column(2))
             for a in range(0, len(buf), CHUNK_BYTES):
                 b = min(a + CHUNK_BYTES, len(buf))
@@ -219,7 +218,7 @@ def _matches(texts: DataFrame, length: int, batches: int) -> DataFrame:
 def _stretches(length: int, wide: bool):
     """mapInArrow function: texts and what to judge -> the bytes of each stretch, by key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 2):
             buf, off = utf8_buffer(batch.column(2))
             rows, keys, firsts, parts = [], [], [], []
             for r, spans in enumerate(batch.column(3).to_pylist()):
@@ -346,7 +345,7 @@ def _cut_rows(length: int, names: list[str], keep_text: bool):
     same_at, windows_at, sha_at = len(names), len(names) + 1, len(names) + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, at):
             buf, off = utf8_buffer(batch.column(at))
             same, windows = batch.column(same_at).to_pylist(), batch.column(windows_at).to_pylist()
             removed, count, sha, left = [], [], batch.column(sha_at).to_pylist(), []
