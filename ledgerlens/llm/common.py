@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Bytes of text that a worker holds as numpy arrays at a time.
 CHUNK_BYTES = 1 << 20
 #: Bytes of text of a batch that a worker turns into Python or numpy objects at a time.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +70,9 @@ def row_chunks(off: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
 
 def pieces(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut into slices of about ``PIECE_BYTES`` bytes of text, so that what a
-    worker makes of them stays small whatever the size of Spark's batches."""
+    worker makes of them stays small whatever the size of Spark's batches. Arrow's memory comes
+    from the system's allocator, which gives large buffers back when they are freed."""
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
         for a, b in row_chunks(np.concatenate([[0], np.cumsum(size, dtype=np.int64)]), PIECE_BYTES):
