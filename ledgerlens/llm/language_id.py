@@ -42,18 +42,22 @@ def normalised(text: str) -> bytes:
 def training_sample(rows: DataFrame, docs_per_language: int, chars_per_doc: int, max_languages: int,
                     seed: int) -> dict[str, list[bytes]]:
     """Normalised texts per language: of the ``max_languages`` commonest languages, the
-    ``docs_per_language`` rows that come first by a seeded hash of the text, each cut to
+    ``docs_per_language`` distinct texts that come first by a seeded hash, each cut to
     ``chars_per_doc`` characters from its middle. ``rows`` has ``text`` and ``lang``."""
-    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull()) \
+        .withColumn("h", F.xxhash64(F.lit(seed), "text"))
+    # copies share one hash: rows are counted by text first, then rows and texts by language
+    common = (rows.groupBy("lang", "h").agg(F.count(F.lit(1)).alias("rows"))
+              .groupBy("lang").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("texts"))
+              .orderBy(F.desc("rows"), "lang").limit(max_languages).collect())
     names = [r["lang"] for r in common]
     if not names:
         return {}
-    # hashes below a language's bound hold about four times the rows wanted, so that few are ranked
+    # hashes below a language's bound hold about four times the texts wanted, so that few are ranked
     bounds = F.create_map(*[F.lit(x) for r in common for x in (
-        r["lang"], min(2**63 - 1, 2**66 * docs_per_language // r["count"] - 2**63))])
+        r["lang"], min(2**63 - 1, 2**66 * docs_per_language // r["texts"] - 2**63))])
     middle = F.greatest(F.lit(1), (F.length("text") - chars_per_doc) / 2).cast("int")
-    drawn = (rows.withColumn("h", F.xxhash64(F.lit(seed), "text")).where(F.col("h") <= bounds[F.col("lang")])
+    drawn = (rows.where(F.col("h") <= bounds[F.col("lang")])
              .groupBy("lang", "h")  # copies of a text count once
              .agg(F.min(F.substring(F.col("text"), middle, F.lit(chars_per_doc))).alias("text")))
     order = Window.partitionBy("lang").orderBy("h")

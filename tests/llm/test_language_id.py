@@ -32,3 +32,12 @@ def test_mislabelled_samples_are_left_out():
     other = [b"der hund lief durch das haus %d" % i for i in range(40)]
     dicts = L.dictionaries({"en": right + other[:4], "de": other}, 1 << 16)
     assert b"hund" not in dicts["en"] and b"cat" in dicts["en"]
+
+
+def test_copies_do_not_push_out_a_language(spark):
+    from pyspark.sql import functions as F
+    copies = spark.range(2_000_000).select(F.lit("der hund lief durch das haus").alias("text"), F.lit("de").alias("lang"))
+    texts = spark.range(1200).select(F.concat(F.lit("die katze und der hund nummer "), F.hex("id")).alias("text"), F.lit("de").alias("lang"))
+    other = spark.range(300).select(F.concat(F.lit("the cat and the dog number "), F.hex("id")).alias("text"), F.lit("en").alias("lang"))
+    sample = L.training_sample(copies.unionByName(texts).unionByName(other), 256, 2048, 64, 7)
+    assert {n: len(t) for n, t in sample.items()} == {"de": 256, "en": 256}
