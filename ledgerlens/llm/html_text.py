@@ -58,7 +58,7 @@ NEAR, SIBLINGS, COUSINS = 0.2, 0.6, 0.3
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*+)>""")
 _BROKEN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)")
 _OTHER = re.compile(r"<!--.*?(?:-->|$)|<[!?/][^>]*(?:>|$)", re.S)
-_HINT = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _LEGAL = re.compile(r"©|all rights reserved|cookie|privacy policy|terms of (?:use|service)", re.I)
 
@@ -90,7 +90,7 @@ class Context:
             self._hints(attributes)
 
     def _hints(self, attributes: str) -> None:
-        for key, value in _HINT.findall(attributes):
+        for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key in ("class", "id"):
                 words = {w.lower() for w in _WORDS.findall(value)}
@@ -134,6 +134,9 @@ def blocks(page: str) -> list[Block]:
             pieces.clear()
         linked = 0
 
+    def holder() -> Context:
+        return next((c for c in reversed(stack) if c.name in BLOCK), root)
+
     def say(raw: str):
         nonlocal linked, owner
         now = stack[-1]
@@ -145,9 +148,10 @@ def blocks(page: str) -> list[Block]:
         if not pieces:
             if not text.strip():
                 return
-            owner = next((c for c in reversed(stack) if c.name in BLOCK), root)
-            if now.boilerplate:
-                owner = now
+            owner = now if now.boilerplate else holder()
+        elif owner.boilerplate and not now.boilerplate and text.strip():
+            pieces.clear()  # the line began with an advert or the like
+            linked, owner = 0, holder()
         if now.link:
             linked += len(text)
         pieces.append(text)

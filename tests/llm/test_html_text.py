@@ -32,6 +32,30 @@ def test_broken_pages():
     assert len(H.main_text("<article>" + "<p>some words.</p>" * 5000).split("\n")) == 5000
 
 
+def test_inline_boilerplate_loses_only_itself():
+    text = "A long enough sentence, with several words in it, that reads as content."
+    for ad in ('<span class="ad">Buy</span>', '<a class="share" href="/s"><b>Share</b> this</a> <span id="ads">Buy</span>'):
+        for line in (f"{ad} {text}", f"{text} {ad}", f"{ad} {text} {ad}"):
+            assert H.main_text(f"<article><p>{line}</p></article>") == text, line
+        assert H.main_text(f"<article><p>{ad}</p><p>{text}</p></article>") == text
+    (block,) = H.blocks(f'<div><p><a class="ad" href="/">Buy</a> {text}</p></div>')
+    assert block.context.name == "p" and block.linked == 0
+    (block,) = H.blocks(f'<div><p><span class="ad">{text}</span> </p></div>')
+    assert block.context.boilerplate
+
+
+def test_only_whole_attributes_count():
+    text = "A long enough sentence, with several words in it, that reads as content."
+    for attributes in ('title="the hidden truth"', 'data-hidden="false"', 'data-id="share-5"', "title='a class=ad b'",
+                       'data-class=ad', 'data-x="1" alt="role=navigation"', 'title="style=display:none"', 'x-role="menu"'):
+        assert H.main_text(f"<article><p {attributes}>{text}</p></article>") == text, attributes
+        assert H.main_text(f"<article><div {attributes}><p>{text}</p></div></article>") == text, attributes
+    assert H.main_text(f'<article><p>{text} <a href="/p?id=related-12">More</a></p></article>') == f"{text} More"
+    for attributes in ("hidden", "HIDDEN=''", "title=x hidden", "style='color:red;display: none'", "aria-hidden=true",
+                       'class="ad"', "class=ad", "id = 'share-5'", 'data-hidden="false"class="ad"', "role=navigation"):
+        assert H.main_text(f"<article><p {attributes}>{text}</p></article>") == "", attributes
+
+
 def test_cut_is_minimal():
     rng = random.Random(5)
     for _ in range(200):
