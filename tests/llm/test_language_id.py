@@ -41,3 +41,28 @@ def test_copies_do_not_push_out_a_language(spark):
     other = spark.range(300).select(F.concat(F.lit("the cat and the dog number "), F.hex("id")).alias("text"), F.lit("en").alias("lang"))
     sample = L.training_sample(copies.unionByName(texts).unionByName(other), 256, 2048, 64, 7)
     assert {n: len(t) for n, t in sample.items()} == {"de": 256, "en": 256}
+
+
+def test_every_language_is_learnt(spark):
+    import random
+    rng = random.Random(3)
+    words = {f"l{n:02}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9))) for _ in range(30)]
+             for n in range(70)}
+
+    def texts(each):
+        return [(" ".join(rng.choice(w) for _ in range(25)), n) for n, w in words.items() for _ in range(each(n))]
+
+    training = spark.createDataFrame(texts(lambda n: 8 if n < "l64" else 4), "text string, lang string")
+    docs = spark.createDataFrame(texts(lambda n: 1), "text string, doc_id string")
+    rows = L.language_id(docs, training).collect()
+    assert len(rows) == 70 and all(r["lang_pred"] == r["doc_id"] for r in rows)
+    sample = L.training_sample(training, 6, 2048, 35, 7)
+    assert {n: len(t) for n, t in sample.items()} == dict.fromkeys(words, 3)
+
+
+def test_groups_of_compressors_tell_the_same(monkeypatch):
+    dicts = {n: b" ".join(b"%s%d" % (n.encode() * 3, i % 7) for i in range(90)) for n in "abcdefg"}
+    norms = [b"aaa1 aaa2", b"ggg1 ggg3 fff", b"ccc eee2 eee2 eee4", b"zzz"]
+    whole = L.Encoder(dicts, 6).best(norms)
+    monkeypatch.setattr(L, "HELD", 2)
+    assert L.Encoder(dicts, 6).best(norms) == whole
