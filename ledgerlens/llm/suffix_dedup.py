@@ -107,10 +107,11 @@ class SuffixPicker:
 
 
 def _identity(id_col: str, text_col: str):
-    """Columns that name a text, and the text. Texts of one name are equal, but for a clash of
-    32-bit hashes between rows of one id."""
+    """Columns that name a text, and the text. Texts of one name are equal, but for clashes of
+    hashes: among n different texts without an id of 64 and 32 bits together (n * n / 2**97
+    pairs are expected), among n different texts of one id of 32 bits (n * n / 2**33)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return (F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("__did"),
+    return (F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("__did"),
             F.hash(F.col(id_col), text).alias("__tid"), text.alias("__text"))
 
 

@@ -66,5 +66,15 @@ def test_repeated_rows_remove_each_other(spark):
     assert [r["n_removed"] for r in got] == [len(text), len(text), 0]
 
 
+def test_texts_without_id_of_one_32_bit_hash(spark):
+    from hashlib import sha256
+    one, two = ("".join(sha256(f"{c}{n}".encode()).hexdigest() for c in "abcd") for n in (210, 34664))
+    docs = spark.createDataFrame([(None, one), (None, two), (1, one[:200])], "doc_id long, text string")
+    assert len({r[0] for r in docs.limit(2).selectExpr("hash(doc_id, text)").collect()}) == 1
+    got = {r["kept_sha256"]: r["n_removed"] for r in S.repeat_report(docs).collect()}
+    assert got == {sha256(one[200:].encode()).hexdigest(): 200, sha256(two.encode()).hexdigest(): 0,
+                   sha256(b"").hexdigest(): 200}
+
+
 def test_empty_table(nothing):
     assert S.repeat_report(nothing).collect() == []
