@@ -130,24 +130,26 @@ class WindowScanner:
                 yield starts[own] - part[r], ends[own] - part[r], hit[own], items.get(r, set())
 
     def _long_row(self, buf, limit):
-        """A row longer than a chunk, in parts that share ``longest - 1`` words."""
+        """A row longer than a chunk, in parts; the last ``longest - 1`` words before a part are
+        put in front of it, however far back they stand."""
         lap, at, found = self.longest - 1, 0, set()
         all_starts, all_ends, all_hit = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-        while True:
+        while at < len(buf):
             end = min(at + limit, len(buf))
             while end < len(buf) and _IS_WORD[buf[end]]:
                 end += 1
-            starts, ends, _, hit, items = self.scan(buf[at:end], np.array([0, end - at]))
-            known = int(np.searchsorted(starts + at, all_starts[-1] + 1)) if len(all_starts) else 0
+            known = min(lap, len(all_starts))
+            words = [buf[a:b].tobytes() for a, b in zip(all_starts[-known:], all_ends[-known:])] if known else []
+            before = b"".join(w + b" " for w in words)
+            part = np.frombuffer(before + buf[at:end].tobytes(), np.uint8)
+            starts, ends, _, hit, items = self.scan(part, np.array([0, len(part)]))
             if known:
                 all_hit[-known:] |= hit[:known]
-            all_starts = np.concatenate([all_starts, starts[known:] + at])
-            all_ends = np.concatenate([all_ends, ends[known:] + at])
+            all_starts = np.concatenate([all_starts, starts[known:] + (at - len(before))])
+            all_ends = np.concatenate([all_ends, ends[known:] + (at - len(before))])
             all_hit = np.concatenate([all_hit, hit[known:]])
             found |= items.get(0, set())
-            if end >= len(buf):
-                break
-            at = max(at + 1, int(starts[-lap] + at)) if lap and len(starts) > lap else end
+            at = end
         return all_starts, all_ends, all_hit, found
 
 

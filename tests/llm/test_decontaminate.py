@@ -44,6 +44,18 @@ def test_long_texts_in_parts():
     assert all((a == b).all() for a, b in zip(whole[:3], parts[:3])) and whole[3] == parts[3]
 
 
+def test_long_texts_with_gaps():
+    import numpy as np
+    passage = [f"word{i}" for i in range(13)]
+    scanner = D.WindowScanner(D.windows_of([("1", " ".join(passage)), ("2", "one two three")], 13))
+    for gap in (" ", "\0" * 150, "-" * 96, "\n" * 1000):
+        raw = f"some text {gap.join(passage)} and more words {gap} one{gap}two{gap}three {gap}".encode()
+        buf, off = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+        (whole,) = scanner.rows(buf, off, 1 << 20)
+        (parts,) = scanner.rows(buf, off, 97)
+        assert all((a == b).all() for a, b in zip(whole[:3], parts[:3])) and whole[3] == parts[3] == {"1", "2"}
+
+
 def test_modes_and_odd_rows(spark, messy, nothing):
     bench = spark.createDataFrame([(1, "alpha beta"), (2, "one")], "item_id long, text string")
     kept = D.decontaminate(messy, bench, share=20)
