@@ -51,3 +51,13 @@ def test_odd_rows(spark, messy, nothing):
     assert Q.quality(nothing, machine).collect() == []
     blank = Q.learnt_from(messy, labels.where("false"))
     assert {round(r["score"], 6) for r in Q.quality(messy.where("doc_id < 3"), blank).collect()} == {0.5}
+
+
+def test_sample_has_one_text_per_id(spark):
+    from ledgerlens.llm.labelled import labelled_sample
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(500)] + [(2, "two"), (3, None), (3, None), (None, "x")],
+                                 "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1), (4, 0)], "doc_id long, quality int")
+    rows = labelled_sample(docs, labels, "quality", 10, 5).collect()
+    assert len(rows) == 3 and {("two", 0), ("", 1)} < {(r["text"], r["label"]) for r in rows}
+    assert sorted(rows) == sorted(labelled_sample(docs.repartition(2), labels, "quality", 10, 5).collect())
