@@ -6,7 +6,8 @@ reported speech. Four further transducers over symbols are composed with each ot
 machine: negation turns insults and threats within its reach into denied ones, reported
 speech into quoted ones, a target marks those that follow it in the clause, and a last one
 lets only matched symbols through. A clause's score is the sum of the weights on its accepting
-path, by output symbol; isolated words count only through the clause they match in.
+path, by output symbol. A bare insult or threat, with no target, negation or report before it in
+the clause, is a match too, of a class and weight of its own: most toxic texts hold no other.
 
 The document's matched clauses, summed by symbol, go through a logistic regression on the
 same labelled rows to give a probability. At most ``max_rows`` labelled rows (in the order of
@@ -118,7 +119,8 @@ def target() -> Transducer:
 
 
 def matched() -> Transducer:
-    """Lets classes of matches through and turns all else, a bare threat included, to other."""
+    """Lets classes of matches through, bare insults and threats included, and drops the weight
+    of all else."""
     return Transducer({(0, s): (0, OTHER, 0.0) for s in (TARGET, NEGATION, REPORT, QUOTE)})
 
 
