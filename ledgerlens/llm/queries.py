@@ -20,6 +20,7 @@ from .mixing import mix_sources
 from . import quality_fm
 from .simhash_dedup import near_duplicates
 from .suffix_dedup import repeat_report
+from .token_alignment import alignment
 from .token_count import token_counts
 from .topk_search import top_k
 from .toxicity import learnt_from, toxicity
@@ -104,6 +105,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                     tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
@@ -115,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 #: Words of the texts, sampling order by a hash of the id, the water level by its equation.
