@@ -3,9 +3,9 @@
 ``row_number() OVER (ORDER BY ..)`` with no partition sorts everything in one task. Here the
 leading order column, a whole number, is cut at fixed points into buckets: a row's bucket
 depends on nothing but its value, so any task, and any repeated one, puts it in the same
-place. One aggregate counts rows per bucket; running sums over the counts, first inside groups
-of buckets and then over the groups, give each bucket's offset; a row number inside the
-bucket completes the key. Nothing is stored and no range is sampled.
+place. One aggregate counts rows per bucket; :mod:`scan` turns the counts into offsets by a
+tree of fixed depth, so ids spread over all 64 bits cost no larger window than dense ones; a
+row number inside the bucket completes the key. Nothing is stored and no range is sampled.
 """
 
 from __future__ import annotations
@@ -13,26 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import same, totals_before
+
 
 def surrogate_key(df: DataFrame, leading: str, order: list[Column], name: str = "rownum",
-                  width: int = 4096, fan: int = 4096) -> DataFrame:
-    """Add ``name``: 1, 2, .. by ``leading`` (a whole number, NULL first) and then ``order``.
+                  keys: list[str] | None = None, bits: int = 12) -> DataFrame:
+    """Add ``name``: 1, 2, .. by ``leading`` (a whole number, NULL first) and then ``order``,
+    over the table or, with ``keys``, for each of their values.
 
-    ``width`` values of ``leading`` share a bucket and ``fan`` buckets share a group."""
-    value = F.col(leading).cast("bigint")
-    bucket = F.floor(value / F.lit(width)).cast("bigint")
-    rows = df.withColumn("__bucket", bucket)
-    counts = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n")) \
-        .withColumn("__group", F.floor(F.col("__bucket") / F.lit(fan)).cast("bigint"))
-    past = (Window.unboundedPreceding, -1)
-    groups = counts.groupBy("__group").agg(F.sum("__n").alias("__in_group"))
-    groups = groups.select(F.col("__group").alias("__g"), F.coalesce(F.sum("__in_group").over(
-        Window.orderBy(F.col("__group").asc_nulls_first()).rowsBetween(*past)), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy("__group").orderBy(F.col("__bucket").asc_nulls_first()).rowsBetween(*past)
-    offsets = counts.withColumn("__skip", F.coalesce(F.sum("__n").over(inside), F.lit(0))) \
-        .join(groups, F.col("__group").eqNullSafe(F.col("__g"))) \
-        .select(F.col("__bucket").alias("__b"), (F.col("__start") + F.col("__skip")).alias("__offset"))
-    within = Window.partitionBy("__bucket").orderBy(F.col(leading).asc_nulls_first(), *order)
-    keyed = rows.join(offsets, F.col("__bucket").eqNullSafe(F.col("__b")))
-    return keyed.withColumn(name, (F.col("__offset") + F.row_number().over(within)).cast("bigint")) \
-        .drop("__bucket", "__b", "__offset")
+    ``2 ** bits`` values of ``leading`` share a bucket."""
+    keys = keys or []
+    rows = df.withColumn("__bucket", F.shiftright(F.col(leading).cast("bigint"), bits))
+    counts = rows.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    skipped = totals_before(counts, keys, "__bucket", {"__skip": ("sum", "__n")})
+    offsets = skipped.select(*[F.col(k).alias(f"__of_{k}") for k in keys], F.col("__bucket").alias("__b"), "__skip")
+    met = same([F.col(c) for c in (*keys, "__bucket")], [F.col(c) for c in (*(f"__of_{k}" for k in keys), "__b")])
+    within = Window.partitionBy(*keys, "__bucket").orderBy(F.col(leading).asc_nulls_first(), *order)
+    keyed = rows.withColumn("__row", F.row_number().over(within)).join(offsets, met)
+    return keyed.withColumn(name, (F.col("__skip") + F.col("__row")).cast("bigint")).select(*df.columns, name)

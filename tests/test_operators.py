@@ -16,7 +16,7 @@ from ledgerlens.operators.ranking import top_k, top_k_with_ties, top_per_group
 def test_surrogate_key_is_consecutive_and_follows_order(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 997 - 100).alias("v"), "id")
     df = df.unionByName(spark.createDataFrame([(None, 7), (None, 3), (2**60, 1)], "v long, id long"))
-    keyed = surrogate_key(df, "v", [F.col("id")], "k", width=16, fan=4)
+    keyed = surrogate_key(df, "v", [F.col("id")], "k", bits=4)
     rows = sorted((r["k"], r["v"], r["id"]) for r in keyed.collect())
     assert [k for k, _, _ in rows] == list(range(1, 5004))
     assert [r[1:] for r in rows] == sorted((r[1:] for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
