@@ -37,8 +37,12 @@ from .common import pieces, stored
 #: Bytes of text, and documents, of a chunk at most (a longer text stands alone).
 CHUNK_TEXT = 16 << 20
 CHUNK_DOCS = 1 << 15
+#: Documents that are split into units together.
+PIECE_DOCS = 1 << 12
 #: Units that a worker's table holds before it is emptied, which happens between chunks.
-MAX_UNITS = 1 << 18
+MAX_UNITS = 1 << 19
+#: Units that are encoded as one text.
+JOINED = 256
 #: Characters of a text that are split into units at a time.
 SLICE_CHARS = 1 << 20
 
@@ -76,15 +80,46 @@ class Tokenizers:
                         for i, p in enumerate(names)]
         self.sizes_a = np.array([len(x) for x in self.bytes_a])
         self.sizes_b = np.array([len(x) for x in self.bytes_b])
+        self.bits_b = len(self.bytes_b).bit_length()
+        self.fast = self._by_rank()
+        most = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = [f"{i}{sign}" for i in range(most) for sign in ",|;"]
         self.splits = not any("▁" in p.lstrip("▁") for p in names) and self._joins(["a", "b", "c1"])
 
     def _joins(self, parts: list[str]) -> bool:
         """Whether B gives the parts of a text the same pieces alone and together."""
         return self.b.encode(" ".join(parts)) == sum(map(self.b.encode, parts), [])
 
+    def _by_rank(self):
+        """A faster encoder of A for ASCII text, if A is a byte-level BPE whose merges make the
+        tokens in the order of their ids, so that ids are ranks: then it merges in the same
+        order, and ASCII text is cut alike. None otherwise."""
+        import json
+
+        import tiktoken
+
+        model = json.loads(self.a.to_str())["model"]
+        vocabulary, merges = model["vocab"], model.get("merges", [])
+        made = ["".join(m) if not isinstance(m, str) else m.replace(" ", "") for m in merges]
+        if model["type"] != "BPE" or [vocabulary.get(m) for m in made] != list(range(256, 256 + len(made))):
+            return None
+        ranks = {self.bytes_a[i]: i for i in range(256 + len(made))}
+        cut = r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+        try:
+            return tiktoken.Encoding("a", pat_str=cut, mergeable_ranks=ranks, special_tokens={})
+        except ValueError:  # not all single bytes, or not one token for each rank
+            return None
+
+    def gives_back(self, text: str, a: list[int], b: list[int]) -> bool:
+        whole = b" " + text.encode()
+        return b"".join([self.bytes_a[i] for i in a]) == whole and b"".join([self.bytes_b[i] for i in b]) == whole
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        found = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in found], self.b.encode(texts, num_threads=1)
+        slow = [t for t in texts if self.fast is None or not t.isascii()]
+        found = iter(self.a.encode_batch_fast([" " + t for t in slow], add_special_tokens=False))
+        a = [next(found).ids if self.fast is None or not t.isascii() else self.fast.encode_ordinary(" " + t)
+             for t in texts]
+        return a, self.b.encode(texts, num_threads=1)
 
 
 def slices(text: str, splits: bool, limit: int = SLICE_CHARS) -> Iterator[list[str]]:
@@ -102,6 +137,14 @@ def slices(text: str, splits: bool, limit: int = SLICE_CHARS) -> Iterator[list[s
     yield border.split(text[start:] if start else text)
 
 
+class _Index(dict):
+    """Numbers of units, in the order in which they are first asked for."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
 class Units:
     """Distinct units with their alignment: counts, linked pairs, groups in writing."""
 
@@ -110,70 +153,94 @@ class Units:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Index()
         self.groups: list[str] = []
         self.good = np.zeros(0, bool)
         self.counts = np.zeros((0, 4), np.int64)
         self.start = np.zeros(0, np.int64)  # of a unit's pairs
-        self.pairs = np.zeros(0, np.int64)  # a << 32 | b of each link
+        self.pairs = np.zeros(0, np.int64)  # ids of A and B of each link, packed
 
     def numbers(self, units: list[str]) -> np.ndarray:
         """Places of ``units`` in the table; new ones are aligned."""
-        found = list(map(self.index.get, units))
-        if None in found:
-            new = list(dict.fromkeys(u for u, k in zip(units, found, strict=True) if k is None))
-            self.index.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
-            self._align(new)
-            found = list(map(self.index.__getitem__, units))
-        return np.array(found, np.int64)
+        known = len(self.index)
+        found = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+        if len(self.index) > known:
+            from itertools import islice
+
+            self._align(list(islice(self.index, known, None)))
+        return found
+
+    def _encoded(self, new: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which of ``new`` both tokenizers give back, the tokens of these one after another, and
+        the bytes up to the end of each. Units that may stand in a text as they are go through
+        the tokenizers as one text, the others alone."""
+        t = self.tokenizers
+        ascii, plain, rest = [], [], []
+        for k, u in enumerate(new):
+            if t.splits and u and "!" <= u[0] <= "~" and u[-1] != " ":
+                (ascii if u.isascii() else plain).append(k)
+            else:
+                rest.append(k)
+        order, a, b = [], [], []
+        while ascii or plain or rest:
+            together = [x[k:k + JOINED] for x in (ascii, plain) for k in range(0, len(x), JOINED)]
+            together += [[k] for k in rest]
+            texts = [" ".join([new[k] for k in units]) for units in together]
+            ascii, plain, rest = [], [], []
+            for units, text, x, y in zip(together, texts, *t.encode(texts), strict=True):
+                if t.gives_back(text, x, y):
+                    order += units
+                    a += x
+                    b += y
+                elif len(units) > 1:  # one of them is at fault: each alone
+                    rest += units
+        size = np.array([len(new[k].encode()) + 1 for k in order], np.int64)
+        return np.array(order, np.int64), np.array(a, np.int64), np.array(b, np.int64), np.cumsum(size)
 
     def _align(self, new: list[str]) -> None:
         t = self.tokenizers
-        ids_a, ids_b = t.encode(new)
-        good = np.zeros(len(new), bool)
-        for k, unit in enumerate(new):
-            whole = b" " + unit.encode()
-            good[k] = b"".join([t.bytes_a[i] for i in ids_a[k]]) == whole \
-                and b"".join([t.bytes_b[i] for i in ids_b[k]]) == whole
-        kept = np.flatnonzero(good)
-        a = np.array([i for k in kept for i in ids_a[k]], np.int64)
-        b = np.array([i for k in kept for i in ids_b[k]], np.int64)
-        n_a, n_b = (np.array([len(x[k]) for k in kept], np.int64) for x in (ids_a, ids_b))
+        kept, a, b, border = self._encoded(new)
         end_a, end_b = np.cumsum(t.sizes_a[a]), np.cumsum(t.sizes_b[b])
-        border = end_a[np.cumsum(n_a) - 1] if len(kept) else end_a  # where the units end
-        shared, every = np.intersect1d(end_a, end_b), np.union1d(end_a, end_b)
-        counts = np.zeros((len(new), 4), np.int64)
-        counts[kept] = np.column_stack([n_a, n_b, *(np.diff(np.searchsorted(x, border, "right"), prepend=0)
-                                                    for x in (shared, every))])
+        in_a = _found(end_b, end_a)
+        shared, every = end_b[in_a], np.sort(np.concatenate([end_a, end_b[~in_a]]))
+        upto = [np.searchsorted(x, border, "right") for x in (end_a, end_b, shared, every)]
+        counts, first = np.zeros((len(new), 4), np.int64), np.zeros(len(new), np.int64)
+        counts[kept] = np.column_stack([np.diff(x, prepend=0) for x in upto])
+        first[kept] = upto[3] - counts[kept, 3] + len(self.pairs)
         # A stretch between two neighbouring ends lies in one token of either side: a link.
-        pairs = a[np.searchsorted(end_a, every)] << 32 | b[np.searchsorted(end_b, every)]
-        start = len(self.pairs) + np.cumsum(counts[:, 3]) - counts[:, 3]
-        self.groups += _written(a, b, np.searchsorted(shared, end_a), np.searchsorted(shared, end_b),
-                                len(shared), kept, counts[:, 0] + counts[:, 1])
+        pairs = a[np.searchsorted(end_a, every)] << t.bits_b | b[np.searchsorted(end_b, every)]
+        written = self._written(a, b, np.searchsorted(shared, end_a), np.searchsorted(shared, end_b), len(shared))
+        groups, at = [""] * len(new), 0
+        for k, stop in zip(kept.tolist(), (upto[0] + upto[1]).tolist(), strict=True):
+            groups[k] = "".join(written[at:stop])[:-1]  # without the sign after the last token
+            at = stop
+        good = np.zeros(len(new), bool)
+        good[kept] = True
+        self.groups += groups
         self.good = np.concatenate([self.good, good])
         self.counts = np.concatenate([self.counts, counts])
-        self.start = np.concatenate([self.start, start])
+        self.start = np.concatenate([self.start, first])
         self.pairs = np.concatenate([self.pairs, pairs])
 
+    def _written(self, a, b, group_a, group_b, n_groups) -> list[str]:
+        """The tokens of all groups in the order of writing, ``a1,`` ``a2|`` ``b1;`` and so on."""
+        before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=n_groups))]).astype(np.int64)
+        upto_a = np.cumsum(np.bincount(group_a, minlength=n_groups)).astype(np.int64)
+        place_a = np.arange(len(a)) + before_b[group_a]
+        place_b = np.arange(len(b)) + upto_a[group_b]
+        ids, side = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.int64)
+        ids[place_a], ids[place_b] = a, b
+        side[place_a], side[place_b] = 2 * group_a, 2 * group_b + 1
+        step = np.diff(side, append=side[-1:] + 1)
+        sign = np.where(step == 0, 0, 1 + side % 2)
+        return list(map(self.tokenizers.written.__getitem__, (3 * ids + sign).tolist()))
+
 
-def _written(a, b, group_a, group_b, n_groups, kept, tokens) -> list[str]:
-    """``a1,a2|b1;a3|b2`` of each unit, from all tokens with their groups."""
-    before_b = np.concatenate([[0], np.cumsum(np.bincount(group_b, minlength=n_groups))]).astype(np.int64)
-    upto_a = np.cumsum(np.bincount(group_a, minlength=n_groups)).astype(np.int64)
-    place_a = np.arange(len(a)) + before_b[group_a]
-    place_b = np.arange(len(b)) + upto_a[group_b]
-    ids, side = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.int64)
-    ids[place_a], ids[place_b] = a, b
-    side[place_a], side[place_b] = 2 * group_a, 2 * group_b + 1
-    step = np.diff(side, append=side[-1:] + 1)
-    sign = np.where(step == 0, ",", np.where(side % 2 == 0, "|", ";"))
-    written = [f"{i}{s}" for i, s in zip(ids.tolist(), sign.tolist(), strict=True)]
-    out, at = [""] * len(tokens), 0
-    for k in kept.tolist():
-        n = int(tokens[k])
-        out[k] = "".join(written[at:at + n])[:-1]  # without the sign after the last token
-        at += n
-    return out
+def _found(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in the sorted array ``among``."""
+    if not len(among):
+        return np.zeros(len(values), bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
 
 
 class Chunk:
@@ -183,25 +250,36 @@ class Chunk:
         self.units, self.size, self.docs = units, 0, 0
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def add(self, text: str | None) -> tuple[list[int], str]:
-        """Counts and digest of the groups of a new document."""
+    def add(self, texts: list[str | None]) -> list[tuple[list[int], str]]:
+        """Counts and digest of the groups of new documents."""
+        splits, out = self.units.tokenizers.splits, []
+        parts = [[] if not t or len(t) > SLICE_CHARS else next(slices(t, splits)) for t in texts]
+        at = self.units.numbers([u for p in parts for u in p])
+        ends = np.cumsum([len(p) for p in parts]).tolist()
+        for text, part, end in zip(texts, parts, ends, strict=True):
+            if part:
+                found = [at[end - len(part):end]]
+            else:  # a long text is held by the units it has, not by all its words
+                found = map(self.units.numbers, slices(text, splits)) if text else ()
+            out.append(self._document(found, len(text or "")))
+        return out
+
+    def _document(self, found, size: int) -> tuple[list[int], str]:
         from hashlib import sha256
 
         number, self.docs = self.docs, self.docs + 1
-        nothing = ([0, 0, 0, 0], "")
-        if not text:
-            return nothing
-        units, digest, totals, found, first = self.units, sha256(), np.zeros(4, np.int64), [], True
-        for part in slices(text, units.tokenizers.splits):
-            at = units.numbers(part)
+        units, digest, totals, held = self.units, sha256(), np.zeros(4, np.int64), []
+        for at in found:
             if not units.good[at].all():
-                return nothing
+                held = []
+                break
             totals += units.counts[at].sum(axis=0)
-            digest.update(("" if first else ";").encode() + ";".join([units.groups[k] for k in at.tolist()]).encode())
-            first = False
-            found.append(np.unique(at, return_counts=True))
-        self.held += [(at, np.full(len(at), number), n) for at, n in found]
-        self.size += len(text)
+            digest.update((";" if held else "").encode() + ";".join([units.groups[k] for k in at.tolist()]).encode())
+            held.append(np.unique(at, return_counts=True) if size > SLICE_CHARS else (at, np.ones(len(at), np.int64)))
+        if not held:
+            return [0, 0, 0, 0], ""
+        self.held += [(at, np.full(len(at), number), n) for at, n in held]
+        self.size += size
         return totals.tolist(), digest.hexdigest()
 
     def postings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -210,21 +288,32 @@ class Chunk:
         if not self.held:
             return empty, empty, empty, pa.array([], pa.binary())
         at, doc, times = (np.concatenate(x) for x in zip(*self.held, strict=True))
-        distinct, place = np.unique(self.units.pairs, return_inverse=True)
         n = self.units.counts[at, 3]
         link = np.arange(n.sum()) + np.repeat(self.units.start[at] - np.cumsum(n) + n, n)
-        key, times = place[link] << 16 | np.repeat(doc, n), np.repeat(times, n)
-        order = np.argsort(key, kind="stable")
-        key, times = key[order], times[order]
-        first = np.flatnonzero(np.diff(key, prepend=-1))
-        key, times = key[first], np.add.reduceat(times, first)
-        pair, doc = key >> 16, key & 0xFFFF
+        key, times = _added(self.units.pairs[link] << 15 | np.repeat(doc, n), np.repeat(times, n))
+        pair, doc = key >> 15, key & (CHUNK_DOCS - 1)
         own = np.flatnonzero(np.diff(pair, prepend=-1))
         links = np.add.reduceat(times, own)
-        return (distinct[pair[own]], np.diff(own, append=len(pair)), links,
+        bits = self.units.tokenizers.bits_b
+        named = pair[own] >> bits << 32 | pair[own] & ((1 << bits) - 1)
+        return (named, np.diff(own, append=len(pair)), links,
                 planes_of(pair, doc, times, self.docs))
 
 
+def _added(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sums of their times."""
+    single, more = np.sort(key[times == 1]), times > 1
+    first = np.flatnonzero(np.diff(single, prepend=-1))
+    keys, counts = single[first], np.diff(first, append=len(single))
+    if more.any():
+        keys, counts = np.concatenate([keys, key[more]]), np.concatenate([counts, times[more]])
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        keys, counts = keys[first], np.add.reduceat(counts, first)
+    return keys, counts
+
+
 def planes_of(pair: np.ndarray, doc: np.ndarray, times: np.ndarray, docs: int) -> pa.Array:
     """A binary value for each distinct ``pair`` (sorted): its planes one after another, in
     16-bit units. A plane is its number (256 more if it is a bitmap), the units that follow, and
@@ -306,32 +395,27 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
 
         task, seen = TaskContext.get().partitionId(), 0
         units = chunk = None
-        for batch in pieces(batches, 1):
+        for batch in (p.slice(k, PIECE_DOCS) for p in pieces(batches, 1) for k in range(0, len(p), PIECE_DOCS)):
             if units is None:
                 units = Units(Tokenizers(path_a, path_b))
-            texts, ids, begun = batch.column(1), batch.column(0), 0
-            made = []
-            for i in range(len(texts)):
-                if chunk is None:
-                    chunk = Chunk(units)
-                made.append((task << 32 | seen, chunk.docs, *chunk.add(texts[i].as_py())))
-                if chunk.size >= chunk_text or chunk.docs >= CHUNK_DOCS:
-                    yield doc_rows(ids.slice(begun, len(made)), made)
-                    yield from pair_rows(task << 32 | seen, chunk)
-                    begun, made, chunk, seen = i + 1, [], None, seen + 1
-                    if len(units.groups) > MAX_UNITS:
-                        units.clear()
-            if made:
-                yield doc_rows(ids.slice(begun, len(made)), made)
+            if chunk is None:
+                chunk = Chunk(units)
+            first, made = chunk.docs, chunk.add(batch.column(1).to_pylist())
+            yield doc_rows(batch.column(0), task << 32 | seen, first, made)
+            if chunk.size >= chunk_text or chunk.docs >= CHUNK_DOCS - PIECE_DOCS:
+                yield from pair_rows(task << 32 | seen, chunk)
+                chunk, seen = None, seen + 1
+                if len(units.groups) > MAX_UNITS:
+                    units.clear()
         if chunk is not None:
             yield from pair_rows(task << 32 | seen, chunk)
 
-    def doc_rows(ids: pa.Array, made: list) -> pa.RecordBatch:
-        chunk, number, counts, digest = zip(*made, strict=True)
+    def doc_rows(ids: pa.Array, chunk_id: int, first: int, made: list) -> pa.RecordBatch:
         n = len(made)
         return pa.RecordBatch.from_arrays(
-            [pa.array(chunk, pa.int64()), pa.array(number, pa.int32()), ids,
-             *(pa.array([c[k] for c in counts], pa.int64()) for k in range(4)), pa.array(digest, pa.string()),
+            [pa.array(np.full(n, chunk_id)), pa.array(np.arange(first, first + n), pa.int32()), ids,
+             *(pa.array([c[k] for c, _ in made], pa.int64()) for k in range(4)),
+             pa.array([d for _, d in made], pa.string()),
              *(pa.nulls(n, pa.int64()) for _ in range(3)), pa.nulls(n, pa.binary())], names=names)
 
     def pair_rows(chunk_id: int, chunk: Chunk) -> Iterator[pa.RecordBatch]:
