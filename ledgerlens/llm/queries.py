@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontaminate import benchmark_hits, contaminated
 from .html_text import extract
+from .jaccard_join import jaccard_components
 from .language_id import language_id
 from .mixing import mix_sources
 from . import quality_fm
+from .prefix_trie import conversation_trie
 from .simhash_dedup import near_duplicates
 from .suffix_dedup import repeat_report
 from .token_alignment import alignment
@@ -105,6 +107,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), percent=80, width=5)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
                      tokenizer_path("piece_bpe_32k.model"))
@@ -121,6 +131,8 @@ QUERIES: dict[str, Query] = {
     "op8_html_text": op8_html_text,
     "op9_token_counts": op9_token_counts,
     "op10_quality": op10_quality,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_jaccard": op12_jaccard,
     "op13_token_alignment": op13_token_alignment,
 }
 
@@ -183,4 +195,84 @@ k AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM k WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op3_topk": OP3_SQL, "op6_mixing": OP6_SQL}
+#: Every prefix of every rebuilt conversation by the hash of its turns; a node's subtree by the
+#: path of each node's smallest conversation. CRC-32 bit by bit.
+OP11_SQL = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+i AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+               lambda a, c: list_reduce([xor(a, c)] || range(8),
+                 lambda v, step: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+             4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT i.conv_id, 0 AS part, pos, role, text FROM i JOIN t ON t.conv_id = i.base AND pos <= h
+  UNION ALL
+  SELECT i.conv_id, 1, pos, role, text FROM i JOIN t ON t.conv_id = i.conv_id AND pos > h),
+g AS (
+  SELECT conv_id, text, row_number() OVER w AS d,
+         list(sha256(length(role) || ':' || role || text)) OVER w AS turns
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)),
+path AS (
+  SELECT conv_id, d, md5(array_to_string(turns, ',')) AS k,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM g
+  UNION ALL SELECT conv_id, 0, '', 0 FROM i),
+node AS (SELECT d, k, min(conv_id) AS c, count(*) AS n, any_value(w) AS w FROM path GROUP BY d, k),
+link AS (SELECT node.d, node.k, p.k AS up FROM node JOIN path p ON p.conv_id = node.c AND p.d = node.d - 1),
+child AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM link GROUP BY ALL),
+own AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (d, k)),
+under AS (
+  SELECT p.d, p.k, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum((u.n - 1) * u.w) AS saved_tokens
+  FROM own u JOIN path p ON p.conv_id = u.c AND p.d <= u.d GROUP BY ALL),
+finish AS (
+  SELECT d, k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS last FROM path) WHERE d = last GROUP BY ALL)
+SELECT own.c AS conv_id, CAST(own.d AS BIGINT) AS depth, upper.c AS parent_conv_id,
+       CAST(own.n AS BIGINT) AS n_convs, CAST(own.n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM own JOIN under USING (d, k) LEFT JOIN finish USING (d, k) LEFT JOIN link USING (d, k)
+LEFT JOIN node upper ON upper.d = own.d - 1 AND upper.k = link.up
+"""
+
+#: Pairs of different sets by their common shingles; reachable sets by recursion.
+OP12_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^ 	-]+') AS words
+  FROM documents),
+s AS (
+  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN []
+         ELSE list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
+                                           lambda i: array_to_string(words[i:i + 4], ' '))) END AS sh
+  FROM w),
+d AS (SELECT r, doc_id, len(sh) AS n, md5(array_to_string(list_sort(sh), chr(10))) AS k FROM s),
+one AS (SELECT min(r) AS r, k, any_value(n) AS n FROM d WHERE n > 0 GROUP BY k),
+p AS (SELECT one.r, one.n, unnest(sh) AS t FROM one JOIN s USING (r)),
+often AS (SELECT t FROM p GROUP BY t HAVING count(*) > 1),
+q AS (SELECT r, n, hash(t) AS t FROM p SEMI JOIN often USING (t)),
+pair AS (
+  SELECT a.r AS a, b.r AS b FROM q a JOIN q b
+  ON a.t = b.t AND a.r <> b.r AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.r, a.n, b.r, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(a, b) AS (
+  SELECT r, r FROM one UNION SELECT reach.a, pair.b FROM reach JOIN pair ON pair.a = reach.b),
+least AS (SELECT k, min(doc_id) AS doc_id FROM d WHERE n > 0 GROUP BY k),
+comp AS (
+  SELECT one.k, min(least.doc_id) AS component_id
+  FROM one JOIN reach ON reach.a = one.r JOIN one o ON o.r = reach.b JOIN least ON least.k = o.k GROUP BY one.k)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_shingles,
+       CASE WHEN d.n > 0 THEN component_id ELSE d.doc_id END AS component_id
+FROM d LEFT JOIN comp USING (k)
+"""
+
+ORACLE: dict[str, str] = {"op3_topk": OP3_SQL, "op6_mixing": OP6_SQL, "op11_conversation_trie": OP11_SQL,
+                          "op12_jaccard": OP12_SQL}
