@@ -75,6 +75,57 @@ def row_checks(df: DataFrame, violated: dict) -> DataFrame:
     return counts.select(F.explode(pairs).alias("c")).select("c.check_name", "c.violations")
 
 
+def one_pass_report(tables: dict[str, DataFrame], primary: dict[str, tuple[str, str]],
+                    foreign: dict[str, tuple[str, str, str, str]],
+                    rows: dict[str, tuple[str, object]]) -> DataFrame:
+    """``check_name, violations`` of a whole contract, reading each table once with one shuffle
+    (S7 to S10, X7).
+
+    ``primary`` names key columns (table, column): key values that occur more than once. ``foreign``
+    names references (child, column, parent, column): child rows whose non-NULL key has no
+    parent. ``rows`` names conditions (table, violation) on single rows.
+
+    Every row becomes one row per key column of its table that a check needs, with a 1 in that
+    column's slot; the slots are added up by key value (partially before the shuffle), so a
+    value's number of rows in each column stands in one place. Violations of single rows ride
+    along on a row's first copy."""
+    domain = {}  # columns that are compared share a domain
+    for t, c in primary.values():
+        domain.setdefault((t, c), f"{t}.{c}")
+    for child, c, parent, k in foreign.values():
+        domain.setdefault((parent, k), f"{parent}.{k}")
+    for child, c, parent, k in foreign.values():
+        old, new = domain.get((child, c)), domain[(parent, k)]
+        domain = {x: new if d == old else d for x, d in domain.items()} if old else domain
+        domain[(child, c)] = new
+    slots = {column: f"__s{i}" for i, column in enumerate(domain)}
+    frames = []
+    for name, df in tables.items():
+        mine = [(column, d) for column, d in domain.items() if column[0] == name]
+        flags = {check: cond for check, (t, cond) in rows.items() if t == name}
+        copies = [F.struct(
+            F.lit(d).alias("domain"), F.col(column[1]).cast("string").alias("key"),
+            *[F.lit(int(s == slots[column])).cast("bigint").alias(s) for s in slots.values()],
+            *[(F.when(flags[check], 1).otherwise(0) if i == 0 and check in flags else F.lit(0)).cast("bigint")
+              .alias(f"__r_{check}") for check in rows])
+            for i, (column, d) in enumerate(mine or [((name, next(iter(df.columns))), "")])]
+        frames.append(df.select(F.explode(F.array(*copies)).alias("r")).select("r.*"))
+    counted = [*slots.values(), *[f"__r_{check}" for check in rows]]
+    keys = reduce(DataFrame.unionByName, frames).groupBy("domain", "key").agg(*[F.sum(c).alias(c) for c in counted])
+
+    def of(column):
+        return F.col(slots[column])
+
+    checks = {name: F.count_if(of(column) > 1) for name, column in primary.items()}
+    for name, (child, c, parent, k) in foreign.items():
+        alone = F.col("key").isNotNull() & (of((parent, k)) == 0)
+        checks[name] = F.coalesce(F.sum(F.when(alone, of((child, c)))), F.lit(0))
+    checks |= {name: F.coalesce(F.sum(f"__r_{name}"), F.lit(0)) for name in rows}
+    totals = keys.agg(*[c.cast("bigint").alias(name) for name, c in checks.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations")) for n in checks])
+    return totals.select(F.explode(pairs).alias("c")).select("c.check_name", "c.violations")
+
+
 def contract_report(checks: dict[str, DataFrame], *counted: DataFrame) -> DataFrame:
     """One row per check with its violation count: frames of violations by name, and reports
     of :func:`row_checks`."""

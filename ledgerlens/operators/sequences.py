@@ -1,11 +1,17 @@
-"""Rank, row number, lag and lead inside groups without putting a group in one task.
+"""Rank, row number, lag and lead inside groups without putting a group in one task.
 
 A window ``PARTITION BY key ORDER BY o`` sends every row of a key to one task, so one key
-holding a third of the data is sorted by one task. Here the rows of a key are cut by period
-(the calendar month of the leading order column, or any expression that never falls along the
-order). Windows run inside (key, period); one aggregated row per key and period carries the
-counts and border values, and a window over those few rows stitches the periods together.
-The plan is the same at any size and runs nothing while it is built.
+holding a third of the data is sorted by one task. Here rows that are equal in every column are
+first counted as one (partially, before the shuffle), and the rows of a key are cut by period (the
+day of the leading order column, or any expression that never falls along the order). The rows are
+shuffled once, by key and period; windows run inside a period, and so does the aggregate that
+carries a period's count and its first and last row. A window over these few rows (for days, at
+most as many as the calendar has) stitches the periods together, and a join that needs no
+further shuffle of the rows brings the stitches back. Last, counted rows become rows again. The
+plan is the same at any size and runs nothing while it is built.
+
+So a customer with a third of all rows is spread over the days, and equal rows of one day cost
+one. Different rows of one key and period are sorted by one task.
 
 Rows that tie on the whole order are numbered in an arbitrary order, as ROW_NUMBER does; make
 the order total where that matters. ``rank`` ties on the leading order column only.
@@ -17,9 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def month_of(order_col: str) -> Column:
-    """The default period of a date column."""
-    return F.trunc(F.col(order_col), "MM")
+def day_of(order_col: str) -> Column:
+    """The default period of a date or time column."""
+    return F.to_date(F.col(order_col))
 
 
 def sequence_columns(df: DataFrame, keys: list[str], order: list[str],
@@ -29,36 +35,40 @@ def sequence_columns(df: DataFrame, keys: list[str], order: list[str],
     """Add ``lags`` (new column -> source column, previous row in the key), ``leads`` (next
     row), ``row_number`` and ``rank`` (1-based position in the key, by the whole order and by
     the leading order column)."""
-    lags, leads = lags or {}, leads or {}
-    cut = df.withColumn("__period", month_of(order[0]) if period is None else period)
-    sources = sorted({*lags.values(), *leads.values()})
-    place = F.struct(*order)
-    borders = cut.groupBy(*keys, "__period").agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.min_by(c, place).alias(f"__head_{c}") for c in sources],
-        *[F.max_by(c, place).alias(f"__tail_{c}") for c in sources])
-    along = Window.partitionBy(*keys).orderBy("__period")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    borders = borders.select(
-        *[F.col(k).alias(f"__key_{k}") for k in keys], F.col("__period").alias("__key_period"),
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
-        *[F.lag(f"__tail_{c}").over(along).alias(f"__prev_{c}") for c in sources],
-        *[F.lead(f"__head_{c}").over(along).alias(f"__next_{c}") for c in sources])
-    same = F.col("__period").eqNullSafe(F.col("__key_period"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
-    out = cut.join(borders, same)
-    inside = Window.partitionBy(*keys, "__period").orderBy(*order)
-    first = F.lag(F.lit(True)).over(inside).isNull()
-    last = F.lead(F.lit(True)).over(inside).isNull()
-    columns = {name: F.when(first, F.col(f"__prev_{c}")).otherwise(F.lag(c).over(inside))
-               for name, c in lags.items()}
-    columns |= {name: F.when(last, F.col(f"__next_{c}")).otherwise(F.lead(c).over(inside))
-                for name, c in leads.items()}
+    lags, leads, columns = lags or {}, leads or {}, df.columns
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    # a struct compares its fields null-safely, so shuffle, windows and join agree on it
+    at = F.struct(*keys, (day_of(order[0]) if period is None else period).alias("__period"))
+    cut = counted.withColumn("__at", at).repartition("__at")
+
+    place, whole = F.struct(*order), F.struct(*columns)
+    borders = cut.groupBy("__at").agg(
+        F.sum("__n").alias("__in"), F.min_by(whole, place).alias("__head"), F.max_by(whole, place).alias("__tail"))
+    along = Window.partitionBy(*[f"__at.{k}" for k in keys]).orderBy("__at.__period")
+    stitches = borders.select(
+        F.col("__at").alias("__key"),
+        F.coalesce(F.sum("__in").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.lag("__tail").over(along).alias("__prev"), F.lead("__head").over(along).alias("__next"))
+    out = cut.join(stitches, F.col("__at") == F.col("__key"))
+
+    inside = Window.partitionBy("__at").orderBy(*order)
+    earlier = F.coalesce(F.sum("__n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    edge = {"__first": F.lag(F.lit(True)).over(inside).isNull(), "__last": F.lead(F.lit(True)).over(inside).isNull()}
+    out = out.withColumns({
+        "__start": F.col("__before") + earlier, **edge,
+        **{f"__lag_{n}": F.lag(c).over(inside) for n, c in lags.items()},
+        **{f"__lead_{n}": F.lead(c).over(inside) for n, c in leads.items()}})
+    if rank:
+        ties = Window.partitionBy("__at", order[0])
+        out = out.withColumn("__rank", F.min("__start").over(ties) + 1)
+    out = out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n"))))
+    again, more = F.col("__copy") > 1, F.col("__copy") < F.col("__n")
+    made = {n: F.when(again, F.col(c)).when(F.col("__first"), F.col("__prev")[c]).otherwise(F.col(f"__lag_{n}"))
+            for n, c in lags.items()}
+    made |= {n: F.when(more, F.col(c)).when(F.col("__last"), F.col("__next")[c]).otherwise(F.col(f"__lead_{n}"))
+             for n, c in leads.items()}
     if row_number:
-        columns[row_number] = (F.col("__before") + F.row_number().over(inside)).cast("bigint")
+        made[row_number] = (F.col("__start") + F.col("__copy")).cast("bigint")
     if rank:
-        ties = Window.partitionBy(*keys, "__period").orderBy(order[0])
-        columns[rank] = (F.col("__before") + F.rank().over(ties)).cast("bigint")
-    out = out.withColumns(columns)
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+        made[rank] = F.col("__rank").cast("bigint")
+    return out.select(*columns, *[c.alias(n) for n, c in made.items()])

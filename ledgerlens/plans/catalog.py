@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.fixtures import Fixtures
 from . import clickstream as cs
@@ -13,11 +14,14 @@ from . import loyalty as ly
 from . import subscriptions as sb
 from . import retail as rt
 from . import delivery as dl
+from . import kept
+from .derived import DerivedStore
 from .oracle import clickstream as o_cs
 from .oracle import loyalty as o_ly
 from .oracle import subscriptions as o_sb
 from .oracle import retail as o_rt
 from .oracle import delivery as o_dl
+from .oracle import kept as o_kept
 
 #: Years whose weeks the yearly impact questions read by range.
 SALES_YEARS = range(2005, 2025)
@@ -189,6 +193,30 @@ def _delivery() -> dict[str, Query]:
     }
 
 
+def _stored() -> dict[str, Query]:
+    """Questions on derived tables that are stored in versions (built when they are not fresh)."""
+    def on(name, ask):
+        return lambda spark, sf_dir: ask(DerivedStore(spark, sf_dir).open(name))
+
+    def in_2020(weeks, ask):
+        first, last = rt.BASELINE_WEEK - weeks, rt.BASELINE_WEEK + weeks - 1
+        year = rt.BASELINE.year
+        return lambda clean: ask(clean.where((F.col("calendar_year") == year) & F.col("week_number").between(first, last)))
+
+    weekly, funnel = "clean_weekly_sales", "product_funnel"
+    return {
+        "stored_impact_4w": on(weekly, in_2020(4, lambda c: rt.impact(c, 4))),
+        "stored_impact_12w": on(weekly, in_2020(12, lambda c: rt.impact(c, 12))),
+        "stored_impact_4w_by_year": on(weekly, lambda c: rt.impact_by_year(c, 4)),
+        "stored_impact_12w_by_year": on(weekly, lambda c: rt.impact_by_year(c, 12)),
+        "stored_impact_by_dimension": on(weekly, rt.impact_by_dimension),
+        "stored_category_funnel": on(funnel, cs.category_funnel),
+        "stored_funnel_leaders": on(funnel, cs.funnel_leaders),
+        "stored_campaign_scorecard": on("campaign_summary", cs.campaign_scorecard),
+        "stored_subs_revenue_growth": on("payments", sb.revenue_growth),
+    }
+
+
 def _wrap(builders: dict) -> dict[str, Query]:
     return {k: (lambda spark, sf_dir, _b=b: _b(_fx(spark, sf_dir))) for k, b in builders.items()}
 
@@ -202,3 +230,13 @@ for _builders, _oracle in [(_click(), o_cs.ORACLE), (_loyalty(), o_ly.ORACLE),
                           (_delivery(), o_dl.ORACLE)]:
     QUERIES.update(_wrap(_builders))
     ORACLE.update(_oracle)
+
+#: Questions that a stored table answers as the plan over the base tables does.
+STORED = _stored()
+QUERIES.update(STORED)
+ORACLE.update({k: ORACLE[k.removeprefix("stored_")] for k in STORED})
+
+#: Tables that are kept current, loads and logs: these write to the shared folder.
+KEPT = kept.QUERIES
+QUERIES.update(KEPT)
+ORACLE.update({k: ORACLE[o_kept.SAME[k]] if k in o_kept.SAME else o_kept.ORACLE[k] for k in KEPT})

@@ -287,22 +287,18 @@ def ratings_contract(ratings, runs, runners, items):
     """Checks of the ratings table contract (key, not-null, references, 1..5), of the keys
     declared on its parents, and of rules that the delivery data breaks: cancelled runs have
     neither a pickup time nor a rating, an order has several items, some runs take long."""
-    return Q.contract_report({
-        "pk_ratings_order_id": Q.duplicate_keys(ratings, ["order_id"]),
-        "pk_runs_order_id": Q.duplicate_keys(runs, ["order_id"]),
-        "pk_runners_runner_id": Q.duplicate_keys(runners, ["runner_id"]),
-        "pk_items_order_id": Q.duplicate_keys(items, ["order_id"]),
-        "fk_ratings_runs": Q.orphans(ratings, runs, "order_id", "order_id"),
-        "fk_ratings_runners": Q.orphans(ratings, runners, "runner_id", "runner_id"),
-        "fk_runs_ratings": Q.orphans(runs, ratings, "order_id", "order_id"),
-    }, Q.row_checks(ratings, {
-        "not_null_ratings": Q.any_null(["order_id", "runner_id", "customer_id"]),
-        "chk_ratings_rating": Q.outside("rating", 1, 5),
-    }), Q.row_checks(runs, {
-        "not_null_runs_order_id": Q.any_null(["order_id"]),
-        "not_null_runs_pickup_time": Q.any_null(["pickup_time"]),
-        "chk_runs_duration": Q.outside("duration", 1, 30),
-    }))
+    return Q.one_pass_report(
+        {"ratings": ratings, "runs": runs, "runners": runners, "items": items},
+        primary={"pk_ratings_order_id": ("ratings", "order_id"), "pk_runs_order_id": ("runs", "order_id"),
+                 "pk_runners_runner_id": ("runners", "runner_id"), "pk_items_order_id": ("items", "order_id")},
+        foreign={"fk_ratings_runs": ("ratings", "order_id", "runs", "order_id"),
+                 "fk_ratings_runners": ("ratings", "runner_id", "runners", "runner_id"),
+                 "fk_runs_ratings": ("runs", "order_id", "ratings", "order_id")},
+        rows={"not_null_ratings": ("ratings", Q.any_null(["order_id", "runner_id", "customer_id"])),
+              "chk_ratings_rating": ("ratings", Q.outside("rating", 1, 5)),
+              "not_null_runs_order_id": ("runs", Q.any_null(["order_id"])),
+              "not_null_runs_pickup_time": ("runs", Q.any_null(["pickup_time"])),
+              "chk_runs_duration": ("runs", Q.outside("duration", 1, 30))})
 
 
 def rating_rules():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings that make the plans below behave well at any scale: AQE re-plans
@@ -32,9 +34,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``. There is no fallback: a
-    machine-local folder would not survive the loss of an executor."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``. Where it names none, a local
+    session gets a folder of its own for as long as it lives; on a cluster that is an error, since
+    a machine-local folder would not survive the loss of an executor."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    return folder
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="ledgerlens-")
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")

@@ -54,6 +54,8 @@ SUBSCRIPTION_EPOCH = dt.date(1995, 1, 1)
 SUBSCRIPTION_START = dt.date(2020, 1, 1)
 RETAIL_SHIFT_DAYS = 7308            # 1044 weeks: Mondays stay Mondays, 1995 -> 2015
 WEEKLY_KEYS = ("wk", "region", "platform", "segment", "customer_type")
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderpriority")
+LINE_COLUMNS = ("l_orderkey", "l_extendedprice", "l_returnflag", "l_shipdate")
 RUNNER_COUNT = 10
 RUNNER_ANCHOR = dt.date(2021, 1, 1)
 
@@ -288,19 +290,29 @@ class Fixtures:
 
     def weekly_parts(self, li: DataFrame) -> DataFrame:
         """Weekly sums of any part of the line items; sums of parts add up."""
-        o = self.src.read("orders", "o_orderkey", "o_custkey", "o_orderpriority")
+        o = self.src.read("orders", *ORDER_COLUMNS)
+        # Resolve each order's region and segment on the order side first, so
+        # the line items (the largest table) are shuffled once, on the order key.
+        order_attrs = self.with_places(o, "inner")
+        return self.weekly_sums(li.join(order_attrs, li.l_orderkey == order_attrs.o_orderkey))
+
+    def with_places(self, orders: DataFrame, how: str) -> DataFrame:
+        """Orders, or rows with the columns of one, with the region (``r_name``) and the segment
+        of their customer."""
         c = self.src.read("customer", "c_custkey", "c_nationkey", "c_mktsegment")
         n = self.src.read("nation", "n_nationkey", "n_regionkey")
         r = self.src.read("region", "r_regionkey", "r_name")
-        # Resolve each order's region and segment on the order side first, so
-        # the line items (the largest table) are shuffled once, on the order key.
         geo = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
-        order_attrs = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
-                       .join(geo, F.col("c_nationkey") == F.col("n_nationkey")))
-        j = li.join(order_attrs, li.l_orderkey == order_attrs.o_orderkey)
+        places = c.join(geo, F.col("c_nationkey") == F.col("n_nationkey")) \
+            .select("c_custkey", "c_mktsegment", "r_name")
+        return orders.join(places, F.col("o_custkey") == F.col("c_custkey"), how)
+
+    @staticmethod
+    def weekly_sums(placed: DataFrame) -> DataFrame:
+        """Weekly sums of line items that have their order, region and segment."""
         ship = F.to_date("l_shipdate")
         monday = F.date_sub(ship, (F.dayofweek(ship) + 5) % 7)     # Sunday=1 .. Saturday=7
-        keyed = j.select(
+        keyed = placed.select(
             F.date_add(monday, RETAIL_SHIFT_DAYS).alias("wk"),
             F.col("r_name").alias("region"),
             F.when(F.col("l_returnflag") == "R", F.lit("Shopify")).otherwise(F.lit("Retail"))

@@ -50,6 +50,26 @@ def load_checked(df: DataFrame, path: str, rejected_path: str, schema: T.StructT
     filled with the current time where they are NULL. The input is read once: its marked rows
     are stored, and both tables are appended from there."""
     spark = df.sparkSession
+    held = None
+    if key:
+        try:
+            held = spark.read.parquet(path).select(*key).distinct()
+        except AnalysisException:  # the first load
+            held = None
+    marked = marked_rows(df, schema, rules, key, references, now_columns)
+    kept = stored(with_held(marked, key, held), "load")
+    accepted = kept.where(F.size("broken") == 0).select(*schema.names)
+    rejected = kept.where(F.size("broken") > 0)
+    accepted.write.mode("append").parquet(path)
+    rejected.write.mode("append").parquet(rejected_path)
+    return accepted, rejected
+
+
+def marked_rows(df: DataFrame, schema: T.StructType, rules: dict, key: list[str] | None = None,
+                references: dict[str, tuple[DataFrame, str]] | None = None,
+                now_columns: tuple[str, ...] = ()) -> DataFrame:
+    """Rows in the table's schema with the names of the rules they break (``broken``); ``pk`` if
+    their key occurs more than once among them."""
     for c in now_columns:
         df = Q.with_default_now(df, c)
     marked = conform(df, schema)
@@ -60,20 +80,19 @@ def load_checked(df: DataFrame, path: str, rejected_path: str, schema: T.StructT
         broken[f"fk_{c}"] = F.col(c).isNotNull() & F.col(f"__ref_{c}").isNull()
     if key:
         marked = marked.withColumn("__copies", F.count(F.lit(1)).over(Window.partitionBy(*key)))
-        try:
-            held = spark.read.parquet(path).select(*key).distinct().withColumn("__held", F.lit(True))
-        except AnalysisException:  # the first load
-            marked = marked.withColumn("__held", F.lit(None).cast("boolean"))
-        else:
-            marked = marked.join(held, key, "left")
-        broken["pk"] = (F.col("__copies") > 1) | F.col("__held").isNotNull()
+        broken["pk"] = F.col("__copies") > 1
     names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in broken.items()]))
-    kept = stored(marked.select(*schema.names, names.alias("broken")), "load")
-    accepted = kept.where(F.size("broken") == 0).select(*schema.names)
-    rejected = kept.where(F.size("broken") > 0)
-    accepted.write.mode("append").parquet(path)
-    rejected.write.mode("append").parquet(rejected_path)
-    return accepted, rejected
+    return marked.select(*schema.names, names.alias("broken"))
+
+
+def with_held(marked: DataFrame, key: list[str] | None, held: DataFrame | None) -> DataFrame:
+    """:func:`marked_rows` with ``pk`` also where the key is among ``held`` ones."""
+    if held is None:
+        return marked
+    joined = marked.join(held.withColumn("__held", F.lit(True)), key, "left")
+    twice = F.array_union("broken", F.array(F.lit("pk")))
+    return joined.select(*[c for c in marked.columns if c != "broken"],
+                         F.when(F.col("__held"), twice).otherwise(F.col("broken")).alias("broken"))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

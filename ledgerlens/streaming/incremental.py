@@ -1,14 +1,19 @@
-"""Incremental forms of the batch pipelines.
+"""Incremental forms of the batch pipelines (X1, X2, A3 to A5 kept current).
 
 ``visit_summary_stream`` maintains the per-visit campaign summary as events
 arrive: a stateful streaming aggregation keyed by visit (user and day) and the
 day's end, watermarked so a visit's state is finalised and dropped once its day closes;
 append mode emits each closed visit exactly once. Cart products keep their
 event order by carrying (event_time, event_id) and sorting at emission, which
-is the same order the batch sequence number encodes.
+is the same order the batch sequence number encodes. Visits carry their cookie; the user is looked
+up when they are read (``with_users``), so a user who becomes known after the visit is not lost.
 
-``weekly_sales_refresh`` and ``funnel_refresh`` append one aggregated part per
-micro-batch; readers add the parts up.
+``weekly_sales_refresh`` joins arriving line items to arriving orders, in any order of arrival, and
+merges their weekly sums into the weeks they touch; ``funnel_refresh`` and ``user_days_refresh``
+merge visit pages and bitmaps of users into the days they touch. All three keep their table in
+versions (:mod:`ledgerlens.sources.versions`): a touched partition is written anew in one folder, the
+version is swapped by one log row, and the row names the micro-batch, so a batch that is run again
+counts once and no parts pile up.
 
 ``clean_on_arrival`` applies the batch cleaning projections to a stream of
 raw rows (map-only, no state).
@@ -22,10 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import week_of_year_bucket
+from ..functions import month_name, week_of_year_bucket
 from ..operators.sizing import fixed_dimension
 from ..plans.clickstream import funnel_of, visit_pages
-from ..sources.fixtures import WEEKLY_KEYS, Fixtures, shaped_events
+from ..sources.fixtures import LINE_COLUMNS, ORDER_COLUMNS, WEEKLY_KEYS, Fixtures, shaped_events
+from ..sources.versions import VersionedTable
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -41,11 +47,11 @@ def event_stream(spark: SparkSession, folder: str, max_files: int | None = None)
     return r.parquet(folder)
 
 
-def visit_summary_stream(raw_events: DataFrame, users: DataFrame, pages: DataFrame,
-                         campaigns: DataFrame, lateness: str = "1 hour") -> DataFrame:
+def visit_summary_stream(raw_events: DataFrame, pages: DataFrame, campaigns: DataFrame,
+                         lateness: str = "1 hour") -> DataFrame:
+    """Summaries of closed visits, with their cookie (see :func:`with_users`)."""
     ev = shaped_events(raw_events).where(F.col("event_type").isNotNull())
-    ev = (ev.join(fixed_dimension(pages.select("page_id", "page_name")), "page_id", "left")
-          .join(users.select("cookie_id", F.col("user_id").alias("__user")), "cookie_id"))
+    ev = ev.join(fixed_dimension(pages.select("page_id", "page_name")), "page_id", "left")
     et = F.col("event_type")
 
     def count_of(code):
@@ -58,7 +64,7 @@ def visit_summary_stream(raw_events: DataFrame, users: DataFrame, pages: DataFra
     carted = F.when((et == 2) & F.col("page_name").isNotNull(),
                     F.struct("event_time", "event_id", "page_name"))
     per_visit = (ev.withColumn("day_end", day_end).withWatermark("day_end", lateness)
-                 .groupBy("day_end", "visit_id", F.col("__user").alias("user_id"))
+                 .groupBy("day_end", "visit_id", "cookie_id")
                  .agg(F.min("event_time").alias("visit_start_time"),
                       count_of(1).alias("page_views"), count_of(2).alias("cart_adds"),
                       F.max(F.when(et == 3, 1).otherwise(0)).alias("purchase"),
@@ -66,16 +72,21 @@ def visit_summary_stream(raw_events: DataFrame, users: DataFrame, pages: DataFra
                       F.collect_list(carted).alias("carts")))
     ordered = F.transform(F.array_sort("carts"), lambda s: s["page_name"])
     cart_text = F.when(F.size("carts") > 0, F.array_join(ordered, ", "))
-    summary = per_visit.select("visit_id", "user_id", "visit_start_time", "page_views",
+    summary = per_visit.select("visit_id", "cookie_id", "visit_start_time", "page_views",
                                "cart_adds", "purchase", "impression", "click",
                                cart_text.alias("cart_products"))
     cond = F.col("visit_start_time").between(F.col("start_date"), F.col("end_date"))
     matched = summary.join(fixed_dimension(campaigns.select("campaign_name", "start_date",
                                                             "end_date")), cond, "left")
-    return matched.select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds",
+    return matched.select("cookie_id", "visit_id", "visit_start_time", "page_views", "cart_adds",
                           "purchase", "campaign_name", "impression", "click", "cart_products")
 
 
+def with_users(visits: DataFrame, users: DataFrame) -> DataFrame:
+    """Stored visits with the user of their cookie, as known now."""
+    return visits.join(users.select("cookie_id", "user_id"), "cookie_id").drop("cookie_id")
+
+
 def write_closed_visits(summary_stream: DataFrame, path: str, checkpoint_location: str,
                         available_now: bool = True):
     """Append each closed visit once to a Parquet table partitioned by visit
@@ -88,53 +99,151 @@ def write_closed_visits(summary_stream: DataFrame, path: str, checkpoint_locatio
     return w.start()
 
 
-def append_parts(stream: DataFrame, part_of: Callable[[DataFrame], DataFrame], path: str,
-                 checkpoint_location: str, partition_by: list[str] | None = None):
-    """Keep an aggregate current: each micro-batch is aggregated alone (``part_of``) and written
-    as a part of its own under ``path``. The part of a batch that is run again replaces itself,
-    so every row counts once. Readers add the parts up."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        out = part_of(batch).write.mode("overwrite")
-        (out.partitionBy(*partition_by) if partition_by else out).parquet(f"{path}/part={batch_id}")
+def arrivals(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """Rows arriving as Parquet files in ``folder``, with the time at which their file ``arrived``
+    (the same again if a batch is repeated)."""
+    return spark.readStream.schema(schema).parquet(folder) \
+        .select("*", F.col("_metadata.file_modification_time").alias("arrived"))
+
+
+def lines_with_orders(lines: DataFrame, orders: DataFrame, wait: str = "1 hour") -> DataFrame:
+    """Arriving line items (:func:`arrivals`), each with the columns of its order: an outer join of
+    two streams on the order key and on times of arrival at most ``wait`` apart. Either side waits
+    for the other in the state, which the watermarks of both sides bound; a line whose order does
+    not come in time is emitted without one. An order that comes twice within that time joins once."""
+    apart = F.expr(f"INTERVAL {wait}")
+    left = lines.select(*LINE_COLUMNS, F.col("arrived").alias("l_arrived")).withWatermark("l_arrived", wait)
+    right = (orders.select(*ORDER_COLUMNS, F.col("arrived").alias("o_arrived"))
+             .withWatermark("o_arrived", wait).dropDuplicatesWithinWatermark(["o_orderkey"]))
+    near = (F.col("o_arrived") >= F.col("l_arrived") - apart) & (F.col("o_arrived") <= F.col("l_arrived") + apart)
+    return left.join(right, (F.col("l_orderkey") == F.col("o_orderkey")) & near, "leftOuter") \
+        .select(*LINE_COLUMNS, *ORDER_COLUMNS)
+
+
+def weekly_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, ("calendar_year", "week_number"))
+
+
+def _add_lines(fixtures: Fixtures, table: VersionedTable, fresh: DataFrame | None,
+               held_orders: Callable[[], DataFrame], load: tuple[str, int] | None) -> None:
+    """Count ``fresh`` rows of :func:`lines_with_orders` and the rows that were still waiting; what
+    has no order, or no customer, goes on waiting. Both are part of one version."""
+    version = table.current()
+    if version and load and version.applied.get(load[0], -1) >= load[1]:
+        return
+    orders = held_orders().select(*ORDER_COLUMNS).dropDuplicates(["o_orderkey"])
+    parts, late = [], table.beside("waiting", version)
+    if fresh is not None:
+        parts.append(fresh.where(F.col("o_orderkey").isNotNull()))
+        alone = fresh.where(F.col("o_orderkey").isNull()).select(*LINE_COLUMNS)
+        late = alone if late is None else late.unionByName(alone)
+    if late is not None:
+        parts.append(late.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    placed = table.staged(fixtures.with_places(rows, "left"))
+    whole = F.col("o_orderkey").isNotNull() & F.col("r_name").isNotNull()
+    sums = fixtures.weekly_sums(placed.where(whole)).withColumns(
+        {"calendar_year": F.year("wk"), "week_number": week_of_year_bucket(F.col("wk"))})
+    table.merge(sums, _weeks_together, load, {"waiting": placed.where(~whole).select(*LINE_COLUMNS)})
+
+
+def _weeks_together(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*WEEKLY_KEYS, "calendar_year", "week_number").agg(
+        F.sum("transactions").alias("transactions"), F.sum("sales").alias("sales"))
+
+
+def weekly_sales_refresh(fixtures: Fixtures, lines: DataFrame, orders: DataFrame, path: str,
+                         checkpoint_location: str, held_orders: Callable[[], DataFrame],
+                         wait: str = "1 hour"):
+    """Keep the weekly sales current from arriving line items and orders, in any order of arrival.
+
+    Most lines meet their order in the join of the streams. The others are stored beside the
+    table and tried again, with every later batch and by :func:`settle_weekly_sales`, against
+    the orders stored by then (``held_orders``). So a line counts once, whenever its order comes."""
+    table = weekly_table(fixtures.spark, path)
 
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
-            .trigger(availableNow=True).start())
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _add_lines(fixtures, table, batch, held_orders, ("lines", batch_id))
 
+    return (lines_with_orders(lines, orders, wait).writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
 
-def weekly_sales_refresh(fixtures: Fixtures, new_lines: DataFrame, path: str, checkpoint_location: str):
-    """Add arriving line items to the stored weekly sales, partitioned by year and week."""
-    def part(lines: DataFrame) -> DataFrame:
-        return fixtures.weekly_parts(lines).withColumns(
-            {"calendar_year": F.year("wk"), "week_number": week_of_year_bucket(F.col("wk"))})
 
-    return append_parts(new_lines, part, path, checkpoint_location, ["calendar_year", "week_number"])
+def settle_weekly_sales(fixtures: Fixtures, path: str, held_orders: Callable[[], DataFrame]) -> int:
+    """Try the waiting line items again; the number that still waits."""
+    table = weekly_table(fixtures.spark, path)
+    if table.beside("waiting") is None:
+        return 0
+    _add_lines(fixtures, table, None, held_orders, None)
+    return table.beside("waiting").count()
 
 
 def read_weekly_sales(spark: SparkSession, path: str, weeks: tuple[int, int] | None = None) -> DataFrame:
-    """Weekly sales, in the shape of the raw table, from their parts; ``weeks`` (first, last)
-    prunes the partitions to those weeks of every year."""
-    parts = spark.read.parquet(path)
+    """The weekly sales in the shape of the raw table; ``weeks`` (first, last) prunes the
+    partitions to those weeks of every year."""
+    held = weekly_table(spark, path).read()
     if weeks:
-        parts = parts.where(F.col("week_number").between(*weeks))
-    sums = parts.groupBy(*WEEKLY_KEYS).agg(F.sum("transactions").alias("transactions"),
-                                           F.sum("sales").alias("sales"))
-    return Fixtures.weekly_rows(sums)
+        held = held.where(F.col("week_number").between(*weeks))
+    return Fixtures.weekly_rows(held.select(*WEEKLY_KEYS, "transactions", "sales"))
+
+
+def _merged_days(stream: DataFrame, path: str, checkpoint_location: str,
+                 part_of: Callable[[DataFrame], DataFrame], together: Callable[[DataFrame], DataFrame],
+                 partition: str):
+    """Merge what ``part_of`` makes of each micro-batch into the partitions it touches."""
+    table = VersionedTable(stream.sparkSession, path, (partition,))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.merge(part_of(batch), together, ("batch", batch_id))
+
+    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_location)
+            .trigger(availableNow=True).start())
 
 
 def funnel_refresh(new_events: DataFrame, path: str, checkpoint_location: str):
-    """Add arriving raw events to the stored visit pages of the funnels."""
+    """Merge arriving raw events into the stored visit pages of the funnels, by visit day."""
     def part(raw: DataFrame) -> DataFrame:
-        return visit_pages(shaped_events(raw).where(F.col("event_type").isNotNull()))
+        events = shaped_events(raw).where(F.col("event_type").isNotNull())
+        return visit_pages(events).withColumn(
+            "visit_day", F.date_format(F.to_date(F.substring_index("visit_id", "-", -1), "yyyyMMdd"), "yyyy-MM-dd"))
 
-    return append_parts(new_events, part, path, checkpoint_location)
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("visit_id", "page_id", "visit_day").agg(
+            F.sum("views").alias("views"), F.sum("carts").alias("carts"), F.max("purchased").alias("purchased"))
+
+    return _merged_days(new_events, path, checkpoint_location, part, together, "visit_day")
 
 
 def read_funnel(spark: SparkSession, path: str, pages: DataFrame) -> DataFrame:
-    """The product funnel from the stored visit pages: a visit may be spread over parts."""
-    parts = spark.read.parquet(path)
-    together = parts.groupBy("visit_id", "page_id").agg(
-        F.sum("views").alias("views"), F.sum("carts").alias("carts"), F.max("purchased").alias("purchased"))
-    return funnel_of(together, pages)
+    """The product funnel from the stored visit pages."""
+    return funnel_of(VersionedTable(spark, path, ("visit_day",)).read(), pages)
+
+
+def user_days_refresh(new_events: DataFrame, path: str, checkpoint_location: str):
+    """Keep the users of each day as bitmaps: a bit for each user id, in pieces of 32,768 ids.
+    Bitmaps of batches are or-ed, so distinct counts stay exact without the raw events, however
+    often a user returns."""
+    def part(raw: DataFrame) -> DataFrame:
+        seen = raw.where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+        return seen.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"),
+                            F.bitmap_bucket_number("user_id").alias("piece")) \
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("users"))
+
+    def together(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("day", "piece").agg(F.bitmap_or_agg("users").alias("users"))
+
+    return _merged_days(new_events, path, checkpoint_location, part, together, "day")
+
+
+def monthly_visitors(spark: SparkSession, path: str) -> DataFrame:
+    """``month``, ``visit_count`` (user days) and ``user_count`` (distinct users of the month, of any
+    year) from the stored bitmaps."""
+    held = VersionedTable(spark, path, ("day",)).read().withColumn("day", F.to_date("day"))
+    pieces = held.groupBy(F.month("day").alias("month_number"), month_name("day").alias("month"), "piece").agg(
+        F.sum(F.bitmap_count("users")).alias("visits"), F.bitmap_or_agg("users").alias("users"))
+    return pieces.groupBy("month_number", "month").agg(
+        F.sum("visits").alias("visit_count"), F.sum(F.bitmap_count("users")).alias("user_count")) \
+        .orderBy("month_number").select("month", "visit_count", "user_count")
 
 
 def clean_on_arrival(raw_stream: DataFrame, cleaner: Callable[[DataFrame], DataFrame]) -> DataFrame:

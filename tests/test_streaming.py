@@ -10,9 +10,10 @@ from ledgerlens.plans import clickstream as cs
 from ledgerlens.plans import delivery as dl
 from ledgerlens.sources.fixtures import Fixtures
 from ledgerlens.plans.catalog import QUERIES
-from ledgerlens.streaming import (clean_on_arrival, event_stream, funnel_refresh, read_funnel,
-                                  read_weekly_sales, visit_summary_stream, weekly_sales_refresh,
-                                  write_closed_visits)
+from ledgerlens.sources.versions import VersionedTable
+from ledgerlens.streaming import (arrivals, clean_on_arrival, event_stream, funnel_refresh, monthly_visitors,
+                                  read_funnel, read_weekly_sales, settle_weekly_sales, user_days_refresh,
+                                  visit_summary_stream, weekly_sales_refresh, with_users, write_closed_visits)
 
 
 def test_visit_summary_stream_matches_batch_for_closed_visits(spark):
@@ -24,13 +25,13 @@ def test_visit_summary_stream_matches_batch_for_closed_visits(spark):
     day = F.dayofmonth("ts")
     for lo, hi in [(1, 10), (11, 20), (21, 31)]:
         raw.where((day >= lo) & (day <= hi)).write.mode("append").parquet(src)
-    stream = visit_summary_stream(event_stream(spark, src, max_files=1), fx.users,
+    stream = visit_summary_stream(event_stream(spark, src, max_files=1),
                                   fx.page_hierarchy, fx.campaigns)
     q = (stream.writeStream.format("memory").queryName("visit_summary_stream")
          .outputMode("append").option("checkpointLocation", os.path.join(work, "ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    got = spark.table("visit_summary_stream")
+    got = with_users(spark.table("visit_summary_stream"), fx.users)
     batch = cs.campaign_summary(fx.web_events, fx.users, fx.page_hierarchy,
                                 fx.event_identifier, fx.campaigns)
     closed = batch.join(got.select("visit_id"), "visit_id", "left_semi")
@@ -67,8 +68,7 @@ def test_closed_visits_file_sink(spark):
     work = tempfile.mkdtemp(prefix="ll-sink-")
     src = os.path.join(work, "events")
     spark.read.parquet(os.path.join(SMALL_SF, "events.parquet")).write.parquet(src)
-    stream = visit_summary_stream(event_stream(spark, src), fx.users, fx.page_hierarchy,
-                                  fx.campaigns)
+    stream = visit_summary_stream(event_stream(spark, src), fx.page_hierarchy, fx.campaigns)
     out = os.path.join(work, "visits")
     q = write_closed_visits(stream, out, os.path.join(work, "ckpt"))
     q.awaitTermination()
@@ -81,16 +81,86 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+class _Arrivals:
+    """Line items and orders that arrive in folders, and their weekly sales."""
+
+    def __init__(self, spark):
+        self.spark, self.fx, self.work = spark, Fixtures(spark, SMALL_SF), tempfile.mkdtemp(prefix="ll-weekly-")
+        self.tables = {t: spark.read.parquet(os.path.join(SMALL_SF, f"{t}.parquet")) for t in ("lineitem", "orders")}
+        self.out = os.path.join(self.work, "weekly")
+        for t in self.tables:
+            os.makedirs(os.path.join(self.work, t))
+
+    def arrive(self, table, where, minute, rows=None):
+        """Files of ``table`` that arrive ``minute`` minutes after the first ones."""
+        folder = os.path.join(self.work, table)
+        known = set(os.listdir(folder))
+        (self.tables[table] if rows is None else rows).where(where).coalesce(1).write.mode("append").parquet(folder)
+        for name in set(os.listdir(folder)) - known:
+            os.utime(os.path.join(folder, name), (1.7e9 + 60 * minute,) * 2)
+
+    def stream(self, table):
+        return arrivals(self.spark, os.path.join(self.work, table), self.tables[table].schema)
+
+    def held(self):
+        return self.spark.read.schema(self.tables["orders"].schema).parquet(os.path.join(self.work, "orders"))
+
+    def refresh(self, wait):
+        weekly_sales_refresh(self.fx, self.stream("lineitem"), self.stream("orders"), self.out,
+                             os.path.join(self.work, "ckpt"), self.held, wait).awaitTermination()
+
+
 def test_weekly_sales_refresh_equals_batch(spark):
-    fx, work = Fixtures(spark, SMALL_SF), tempfile.mkdtemp(prefix="ll-weekly-")
-    src, out, ckpt = (os.path.join(work, d) for d in ("lines", "parts", "ckpt"))
-    raw = spark.read.parquet(os.path.join(SMALL_SF, "lineitem.parquet"))
-    for k in range(3):  # arrivals, each followed by a refresh
-        raw.where(F.col("l_orderkey") % 3 == k).write.mode("append").parquet(src)
-        weekly_sales_refresh(fx, spark.readStream.schema(raw.schema).parquet(src), out, ckpt).awaitTermination()
-    assert _same(read_weekly_sales(spark, out), fx.weekly_sales_raw)
-    some = read_weekly_sales(spark, out, weeks=(20, 27))
+    """Lines before, with and after their orders meet in the state of the join."""
+    a = _Arrivals(spark)
+    for k in range(3):
+        a.arrive("lineitem", f"l_orderkey % 3 = {k}", 5 * k)
+        a.arrive("orders", f"o_orderkey % 3 = {(k + 1) % 3}", 5 * k)
+        a.refresh("1 hour")
+    assert settle_weekly_sales(a.fx, a.out, a.held) == 0
+    assert _same(read_weekly_sales(spark, a.out), a.fx.weekly_sales_raw)
+    some = read_weekly_sales(spark, a.out, weeks=(20, 27))
     assert "PartitionFilters: [isnotnull(week_number" in some._jdf.queryExecution().executedPlan().toString()
+    # compacted: a week lies in one folder, however many batches touched it
+    paths = VersionedTable(spark, a.out, ("calendar_year", "week_number")).current().paths
+    assert len(paths) == len({p.split("/", 1)[1] for p in paths})
+
+
+def test_lines_whose_orders_come_too_late_for_the_join(spark):
+    """Orders that come an hour before or after their lines, with ten minutes to wait."""
+    a = _Arrivals(spark)
+    a.arrive("lineitem", "l_orderkey % 2 = 0", 0)
+    a.arrive("orders", "o_orderkey % 2 = 1", 0)
+    a.refresh("10 minutes")
+    a.arrive("lineitem", "l_orderkey % 2 = 1", 60)
+    a.arrive("orders", "o_orderkey % 2 = 0", 60)
+    a.refresh("10 minutes")
+    table = VersionedTable(spark, a.out, ("calendar_year", "week_number"))
+    for minute in (120, 180):  # time goes on: rows of other orders
+        for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+            a.arrive(name, "true", minute, a.tables[name].limit(1).withColumn(key, F.lit(-minute).cast("long")))
+        a.refresh("10 minutes")
+    settle_weekly_sales(a.fx, a.out, a.held)
+    got = read_weekly_sales(spark, a.out).agg(F.sum("transactions")).first()[0]
+    assert got == a.tables["lineitem"].count() + 2
+    assert table.beside("waiting").count() == 0
+
+
+def test_a_batch_that_runs_again_counts_once(spark):
+    table = VersionedTable(spark, tempfile.mkdtemp(prefix="ll-again-"), ("day",))
+
+    def together(rows):
+        return rows.groupBy("k", "day").agg(F.sum("n").alias("n"))
+
+    one = spark.createDataFrame([("a", 1, "d1"), ("b", 2, "d2")], "k string, n long, day string")
+    two = spark.createDataFrame([("a", 5, "d1")], "k string, n long, day string")
+    first = table.merge(one, together, ("s", 0))
+    second = table.merge(two, together, ("s", 1))
+    assert table.merge(two, together, ("s", 1)) == table.merge(one, together, ("s", 0)) == second
+    assert sorted(map(tuple, table.read().select("k", "n", "day").collect())) == [("a", 6, "d1"), ("b", 2, "d2")]
+    assert sorted(map(tuple, table.read(first).select("k", "n").collect())) == [("a", 1), ("b", 2)]
+    untouched = [p for p in first.paths if p.endswith("day=d2")]
+    assert untouched and set(untouched) <= set(second.paths)
 
 
 def test_funnel_refresh_equals_batch(spark):
@@ -103,3 +173,18 @@ def test_funnel_refresh_equals_batch(spark):
     funnel = read_funnel(spark, out, fx.page_hierarchy)
     assert _same(funnel, QUERIES["product_funnel"](spark, SMALL_SF))
     assert _same(cs.category_funnel(funnel), QUERIES["category_funnel"](spark, SMALL_SF))
+
+
+def test_monthly_visitors_equal_distinct_counts(spark):
+    work = tempfile.mkdtemp(prefix="ll-users-")
+    src, out, ckpt = (os.path.join(work, d) for d in ("events", "days", "ckpt"))
+    raw = spark.read.parquet(os.path.join(SMALL_SF, "events.parquet"))
+    far = raw.where("event_id % 5 = 0").withColumn("user_id", F.col("user_id") * 40_000 + 2**40)
+    raw = raw.unionByName(far)
+    for k in range(3):
+        raw.where(F.col("event_id") % 3 == k).write.mode("append").parquet(src)
+        user_days_refresh(event_stream(spark, src), out, ckpt).awaitTermination()
+    want = raw.groupBy(F.date_format("ts", "MMMM").alias("month")).agg(
+        F.countDistinct("user_id", F.to_date("ts")).alias("visit_count"),
+        F.countDistinct("user_id").alias("user_count"))
+    assert _same(monthly_visitors(spark, out), want)
