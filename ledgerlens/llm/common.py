@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_folder
+
 #: Bytes of text that a worker holds as numpy arrays at a time.
 CHUNK_BYTES = 1 << 20
 #: Bytes of text of a batch that a worker turns into Python or numpy objects at a time.
@@ -22,17 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the cluster's shared folder (``spark.checkpoint.dir``).
-
-    Where the session names none, as in tests, a temporary folder serves a local
-    master; on a cluster that is an error.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
+    """A new path in the cluster's shared folder."""
+    return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from .common import pieces, stored
 
 #: Bytes of text, and documents, of a chunk at most (a longer text stands alone).
-CHUNK_TEXT = 16 << 20
+CHUNK_TEXT = 8 << 20
 CHUNK_DOCS = 1 << 15
 #: Documents that are split into units together.
 PIECE_DOCS = 1 << 12
 #: Units that a worker's table holds before it is emptied, which happens between chunks.
-MAX_UNITS = 1 << 19
+MAX_UNITS = 1 << 18
 #: Units that are encoded as one text.
 JOINED = 256
 #: Characters of a text that are split into units at a time.
@@ -163,7 +163,7 @@ class Units:
     def numbers(self, units: list[str]) -> np.ndarray:
         """Places of ``units`` in the table; new ones are aligned."""
         known = len(self.index)
-        found = np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+        found = np.fromiter(map(self.index.__getitem__, units), np.int32, len(units))
         if len(self.index) > known:
             from itertools import islice
 
@@ -275,10 +275,10 @@ class Chunk:
                 break
             totals += units.counts[at].sum(axis=0)
             digest.update((";" if held else "").encode() + ";".join([units.groups[k] for k in at.tolist()]).encode())
-            held.append(np.unique(at, return_counts=True) if size > SLICE_CHARS else (at, np.ones(len(at), np.int64)))
+            held.append(np.unique(at, return_counts=True) if size > SLICE_CHARS else (at, np.ones(len(at), np.int32)))
         if not held:
             return [0, 0, 0, 0], ""
-        self.held += [(at, np.full(len(at), number), n) for at, n in held]
+        self.held += [(at, np.full(len(at), number, np.int16), n) for at, n in held]
         self.size += size
         return totals.tolist(), digest.hexdigest()
 
@@ -290,7 +290,11 @@ class Chunk:
         at, doc, times = (np.concatenate(x) for x in zip(*self.held, strict=True))
         n = self.units.counts[at, 3]
         link = np.arange(n.sum()) + np.repeat(self.units.start[at] - np.cumsum(n) + n, n)
-        key, times = _added(self.units.pairs[link] << 15 | np.repeat(doc, n), np.repeat(times, n))
+        key = self.units.pairs[link]
+        del link
+        key <<= 15
+        key |= np.repeat(doc, n)
+        key, times = _added(key, np.repeat(times, n))
         pair, doc = key >> 15, key & (CHUNK_DOCS - 1)
         own = np.flatnonzero(np.diff(pair, prepend=-1))
         links = np.add.reduceat(times, own)
