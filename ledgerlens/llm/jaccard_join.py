@@ -167,8 +167,9 @@ def _documents(docs: DataFrame, width: int, bits: int, id_col: str, text_col: st
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = shingle_set((text.as_py() or "").encode("utf-8", "replace"), width, hashes)
-                row = {"place": chunk_id() % (1 << bits), "chunk": chunk_id(), "doc_id": doc_id, "n": len(found),
-                       "number": -1}
+                # texts pass by the ranges on their way to the chunk, evenly spread over them
+                row = {"place": (task * 7919 + docs_in) % (1 << bits), "chunk": chunk_id(), "doc_id": doc_id,
+                       "n": len(found), "number": -1}
                 if len(found):
                     with np.errstate(over="ignore"):
                         sig = [int(np.add.reduce(mixed(found ^ np.uint64(s))).view(np.int64)) for s in (1, 2)]
