@@ -48,6 +48,29 @@ def with_names(df: DataFrame, ids_col: str, dim: DataFrame, dim_key: str, dim_va
     return df.join(arrays, df[ids_col] == arrays["__list"], "left").drop("__list")
 
 
+def with_all_names(df: DataFrame, lists: dict[str, str], dim: DataFrame, dim_key: str,
+                   dim_value: str) -> DataFrame:
+    """Add the names of several CSV lists at once (``lists``: new column -> list column), as
+    :func:`with_names` does for one. ``df`` is read once: the entries of all its lists are exploded
+    together, looked up in one join and put together again by the row itself, so rows must differ
+    (a frame of distinct combinations)."""
+    def entries(out: str, col: str) -> Column:
+        return F.transform(split_ids(col), lambda x, i: F.struct(F.lit(out).alias("list"), i.alias("pos"), x.alias("id")))
+
+    none = F.array().cast("array<struct<list:string,pos:int,id:bigint>>")
+    every = F.concat(*[F.coalesce(entries(out, c), none) for out, c in lists.items()])
+    names = dim.select(F.col(dim_key).cast("bigint").alias("__id"), F.col(dim_value).alias("__name"))
+    looked = (df.withColumn("__e", F.explode_outer(every))
+              .join(names, F.col("__e.id") == F.col("__id"), "left"))
+    found = F.when(F.col("__e").isNotNull(), F.struct("__e.list", "__e.pos", F.col("__name").alias("name")))
+    rows = looked.groupBy(*df.columns).agg(F.array_sort(F.collect_list(found)).alias("__found"))
+
+    def of(out: str) -> Column:
+        return F.transform(F.filter("__found", lambda s: s["list"] == out), lambda s: s["name"])
+
+    return rows.withColumns({out: F.when(F.col(c).isNotNull(), of(out)) for out, c in lists.items()}).drop("__found")
+
+
 def join_names(names: Column, sep: str = ", ") -> Column:
     """STRING_AGG semantics: NULL elements are skipped and a list with no
     non-NULL element gives NULL (not '')."""

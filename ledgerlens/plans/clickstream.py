@@ -199,7 +199,7 @@ def campaign_summary(events: DataFrame, users: DataFrame, pages: DataFrame,
     per_visit = per_visit.withColumn("cart_products", F.when(F.size("carts") > 0, F.array_join(names, ", ")))
     matched = interval_join(per_visit, "visit_start_time",
                             campaigns.select("campaign_name", "start_date", "end_date"),
-                            "start_date", "end_date", how="left")
+                            "start_date", "end_date", how="left", point_key=["visit_id", "user_id"])
     return matched.select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds",
                           "purchase", "campaign_name", "impression", "click", "cart_products")
 

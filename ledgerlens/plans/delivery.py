@@ -218,14 +218,16 @@ def _back_to_items(items, combos) -> DataFrame:
     return items.join(keys, met).drop(*[f"__{c}" for c in _COMBINATION])
 
 
-def _with_changes(combos, toppings) -> DataFrame:
-    named = L.with_names(combos, "exclusions", toppings, "topping_id", "topping_name", "__excl")
-    return L.with_names(named, "extras", toppings, "topping_id", "topping_name", "__extra")
+_CHANGES = {"__excl": "exclusions", "__extra": "extras"}
+
+
+def _named(combos, toppings, **more) -> DataFrame:
+    return L.with_all_names(combos, {**_CHANGES, **more}, toppings, "topping_id", "topping_name")
 
 
 def item_label(items, item_types, toppings):
     """'Name - Exclude a, b - Extra c' per ordered item."""
-    combos = _with_changes(_combinations(items), toppings).join(fixed_dimension(item_types), "item_type_id")
+    combos = _named(_combinations(items), toppings).join(fixed_dimension(item_types), "item_type_id")
     excl, extra = L.join_names(F.col("__excl")), L.join_names(F.col("__extra"))
     receipt = concat_nullsafe("item_name", F.concat(F.lit(" - Exclude "), excl),
                               F.concat(F.lit(" - Extra "), extra))
@@ -234,26 +236,28 @@ def item_label(items, item_types, toppings):
 
 
 def _final_bags(combos, recipes, toppings) -> DataFrame:
-    """Each combination's ingredient bag (``__atomic``): recipe minus exclusions plus extras."""
-    recipe_names = L.with_names(recipes, "toppings", toppings, "topping_id", "topping_name",
-                                "__recipe").select("item_type_id", "__recipe")
-    j = _with_changes(combos.join(recipe_names, "item_type_id", "left"), toppings)
-    return L.edit_lists(j, F.col("__recipe"), F.col("__excl"), F.col("__extra"), "__atomic") \
-        .drop("__recipe", "__excl", "__extra")
+    """Each combination's ingredient bag (``__atomic``): recipe minus exclusions plus extras. The
+    combinations are worked out once; their three lists are looked up together."""
+    whole = combos.join(fixed_dimension(recipes.select("item_type_id", F.col("toppings").alias("__toppings"))),
+                        "item_type_id", "left")
+    named = _named(whole, toppings, __recipe="__toppings")
+    return L.edit_lists(named, F.col("__recipe"), F.col("__excl"), F.col("__extra"), "__atomic") \
+        .drop("__recipe", "__excl", "__extra", "__toppings")
 
 
 def ingredient_list(items, item_types, recipes, toppings, prefix_all: bool = False):
     """Alphabetical (case-insensitive) ingredient list per item with '2x'
     marks, numbered by a consecutive key over the full row order."""
     labels = L.case_insensitive_sort(L.mark_repeats(F.col("__atomic"), 2, prefix_all))
-    bags = (_final_bags(_combinations(items), recipes, toppings)
+    known = items.join(fixed_dimension(item_types.select("item_type_id")), "item_type_id", "left_semi")
+    bags = (_final_bags(_combinations(known), recipes, toppings)
             .join(fixed_dimension(item_types), "item_type_id")
             .select(*_COMBINATION, F.size("__atomic").alias("__size"),
                     F.concat(F.col("item_name"), F.lit(": "), F.array_join(labels, ", "))
                     .alias("instruction_list")))
     order = [F.col(c).asc_nulls_first() for c in
              ("customer_id", "item_type_id", "exclusions", "extras", "order_time")]
-    keyed = surrogate_key(_back_to_items(items, bags), "order_id", order, "rownum")
+    keyed = _back_to_items(surrogate_key(known, "order_id", order, "rownum"), bags)
     return keyed.where(F.col("__size") > 0).select("rownum", "order_id", "customer_id",
                                                    "instruction_list", "order_time")
 

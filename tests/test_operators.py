@@ -26,6 +26,53 @@ def _ts(s):
     return dt.datetime.fromisoformat(s)
 
 
+def test_intervals_of_any_length(spark):
+    """Days, weeks, years and centuries against all pairs; ten years cost fewer than 30 rows."""
+    import random
+    from ledgerlens.operators.intervals import dealt_intervals
+    rng, day = random.Random(3), dt.datetime(1995, 1, 1)
+    spans = [(f"i{k}", day + dt.timedelta(hours=rng.randrange(9000 * 24)),
+              dt.timedelta(hours=int(24 * 10 ** rng.uniform(-2, 4.6)))) for k in range(150)]
+    rows = [(n, s, s + d) for n, s, d in spans] + [("ten", day, dt.datetime(2004, 12, 31)), ("back", day, day - dt.timedelta(1))]
+    pts = [(k // 2, day + dt.timedelta(hours=rng.randrange(9000 * 24))) for k in range(200)]
+    pts = pts + pts[:5] + [(900, None), (901, dt.datetime(1901, 1, 1)), (901, dt.datetime(1901, 1, 1))]
+    iv = spark.createDataFrame(rows, "name string, s timestamp_ntz, e timestamp_ntz")
+    points = spark.createDataFrame(pts, "pid int, t timestamp_ntz")
+    assert dealt_intervals(iv.where("name = 'ten'"), "s", "e").count() < 30
+    assert dealt_intervals(iv, "s", "e").groupBy("name").count().agg(F.max("count")).first()[0] <= 17
+    inside = sorted((p, t, n) for p, t in pts for n, s, e in rows if t and s <= t <= e)
+    got = interval_join(points, "t", iv, "s", "e", "inner").select("pid", "t", "name").collect()
+    assert sorted(map(tuple, got)) == inside
+    left = interval_join(points, "t", iv, "s", "e").select("pid", "t", "name").collect()
+    alone = [(p, t, None) for p, t in pts if not any(t and s <= t <= e for _, s, e in rows)]
+    assert sorted(map(tuple, left), key=str) == sorted(inside + alone, key=str)
+
+
+def test_spread_ids_need_no_wide_window(spark):
+    """Keys by hashed 64-bit ids: one bucket per row, and no level over 65,536 of them."""
+    df = spark.range(20_000).select(F.xxhash64("id").alias("v"), "id")
+    rows = sorted((r["k"], r["v"]) for r in surrogate_key(df, "v", [F.col("id")], "k").collect())
+    assert [k for k, _ in rows] == list(range(1, 20_001)) and [v for _, v in rows] == sorted(v for _, v in rows)
+    plan = surrogate_key(df, "v", [F.col("id")], "k")._jdf.queryExecution().optimizedPlan().toString()
+    alone = [line for line in plan.splitlines() if "Window [" in line and "], [" not in line]
+    for line in alone:  # windows without partition: over the last 16 bits that are left
+        assert "__at" in line, line
+
+
+def test_running_totals_by_keys(spark):
+    from ledgerlens.operators.scan import totals_before
+    rows = [(k, p, (p or 0) % 97 + 1) for k in (None, 1, 2) for p in (None, -2**62, -70_000, -1, 0, 5, 65_535, 65_536, 2**40, 2**62)]
+    df = spark.createDataFrame(rows, "k int, p long, n long")
+    got = totals_before(df, ["k"], "p", {"before": ("sum", "n"), "x": ("xor", "n")}).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        less = [n for k, p, n in rows if k == r["k"] and r["p"] is not None and (p is None or p < r["p"])]
+        xor = 0
+        for n in less:
+            xor ^= n
+        assert (r["before"], r["x"]) == (sum(less), xor), r
+
+
 def test_interval_join(spark):
     pts = spark.createDataFrame(
         [(1, _ts("2024-01-01 00:00:00")), (2, _ts("2024-01-10 00:00:00")),

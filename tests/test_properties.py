@@ -225,6 +225,18 @@ def test_impact_keys_push_ship_dates(spark):
         assert pushed and "GreaterThanOrEqual(l_shipdate" in pushed[0], plan
 
 
+@pytest.mark.parametrize("key,reads", [("order_item_label", 2), ("order_ingredient_list", 3), ("ingredient_totals", 1),
+                                       ("retail_missing_weeks_by_year", 1), ("ratings_contract", 1)])
+def test_line_items_are_read_few_times(spark, key, reads):
+    plan = QUERIES[key](spark, SMALL_SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[.*l_orderkey", plan)) == reads, plan
+
+
+def test_the_contract_reads_orders_once_per_table(spark):
+    plan = QUERIES["ratings_contract"](spark, SMALL_SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[.*o_orderkey", plan)) <= 4, plan
+
+
 def test_no_job_runs_while_a_plan_is_built(spark, monkeypatch):
     """Only file footers are read for their schema; no key asks for rows, but for those that keep
     a stored table current before they read it."""
