@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
+def sheltered(docs: DataFrame, *own: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns other than ``own`` under names that clash with nothing and need no
+    quotes, and a function that gives a result its columns back."""
+    names = [c if c in own else f"__column{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda out: out.select(*names).toDF(*docs.columns)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage and
     survives the loss of executors."""

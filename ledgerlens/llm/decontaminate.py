@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, RollingHash, mixed, pieces, row_chunks, utf8_buffer
+from .common import CHUNK_BYTES, RollingHash, mixed, pieces, row_chunks, sheltered, utf8_buffer
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -250,12 +250,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
                   share: int = 20, **columns) -> DataFrame:
     """``docs`` without contaminated documents (``mode="documents"``) or with the hit spans
     of contaminated documents removed (``mode="spans"``)."""
+    docs, back = sheltered(docs, columns.get("id_col", "doc_id"), columns.get("text_col", "text"))
     rows, bad = benchmark_hits(docs, benchmark, n, prefix="__", **columns), _rule("__", share)
     if mode == "documents":
-        return rows.where(~bad).select(*docs.columns)
+        return back(rows.where(~bad))
     if mode != "spans":
         raise ValueError(f"mode {mode!r}: documents or spans")
     text = F.col(columns.get("text_col", "text"))
     cut = F.pandas_udf(_cut, "string")(text, F.col("__hit_ranges"))
-    return rows.withColumn(columns.get("text_col", "text"), F.when(bad, cut).otherwise(text)) \
-        .select(*docs.columns)
+    return back(rows.withColumn(columns.get("text_col", "text"), F.when(bad, cut).otherwise(text)))

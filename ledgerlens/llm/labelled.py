@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, seed: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``text, label`` of the ``max_rows`` labelled ids that come first by a seeded hash; of an
-    id's texts the first by such a hash, so that there are at most ``max_rows`` rows.
+    id's texts the first by such a hash, so that there are at most ``max_rows`` rows. An id with
+    labels 0 and 1 has label 1; other columns of either table, whatever their names, are ignored.
 
     The ids are broadcast, so only their texts are shuffled, one per id and task.
     """
     ids = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
            .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("label"))
            .orderBy(F.xxhash64(F.lit(seed), "__id"), "__id").limit(max_rows))
-    rows = docs.join(F.broadcast(ids), F.col(id_col) == F.col("__id")).select(
-        "__id", F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), "label")
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("__text"))
+    rows = texts.join(F.broadcast(ids), F.col("__doc") == F.col("__id")).select(
+        "__id", F.coalesce("__text", F.lit("")).alias("text"), "label")
     first = F.min(F.struct(F.xxhash64(F.lit(seed), "text"), "text"))
     return rows.groupBy("__id", "label").agg(first["text"].alias("text")).select("text", "label")
 

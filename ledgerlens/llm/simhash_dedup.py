@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import sheltered, stored
 from .graph import connected_components
 
 #: Shingles whose bits are counted at a time.
@@ -185,11 +185,12 @@ def keep_one(docs: DataFrame, radius: int = 2, words: int = 3, seed: int = 42,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one of the smallest id (null ids last), and
     of the smallest hash of the text if ids repeat."""
+    docs, back = sheltered(docs, id_col, text_col)
     prints = stored(fingerprints(docs, words, seed, id_col, text_col), "fingerprints")
     kept = _components(prints, radius).select("first.doc_id", "first.text_hash").distinct() \
         .select(F.col("doc_id").alias("__kept"), F.col("text_hash").alias("__kept_hash"))
     rows = docs.withColumn("__hash", F.xxhash64(F.col(text_col).cast("string")))
     met = F.col(id_col).eqNullSafe(F.col("__kept")) & (F.col("__hash") == F.col("__kept_hash"))
     same = Window.partitionBy(id_col, "__hash").orderBy(F.lit(1))  # rows equal in id and text
-    return (rows.join(kept, met, "left_semi").withColumn("__n", F.row_number().over(same))
-            .where(F.col("__n") == 1).select(*docs.columns))
+    return back(rows.join(kept, met, "left_semi").withColumn("__n", F.row_number().over(same))
+                .where(F.col("__n") == 1))

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, RollingHash, mixed, pieces, shared_path, utf8_buffer
+from .common import CHUNK_BYTES, RollingHash, mixed, pieces, shared_path, sheltered, utf8_buffer
 
 #: Bytes of the strings whose hash picks and orders the suffixes.
 K = 32
@@ -423,6 +423,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, batches: int = 4, id_col:
                    text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated bytes taken out of the text. Bytes of a character that was
     cut through go as well; a null text stays null."""
+    docs, back = sheltered(docs, id_col, text_col)
     out = _deduplicated(docs.withColumn("__null", F.col(text_col).isNull()), length, batches,
                         id_col, text_col, True)
-    return out.withColumn(text_col, F.when(~F.col("__null"), F.col("__text"))).select(*docs.columns)
+    return back(out.withColumn(text_col, F.when(~F.col("__null"), F.col("__text"))))

@@ -2,7 +2,8 @@ import pytest
 
 SMALL_SF = "/root/testdata/sf0.001"
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, n_bytes string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, n_bytes string, \
+label int, __id string, __hash string, __text string, `a.b` string"
 
 
 @pytest.fixture(scope="session")
@@ -15,7 +16,7 @@ def messy(spark):
             (5, plain, "en", "b"), (6, long, "en", "b"), (7, "Ünïcödé ßtraße 漢字 😀 " * 5, "de", None),
             (8, "one", "fr", "a"), (8, "one", "fr", "a"), (None, plain, None, "c"), (9, "12 34 !!", "es", "c"),
             (10, plain.upper(), "en", "c"), (11, "x" * 5000, "en", "a")]
-    return spark.createDataFrame([(*r, 0, "s", "b") for r in rows], DOCS).cache()
+    return spark.createDataFrame([(*r, 0, "s", "b", 7, "i", "h", "t", "d") for r in rows], DOCS).cache()
 
 
 @pytest.fixture(scope="session")
