@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import stored, table
+from ledgerlens.llm.common import sheltered, stored, table
 from ledgerlens.llm.decontaminate import decontaminate
 from ledgerlens.llm.mixing import mix_sources
 from ledgerlens.llm.queries import learnable_labels
@@ -24,7 +24,8 @@ TOXIC_SCORE = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar does not reject."""
     model = learnt_from(docs, learnable_labels(spark, sf_dir))
-    return toxicity(docs, *model, extra=True).where(F.col("__score") < TOXIC_SCORE).select(*docs.columns)
+    rows, back = sheltered(docs, "doc_id", "text")
+    return back(toxicity(rows, *model, extra=True).where(F.col("__score") < TOXIC_SCORE))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
