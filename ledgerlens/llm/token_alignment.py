@@ -86,6 +86,16 @@ class Tokenizers:
         self.written = [f"{i}{sign}" for i in range(most) for sign in ",|;"]
         self.splits = not any("▁" in p.lstrip("▁") for p in names) and self._joins(["a", "b", "c1"])
 
+    @staticmethod
+    def held(path_a: str, path_b: str) -> Tokenizers:
+        """The tokenizers of these files, loaded once for a worker process: it runs many tasks."""
+        import sys
+
+        loaded = sys.modules.setdefault("ledgerlens_loaded_tokenizers", {})
+        if (path_a, path_b) not in loaded:
+            loaded[path_a, path_b] = Tokenizers(path_a, path_b)
+        return loaded[path_a, path_b]
+
     def _joins(self, parts: list[str]) -> bool:
         """Whether B gives the parts of a text the same pieces alone and together."""
         return self.b.encode(" ".join(parts)) == sum(map(self.b.encode, parts), [])
@@ -401,7 +411,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
         units = chunk = None
         for batch in (p.slice(k, PIECE_DOCS) for p in pieces(batches, 1) for k in range(0, len(p), PIECE_DOCS)):
             if units is None:
-                units = Units(Tokenizers(path_a, path_b))
+                units = Units(Tokenizers.held(path_a, path_b))
             if chunk is None:
                 chunk = Chunk(units)
             first, made = chunk.docs, chunk.add(batch.column(1).to_pylist())
