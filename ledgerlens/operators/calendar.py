@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def series(spark: SparkSession, lo: int, hi: int, name: str = "n") -> DataFrame:
-    """Integers ``lo..hi`` inclusive, generated in parallel by ``spark.range``."""
-    return spark.range(lo, hi + 1).select(F.col("id").cast("int").alias(name))
+def series(spark: SparkSession, lo: int, hi: int, name: str = "n", kind: str = "int") -> DataFrame:
+    """Whole numbers ``lo..hi`` inclusive, generated in parallel by ``spark.range``."""
+    return spark.range(lo, hi + 1).select(F.col("id").cast(kind).alias(name))
 
 
 def gaps(spark: SparkSession, present: DataFrame, col: str, lo: int, hi: int,
-         name: str) -> DataFrame:
+         name: str, kind: str = "int") -> DataFrame:
     """Values of ``lo..hi`` that never occur in ``present[col]`` (EXCEPT DISTINCT;
     planned as a distinct + anti join, the present side pre-aggregated)."""
-    return series(spark, lo, hi, name).subtract(
-        present.select(F.col(col).cast("int").alias(name)).distinct())
+    return series(spark, lo, hi, name, kind).subtract(
+        present.select(F.col(col).cast(kind).alias(name)).distinct())
 
 
 def monthly_dates(start: Column, bound: Column) -> Column:

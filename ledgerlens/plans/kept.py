@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import quality as Q
+from ..operators.calendar import gaps
 from ..operators.intervals import overlapping_intervals
 from ..session import shared_folder
 from ..sources.fixtures import Fixtures
 from ..sources.loads import LoadedTable
 from ..sources.sinks import write_table
+from ..streaming import changes as ch
 from ..streaming import incremental as inc
 from . import clickstream as cs
 from . import delivery as dl
@@ -124,6 +126,20 @@ def same_day_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.same_key_same_date(Fixtures(spark, sf_dir).subscriptions, "customer_id", "start_date")
 
 
+def late_changes_on_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`late_changes`, flagged while the orders arrive in three parts."""
+    folder, orders = _folder(spark), Fixtures(spark, sf_dir).src.read("orders", "o_custkey", "o_orderkey", "o_orderdate")
+    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    third = F.least(F.floor(3 * (F.col("o_orderkey") - F.lit(low)) / F.lit(max(high - low, 1))), F.lit(2))
+    for part in range(3):
+        write_table(orders.where(third == part), f"{folder}/log", mode="append")
+        stream = spark.readStream.schema(orders.schema).parquet(f"{folder}/log")
+        ch.watch_changes(stream, "o_custkey", "o_orderdate", "o_orderkey", f"{folder}/watch",
+                         f"{folder}/progress").awaitTermination()
+    flagged = ch.flagged_changes(spark, f"{folder}/watch").where("late")
+    return flagged.select(F.col("key").cast("long").alias("customer_id"), F.col("arrival").alias("order_id"))
+
+
 def overlapping_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members whose first offer overlaps that of another member."""
     members = Fixtures(spark, sf_dir).members
@@ -131,6 +147,15 @@ def overlapping_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlapping_intervals(offers, "customer_id", "join_date", "last_date")
 
 
+def orders_without_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order numbers, from the first to the last one, of which no line item was ever seen (U3, G1,
+    G2): a generated series less the numbers that occur."""
+    source = Fixtures(spark, sf_dir).src
+    first, last = source.read("orders", "o_orderkey").agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return gaps(spark, source.read("lineitem", "l_orderkey"), "l_orderkey", first or 0, last if last is not None else -1,
+                "order_id", "bigint")
+
+
 QUERIES = {
     "kept_weekly_sales": weekly_sales,
     "kept_category_funnel": category_funnel,
@@ -138,6 +163,8 @@ QUERIES = {
     "kept_clean_runs": runs_cleaned_on_arrival,
     "loaded_ratings": ratings_loaded,
     "log_late_changes": late_changes,
+    "kept_late_changes": late_changes_on_arrival,
     "log_same_day_changes": same_day_changes,
     "loyalty_overlapping_offers": overlapping_offers,
+    "orders_without_items": orders_without_items,
 }

@@ -9,6 +9,10 @@ SAME = {"kept_weekly_sales": "clean_weekly_sales", "kept_category_funnel": "cate
         "kept_clean_runs": "clean_runs"}
 
 _DIV = "o_orderkey % 7"
+_LATE = """
+        SELECT o_custkey AS customer_id, o_orderkey AS order_id FROM orders o
+        WHERE EXISTS (SELECT 1 FROM orders e WHERE e.o_custkey = o.o_custkey
+                      AND e.o_orderkey < o.o_orderkey AND e.o_orderdate > o.o_orderdate)"""
 
 ORACLE = {
     "kept_monthly_visitors": """
@@ -21,10 +25,11 @@ ORACLE = {
         SELECT broken, count(*) AS ratings, count(*) AS timed FROM (
           SELECT CASE {_DIV} WHEN 0 THEN 'rating_1_to_5, fk_order_id' WHEN 6 THEN 'rating_1_to_5' ELSE again END AS broken
           FROM orders CROSS JOIN (VALUES (''), ('pk')) AS l(again)) GROUP BY broken""",
-    "log_late_changes": """
-        SELECT o_custkey AS customer_id, o_orderkey AS order_id FROM orders o
-        WHERE EXISTS (SELECT 1 FROM orders e WHERE e.o_custkey = o.o_custkey
-                      AND e.o_orderkey < o.o_orderkey AND e.o_orderdate > o.o_orderdate)""",
+    "orders_without_items": """
+        SELECT n AS order_id FROM (SELECT unnest(range(min(o_orderkey), max(o_orderkey) + 1)) AS n FROM orders)
+        WHERE n NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)""",
+    "log_late_changes": _LATE,
+    "kept_late_changes": _LATE,
     "log_same_day_changes": with_tables(
         "SELECT customer_id, start_date, count(*) AS copies FROM subscriptions "
         "GROUP BY customer_id, start_date HAVING count(*) > 1", "subscriptions"),
