@@ -191,6 +191,7 @@ def _scanned(rows: DataFrame, items: list[tuple[str, str]], n: int, text_col: st
     """``rows`` with the hits of ``items`` added to those of earlier scans."""
     shared = rows.sparkSession.sparkContext.broadcast(items)
     names = rows.columns
+    plain = rows.toDF(*[f"c{k}" for k in range(len(names))])  # a name may hold a dot
     text_at, ranges_at, ids_at = (names.index(c) for c in (
         text_col, f"{prefix}hit_ranges", f"{prefix}item_ids"))
 
@@ -213,9 +214,9 @@ def _scanned(rows: DataFrame, items: list[tuple[str, str]], n: int, text_col: st
                    names[ranges_at]: pa.array(ranges, pa.list_(pa.int32())),
                    names[ids_at]: pa.array(ids, pa.list_(pa.string()))}
             yield pa.RecordBatch.from_arrays(
-                [new.get(c, batch.column(k)) for k, c in enumerate(names)], names=names)
+                [new.get(c, batch.column(k)) for k, c in enumerate(names)], names=[f"c{k}" for k in range(len(names))])
 
-    return rows.mapInArrow(run, rows.schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
 
 
 def _rule(prefix: str, share: int):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import sheltered, stored
 from .labelled import fit_logistic, labelled_sample, sigmoid
 
 # --- fixed values: word lists in English, German, French and Spanish -------------------------
@@ -284,6 +284,8 @@ def learn(sample: DataFrame, min_toxic: int = 5, min_odds: float = 20.0,
 def toxicity(docs: DataFrame, stems: dict[str, float], weights: np.ndarray, id_col: str = "doc_id",
              text_col: str = "text", extra: bool = False) -> DataFrame:
     """Score (0 to 1) of every row: ``doc_id, score``, or all columns and ``__score``."""
+    given = docs.columns
+    docs, _ = sheltered(docs, id_col, text_col)
     keep = docs.columns if extra else [id_col]
     rows = docs.select(*keep, F.col(text_col).cast("string").alias("__read"))
     names = [*keep, "__score"]
@@ -299,7 +301,7 @@ def toxicity(docs: DataFrame, stems: dict[str, float], weights: np.ndarray, id_c
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
     out = rows.mapInArrow(run, f"{schema}, __score double")
-    return out if extra else out.select(F.col(id_col).alias("doc_id"), F.col("__score").alias("score"))
+    return out.toDF(*given, "__score") if extra else out.select(F.col(id_col).alias("doc_id"), F.col("__score").alias("score"))
 
 
 def learnt_from(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", max_rows: int = 16000,
