@@ -18,8 +18,9 @@ that size or less is one cell. In a cell, sets are searched in the order of thei
 DivideSkip: of a set's inverted lists, cut to the sizes that may link, the longest are set aside;
 the others are merged by a heap that skips what cannot occur often enough, and the candidates are
 looked up in the long lists by binary search until they reach the overlap or cannot any more.
-Entries that are known to be connected with the set already leave its lists first, so thousands
-of near copies of one text cost no more than some links each.
+Entries that are known to be connected with the set already leave its lists first, and a few that
+are left are looked up without a merge, so thousands of near copies of one text cost no more than
+some links each.
 
 *Families of several cells.* A set that shares a prefix shingle with sets of another cell which it
 is not connected with is searched there too, once per pair of cells: first in one cell for each
@@ -55,6 +56,8 @@ CHUNK_DOCS = 1 << 15
 SLICE_BYTES = 1 << 20
 #: Postings of a cell, about.
 CELL_POSTINGS = 1 << 20
+#: Entries that are looked up in all lists one by one, without a merge.
+FEW = 16
 #: Weight of a binary search against a step of the merge, for the number of long lists.
 MU = 0.0085
 
@@ -339,7 +342,16 @@ class Cell:
                 if a < b:
                     lists.append(self.entry[a:b])
         self.mine, found = mine, -1
+        if low < high and self.label[high - 1] != mine and self._reaches(high - 1, 0, lists, need, size):
+            yield high - 1  # of near copies, the one of the next size is a good guess
         while len(lists) >= need:
+            others = np.flatnonzero(self.label[low:high] != self.mine) + low
+            others = others[others > found]
+            if len(others) <= FEW:  # too few to merge lists for
+                for x in others.tolist():
+                    if self.label[x] != self.mine and self._reaches(x, 0, lists, need, size):
+                        yield x
+                return
             lists = [y[np.searchsorted(y, found + 1):] for y in lists]
             lists = [x for x in (y[self.label[y] != self.mine] for y in lists) if len(x)]
             if len(lists) < need:
@@ -540,8 +552,10 @@ def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5, id_co
         .select(*signature, F.coalesce("root", "set").alias("root"))
     least = stored(least.join(named, signature, "left"), "least")
     by_root = least.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("of_root"))
-    least = least.join(by_root, "root", "left") \
-        .select(*[F.col(c).alias(f"__{c}") for c in signature], F.coalesce("of_root", "least").alias("component"))
+    kin, alone = least.where("root IS NOT NULL").join(by_root, "root"), least.where("root IS NULL")
+    least = kin.withColumn("least", F.col("of_root")).select(*signature, "least") \
+        .unionByName(alone.select(*signature, "least")) \
+        .select(*[F.col(c).alias(f"__{c}") for c in signature], F.col("least").alias("component"))
     met = [F.col(c) == F.col(f"__{c}") for c in signature]
     return texts.join(least, met[0] & met[1] & met[2], "left").select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
