@@ -247,16 +247,19 @@ OP12_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT row_number() OVER () AS r, doc_id,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                            '[^ 	-]+') AS words
+                            '[^\x20\x09-\x0D]+') AS words
   FROM documents),
-s AS (
-  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN []
-         ELSE list_distinct(list_transform(range(1, greatest(len(words) - 4, 1) + 1),
-                                           lambda i: array_to_string(words[i:i + 4], ' '))) END AS sh
-  FROM w),
-d AS (SELECT r, doc_id, len(sh) AS n, md5(array_to_string(list_sort(sh), chr(10))) AS k FROM s),
+u AS (SELECT r, len(words) AS n, array_to_string(words[1:4], ' ') AS start, unnest(words) AS w,
+             generate_subscripts(words, 1) AS i FROM w),
+v AS (
+  SELECT r, n, i, CASE WHEN n < 5 THEN start
+         ELSE concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) END AS t
+  FROM u WINDOW o AS (PARTITION BY r ORDER BY i)),
+s AS (SELECT DISTINCT r, t FROM v WHERE i <= greatest(n - 4, 1)),
+g AS (SELECT r, count(*) AS n, md5(string_agg(t, chr(10) ORDER BY t)) AS k FROM s GROUP BY r),
+d AS (SELECT w.r, doc_id, coalesce(n, 0) AS n, k FROM w LEFT JOIN g USING (r)),
 one AS (SELECT min(r) AS r, k, any_value(n) AS n FROM d WHERE n > 0 GROUP BY k),
-p AS (SELECT one.r, one.n, unnest(sh) AS t FROM one JOIN s USING (r)),
+p AS (SELECT one.r, one.n, t FROM one JOIN s USING (r)),
 often AS (SELECT t FROM p GROUP BY t HAVING count(*) > 1),
 q AS (SELECT r, n, hash(t) AS t FROM p SEMI JOIN often USING (t)),
 pair AS (

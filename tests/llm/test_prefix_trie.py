@@ -5,9 +5,11 @@ import random
 import re
 import zlib
 
+import duckdb
 from llm_cases import SMALL_SF
 
 from ledgerlens.llm import prefix_trie as pt
+from ledgerlens.llm import queries
 from ledgerlens.llm.queries import op11_conversation_trie
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -81,6 +83,16 @@ def test_table_equals_a_plain_walk(spark):
     assert got(op11_conversation_trie(spark, SMALL_SF)) == plain(rows)
 
 
+def test_table_equals_sql(spark):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{SMALL_SF}/conversations.parquet'")
+    want = con.sql(queries.OP11_SQL)
+    df = queries.op11_conversation_trie(spark, SMALL_SF)
+    assert df.columns == want.columns
+    assert {t for _, t in df.dtypes} == {"bigint", "string"} and {str(t) for t in want.types} == {"BIGINT", "VARCHAR"}
+    assert got(df) == sorted(want.fetchall(), key=str)
+
+
 def test_block_size_changes_nothing(spark):
     rows = made(7, 40, 20)
     df = spark.createDataFrame(rows, SCHEMA)
