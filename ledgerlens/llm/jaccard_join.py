@@ -49,8 +49,8 @@ from pyspark.sql import functions as F
 from .common import RollingHash, mixed, pieces, stored
 from .graph import connected_components
 
-#: Bytes of text, and documents, of a chunk at most (a longer text stands alone).
-CHUNK_TEXT = 16 << 20
+#: Bytes of shingles (eight each), and documents, of a chunk at most (a longer text stands alone).
+CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 1 << 15
 #: Bytes of a text that are hashed at a time.
 SLICE_BYTES = 1 << 20
@@ -142,7 +142,7 @@ def _batches(rows: Iterator[dict], limit: int = 1 << 20) -> Iterator[pa.RecordBa
 
 
 def _documents(docs: DataFrame, width: int, bits: int, id_col: str, text_col: str,
-               chunk_text: int) -> DataFrame:
+               chunk_bytes: int) -> DataFrame:
     """Rows of the texts and rows of the postings of a chunk and a range (``place``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -183,7 +183,7 @@ def _documents(docs: DataFrame, width: int, bits: int, id_col: str, text_col: st
                     row["number"] = known[key]
                 out.append(row)
                 size, docs_in = size + len(found) * 8, docs_in + 1
-                if size >= chunk_text or docs_in >= CHUNK_DOCS:
+                if size >= chunk_bytes or docs_in >= CHUNK_DOCS:
                     yield _batch(out)
                     yield from _batches(flush())
                     out, known, sets, size, docs_in, seen = [], {}, [], 0, 0, seen + 1
@@ -281,12 +281,12 @@ def _assembled(percent: int):
 
 
 def shingle_sets(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id",
-                 text_col: str = "text", chunk_text: int = CHUNK_TEXT) -> DataFrame:
+                 text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The texts and, of the sets that may have links, the shared shingles; stored. Rows of texts
     have no ``tokens``; ``prefix`` is the number of shared shingles in a set's prefix."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = (4 * partitions - 1).bit_length()  # some ranges for each task, to even them out
-    rows = _documents(docs, width, bits, id_col, text_col, chunk_text)
+    rows = _documents(docs, width, bits, id_col, text_col, chunk_bytes)
     back = rows.repartition(partitions, "place").sortWithinPartitions("place").mapInArrow(_shared, _ROW)
     sets = (back.repartition(partitions, "chunk").sortWithinPartitions("chunk", F.col("number").asc_nulls_last())
             .mapInArrow(_assembled(percent), _SET))
@@ -535,10 +535,10 @@ def _routes(postings: DataFrame, percent: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id",
                        text_col: str = "text", cell_postings: int = CELL_POSTINGS,
-                       chunk_text: int = CHUNK_TEXT) -> DataFrame:
+                       chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` (the smallest id that links of ``percent``
     similarity reach, its own included) of each row."""
-    rows = shingle_sets(docs, percent, width, id_col, text_col, chunk_text)
+    rows = shingle_sets(docs, percent, width, id_col, text_col, chunk_bytes)
     texts, signature = rows.where("tokens IS NULL"), ["n", "sig1", "sig2"]
     active = rows.where("tokens IS NOT NULL").withColumn("set", F.col("chunk") * CHUNK_DOCS + F.col("number"))
     one = active.groupBy(*signature).agg(F.min("set").alias("set"))

@@ -77,7 +77,7 @@ def test_equal_to_all_pairs(spark, families, size, edits):
     rows = near_copies(families, families, size, edits, PASSAGES)
     want = plain(rows)
     assert len({c for _, _, c in want}) < len(rows) - 10
-    assert got(jj.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(4), chunk_text=4000)) == want
+    assert got(jj.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(4), chunk_bytes=4000)) == want
 
 
 @pytest.mark.parametrize("postings", [40, 600])
