@@ -22,6 +22,7 @@ raw rows (map-only, no state).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from ..functions import month_name, week_of_year_bucket
 from ..operators.sizing import fixed_dimension
 from ..plans.clickstream import funnel_of, visit_pages
 from ..sources.fixtures import LINE_COLUMNS, ORDER_COLUMNS, WEEKLY_KEYS, Fixtures, shaped_events
-from ..sources.versions import VersionedTable
+from ..sources.versions import Version, VersionedTable
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -106,45 +107,68 @@ def arrivals(spark: SparkSession, folder: str, schema: T.StructType) -> DataFram
         .select("*", F.col("_metadata.file_modification_time").alias("arrived"))
 
 
-def lines_with_orders(lines: DataFrame, orders: DataFrame, wait: str = "1 hour") -> DataFrame:
-    """Arriving line items (:func:`arrivals`), each with the columns of its order: an outer join of
-    two streams on the order key and on times of arrival at most ``wait`` apart. Either side waits
-    for the other in the state, which the watermarks of both sides bound; a line whose order does
-    not come in time is emitted without one. An order that comes twice within that time joins once."""
-    apart = F.expr(f"INTERVAL {wait}")
-    left = lines.select(*LINE_COLUMNS, F.col("arrived").alias("l_arrived")).withWatermark("l_arrived", wait)
-    right = (orders.select(*ORDER_COLUMNS, F.col("arrived").alias("o_arrived"))
-             .withWatermark("o_arrived", wait).dropDuplicatesWithinWatermark(["o_orderkey"]))
-    near = (F.col("o_arrived") >= F.col("l_arrived") - apart) & (F.col("o_arrived") <= F.col("l_arrived") + apart)
-    return left.join(right, (F.col("l_orderkey") == F.col("o_orderkey")) & near, "leftOuter") \
-        .select(*LINE_COLUMNS, *ORDER_COLUMNS)
+def lines_with_orders(lines: DataFrame, orders: DataFrame,
+                      places: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Line items, each with the columns of its order if that has come: an outer join on the order
+    key. An order that comes twice joins once. ``places`` adds columns on the order side, so that
+    the line items (the largest table) are shuffled once."""
+    once = orders.where(F.col("o_orderkey").isNotNull()).dropDuplicates(["o_orderkey"])
+    return lines.select(*LINE_COLUMNS).join(places(once) if places else once,
+                                            F.col("l_orderkey") == F.col("o_orderkey"), "left")
+
+
+def _both(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Two streams (:func:`arrivals`) as one: a micro-batch has what came on either side."""
+    return lines.select(*LINE_COLUMNS, "arrived", F.lit(True).alias("is_line")).unionByName(
+        orders.select(*ORDER_COLUMNS, "arrived", F.lit(False).alias("is_line")), allowMissingColumns=True)
 
 
 def weekly_table(spark: SparkSession, path: str) -> VersionedTable:
     return VersionedTable(spark, path, ("calendar_year", "week_number"))
 
 
-def _add_lines(fixtures: Fixtures, table: VersionedTable, fresh: DataFrame | None,
-               held_orders: Callable[[], DataFrame], load: tuple[str, int] | None) -> None:
-    """Count ``fresh`` rows of :func:`lines_with_orders` and the rows that were still waiting; what
-    has no order, or no customer, goes on waiting. Both are part of one version."""
+def _not_held(table: VersionedTable, version: Version | None, batch: DataFrame, held: DataFrame) -> DataFrame:
+    """Arrived orders that ``held`` lacks, now or since an earlier batch."""
+    came, before = batch.where(~F.col("is_line")).select(*ORDER_COLUMNS, "arrived"), table.beside("orders", version)
+    came = came if before is None else came.unionByName(before)
+    return table.staged(came.where(F.col("o_orderkey").isNotNull())
+                        .join(held.select("o_orderkey"), "o_orderkey", "left_anti"))
+
+
+def _still_open(orders: DataFrame, batch: DataFrame, wait: str) -> DataFrame:
+    """Orders for which a line at most ``wait`` from them can still come. The time is that of the
+    side that is behind, less ``wait`` for rows that come late; without lines it stands still."""
+    if orders.isEmpty():
+        return orders
+    is_line, arrived = F.col("is_line"), F.col("arrived")
+    newest = batch.select("arrived", "is_line").unionByName(orders.select("arrived", F.lit(False).alias("is_line"))) \
+        .agg(F.max(F.when(is_line, arrived)).alias("line"), F.max(F.when(~is_line, arrived)).alias("order"))
+    oldest = F.least("line", "order") - F.expr(f"2 * INTERVAL {wait}")
+    return orders.crossJoin(newest).where(F.col("line").isNull() | (arrived >= oldest)).select(*orders.columns)
+
+
+def _add_lines(fixtures: Fixtures, table: VersionedTable, held_orders: Callable[[], DataFrame],
+               batch: DataFrame | None = None, wait: str = "", load: tuple[str, int] | None = None) -> None:
+    """Count the line items of a batch (:func:`_both`), if any, and those that were still waiting;
+    what has no order, or no customer, goes on waiting. All of it is part of one version."""
     version = table.current()
     if version and load and version.applied.get(load[0], -1) >= load[1]:
         return
-    orders = held_orders().select(*ORDER_COLUMNS).dropDuplicates(["o_orderkey"])
-    parts, late = [], table.beside("waiting", version)
-    if fresh is not None:
-        parts.append(fresh.where(F.col("o_orderkey").isNotNull()))
-        alone = fresh.where(F.col("o_orderkey").isNull()).select(*LINE_COLUMNS)
-        late = alone if late is None else late.unionByName(alone)
-    if late is not None:
-        parts.append(late.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    placed = table.staged(fixtures.with_places(rows, "left"))
-    whole = F.col("o_orderkey").isNotNull() & F.col("r_name").isNotNull()
+    held, late, beside = held_orders().select(*ORDER_COLUMNS), table.beside("waiting", version), {}
+    lines, lacking = [] if late is None else [late], table.beside("orders", version)
+    if batch is not None:
+        lines.append(batch.where("is_line").select(*LINE_COLUMNS))
+        lacking = _not_held(table, version, batch, held)
+        beside["orders"] = _still_open(lacking, batch, wait)
+    known = held if lacking is None else held.unionByName(lacking.select(*ORDER_COLUMNS))
+    placed = table.staged(
+        lines_with_orders(reduce(DataFrame.unionByName, lines), known, lambda o: fixtures.with_places(o, "left"))
+        .select(*LINE_COLUMNS, "o_orderpriority", "c_mktsegment", "r_name"))
+    whole = F.col("r_name").isNotNull()
     sums = fixtures.weekly_sums(placed.where(whole)).withColumns(
         {"calendar_year": F.year("wk"), "week_number": week_of_year_bucket(F.col("wk"))})
-    table.merge(sums, _weeks_together, load, {"waiting": placed.where(~whole).select(*LINE_COLUMNS)})
+    beside["waiting"] = placed.where(~whole).select(*LINE_COLUMNS)
+    table.merge(sums, _weeks_together, load, beside)
 
 
 def _weeks_together(rows: DataFrame) -> DataFrame:
@@ -157,24 +181,27 @@ def weekly_sales_refresh(fixtures: Fixtures, lines: DataFrame, orders: DataFrame
                          wait: str = "1 hour"):
     """Keep the weekly sales current from arriving line items and orders, in any order of arrival.
 
-    Most lines meet their order in the join of the streams. The others are stored beside the
-    table and tried again, with every later batch and by :func:`settle_weekly_sales`, against
-    the orders stored by then (``held_orders``). So a line counts once, whenever its order comes."""
+    Either side waits for the other in files beside the table, not in the memory of a state store.
+    A line without an order is tried again, with every later batch and by
+    :func:`settle_weekly_sales`, until its order comes, so it counts once, whenever that is. An
+    order waits in ``held_orders`` (the orders stored by then); one that is not stored there yet
+    waits beside the table for lines whose time of arrival is at most ``wait`` from its own."""
     table = weekly_table(fixtures.spark, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _add_lines(fixtures, table, batch, held_orders, ("lines", batch_id))
+        _add_lines(fixtures, table, held_orders, batch, wait, ("lines", batch_id))
 
-    return (lines_with_orders(lines, orders, wait).writeStream.foreachBatch(write)
+    return (_both(lines, orders).writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start())
 
 
 def settle_weekly_sales(fixtures: Fixtures, path: str, held_orders: Callable[[], DataFrame]) -> int:
     """Try the waiting line items again; the number that still waits."""
     table = weekly_table(fixtures.spark, path)
-    if table.beside("waiting") is None:
+    waiting = table.beside("waiting")
+    if waiting is None or waiting.isEmpty():
         return 0
-    _add_lines(fixtures, table, None, held_orders, None)
+    _add_lines(fixtures, table, held_orders)
     return table.beside("waiting").count()
 
 
